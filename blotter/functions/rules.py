@@ -51,8 +51,10 @@ def is_violent_nibrs(nibrs: Column) -> Column:
 
 
 def time_of_day(hour: Column) -> Column:
+    """Bucket name of an hour 0..23 (the last bucket takes the remaining hours)."""
+    *first, (_, _, last) = TIME_OF_DAY_BUCKETS
     expr = None
-    for lo, hi, name in TIME_OF_DAY_BUCKETS:
+    for lo, hi, name in first:
         cond = hour.between(lo, hi)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr
+    return expr.otherwise(F.lit(last))

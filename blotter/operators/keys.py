@@ -6,18 +6,20 @@ same order, computed in parallel:
 
 1. Count the input. Up to ``single_task_rows`` rows the plain global window is
    used: its single task is bounded by that checked count.
-2. Otherwise sample the sort key, sort the sample and cut it into ranges. The
-   range boundaries become literals, and the bucket of a row is a binary
-   search over them written as nested ``CASE WHEN``: a deterministic function
-   of the row, so a recomputed task puts every row in the same bucket.
-3. A sort-key value that fills a whole bucket by itself (a hot key) gets its
-   own bucket, split further by a hash of the full row.
-4. One aggregation counts rows per (bucket, split); the running sum of those
-   few counts gives each bucket its first key.
-5. Ordinary buckets number their rows with ``row_number`` partitioned by
-   bucket. Hot buckets are pre-aggregated first (identical rows collapse into
-   one row with a multiplicity on the map side), numbered with a running sum,
-   and expanded again in bounded chunks spread over many tasks.
+2. Otherwise a sample finds *hot* sort values: values of (order, ties) that
+   would fill a whole partition by themselves (a third of all rows may share
+   one value, or be copies of one row).
+3. All other rows are range-partitioned and sorted by Spark (sampled range
+   bounds, binary search in the JVM) and written once to a staged table in
+   the shared checkpoint folder together with their partition id and their
+   position inside it. The staged table fixes the placement: a recomputed
+   task can no longer move a row, and the key of a row is
+   ``rows in earlier partitions + position + hot rows sorting before it``.
+4. Hot rows are pre-aggregated on the map side (copies collapse into one row
+   with a multiplicity), split over several slots by a hash of the full row,
+   numbered with a running sum per slot and expanded again in bounded chunks
+   spread over many tasks. Inside one hot value the order is free (the rows
+   tie on every order and tie column).
 
 Rows that tie on the order and tie columns are ordered by the remaining
 columns, so the result is repeatable. Keys are BIGINT: a fact at scale has
@@ -27,17 +29,22 @@ more than 2^31 rows.
 from __future__ import annotations
 
 import math
+import os
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.session import checkpoint_dir
+
 DEFAULT_SINGLE_TASK_ROWS = 1_000_000
-DEFAULT_ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
-SAMPLES_PER_BUCKET = 64
+ROWS_PER_PARTITION = 2_000_000
+SAMPLES_PER_PARTITION = 64
+MAX_HOT_VALUES = 64
 EXPAND_CHUNK = 1_000_000
+_POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
@@ -53,23 +60,22 @@ def _orderable(dtype: T.DataType) -> bool:
 
 
 def _literal(value, dtype: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
-    return F.lit(value).cast(dtype)
+    return F.lit(None).cast(dtype) if value is None else F.lit(value).cast(dtype)
 
 
 def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *,
               ties: Sequence[str] = (), nulls_last: Iterable[str] = (), start: int = 1,
               single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS,
-              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-              max_buckets: int = MAX_BUCKETS, samples_per_bucket: int = SAMPLES_PER_BUCKET,
-              expand_chunk: int = EXPAND_CHUNK, materialize: bool = False,
-              seed: int = 11) -> DataFrame:
+              rows_per_partition: int = ROWS_PER_PARTITION,
+              samples_per_partition: int = SAMPLES_PER_PARTITION,
+              max_hot_values: int = MAX_HOT_VALUES, expand_chunk: int = EXPAND_CHUNK,
+              staging_dir: str | None = None, seed: int = 11) -> DataFrame:
     """Append ``key`` = position of the row in ascending ``order_by`` + ``ties``.
 
     Columns in ``nulls_last`` sort their NULLs last, all others first (Spark's
     ascending default). Returns the input columns followed by ``key``.
     """
+    spark = df.sparkSession
     nulls_last = set(nulls_last)
     columns = list(df.columns)
     key_cols = list(order_by) + [c for c in ties if c not in order_by]
@@ -79,129 +85,110 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *,
         flag = F.col(c).isNull() if c in nulls_last else F.col(c).isNotNull()
         k_names += [f"__dk_f{i}", f"__dk_v{i}"]
         k_exprs += [flag.cast("int").alias(f"__dk_f{i}"), F.col(c).alias(f"__dk_v{i}")]
-    order_cols = [F.col(n) for n in k_names] + [F.col(c).asc_nulls_first() for c in rest]
+    sort_cols = [F.col(n).asc_nulls_first() for n in k_names] + [F.col(c).asc_nulls_first() for c in rest]
 
     n = df.count()
-    if n <= single_task_rows:
-        # Bounded by the count just taken: a single task sorts at most
+    if n <= max(single_task_rows, 0):
+        # Bounded by the count just taken: one task sorts at most
         # ``single_task_rows`` rows.
-        w = Window.orderBy(*order_cols)
-        out = (df.select("*", *k_exprs)
-                 .withColumn(key, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint")))
-        return out.select(*columns, key)
+        w = Window.orderBy(*sort_cols)
+        return (df.select("*", *k_exprs)
+                  .withColumn(key, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
+                  .select(*columns, key))
 
-    if materialize:
-        df = df.checkpoint(eager=True)
+    shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(shuffle_parts, math.ceil(n / rows_per_partition))
     keyed = df.select("*", *k_exprs)
     k_types = [keyed.schema[nm].dataType for nm in k_names]
     kstruct = F.struct(*[F.col(nm) for nm in k_names])
 
-    buckets = max(2, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    wanted = buckets * samples_per_bucket
-    fraction = min(1.0, 1.2 * wanted / n)
-    rows = []
-    while True:
-        rows = (keyed.select(*k_names).sample(False, fraction, seed)
-                     .orderBy(*k_names).collect())
-        if len(rows) >= buckets or fraction >= 1.0:
-            break
-        fraction = min(1.0, fraction * 10)
-
-    boundaries, hot_runs = _boundaries(rows, buckets)
-    literals = [F.struct(*[_literal(v, t) for v, t in zip(b, k_types)]) for b in boundaries]
-    hot = [run is not None for run in hot_runs]
-    n_slots_per_bucket = []
-    step = max(1.0, len(rows) / buckets)
-    for p in range(len(boundaries) + 1):
-        n_slots_per_bucket.append(1)                              # range bucket 2p
-        if p < len(boundaries):
-            run = hot_runs[p]
-            n_slots_per_bucket.append(max(1, math.ceil(run / step)) if run else 1)
-    bucket = _search(kstruct, literals, hot, 0, len(boundaries))
-    slots = F.array(*[F.lit(s) for s in n_slots_per_bucket])
-    row_hash = F.xxhash64(*[F.col(c) for c in columns])
-    sub = F.when(F.col("__dk_b") % 2 == 1,
-                 F.pmod(row_hash, slots[F.col("__dk_b")])).otherwise(F.lit(0))
-    bucketed = keyed.withColumn("__dk_b", bucket).withColumn("__dk_s", sub)
-
-    counts = {(r["__dk_b"], r["__dk_s"]): r["count"]
-              for r in bucketed.groupBy("__dk_b", "__dk_s").count().collect()}
-    slot_base, offsets, running = [], [], 0
-    for b, n_slots in enumerate(n_slots_per_bucket):
-        slot_base.append(len(offsets))
-        for s in range(n_slots):
-            offsets.append(running)
-            running += counts.get((b, s), 0)
+    # Hot values: sampled share of at least one partition's worth.
+    fraction = min(1.0, parts * samples_per_partition / n)
+    threshold = max(2, math.ceil(fraction * n / parts))
+    hot_rows = (keyed.select(*k_names).sample(False, fraction, seed)
+                .groupBy(*k_names).count().where(F.col("count") >= threshold)
+                .orderBy(F.col("count").desc()).limit(max_hot_values)
+                .orderBy(*[F.col(nm).asc_nulls_first() for nm in k_names]).collect())
+    hot_lits = [F.struct(*[_literal(r[nm], t) for nm, t in zip(k_names, k_types)]) for r in hot_rows]
+    hot_splits = [max(1, math.ceil(r["count"] / threshold)) for r in hot_rows]
+
+    hidx = F.lit(-1)
+    for i in reversed(range(len(hot_lits))):
+        hidx = F.when(kstruct.eqNullSafe(hot_lits[i]), F.lit(i)).otherwise(hidx)
+    keyed = keyed.withColumn("__dk_h", hidx)
+
+    # Ordinary rows: Spark's range-partitioned sort, placement staged once.
+    staged_path = os.path.join(staging_dir or checkpoint_dir(spark),
+                               "blotter-dense-key", uuid.uuid4().hex)
+    mask = (1 << _POS_BITS) - 1
+    (keyed.where(F.col("__dk_h") < 0)
+          .repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols)
+          .select(*columns, F.spark_partition_id().alias("__dk_p"),
+                  (F.monotonically_increasing_id().bitwiseAND(F.lit(mask))).alias("__dk_pos"))
+          .write.mode("overwrite").parquet(staged_path))
+    staged = spark.read.parquet(staged_path).select("*", *k_exprs)
+
+    below_hot = [F.sum(F.when(kstruct < h, 1).otherwise(0)).alias(f"__dk_lt{i}")
+                 for i, h in enumerate(hot_lits)]
+    part_rows = staged.groupBy("__dk_p").agg(F.count(F.lit(1)).alias("rows"), *below_hot).collect()
+    per_part = {r["__dk_p"]: r["rows"] for r in part_rows}
+    main_below = [sum(r[f"__dk_lt{i}"] for r in part_rows) for i in range(len(hot_lits))]
+    part_offsets, running = [], 0
+    for p in range(max(per_part, default=-1) + 1):
+        part_offsets.append(running)
+        running += per_part.get(p, 0)
+
+    hot_counts = {}
+    if hot_lits:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]),
+                      F.array(*[F.lit(s) for s in hot_splits])[F.col("__dk_h")])
+        keyed = keyed.withColumn("__dk_s", salt)
+        hot_counts = {(r["__dk_h"], r["__dk_s"]): r["count"] for r in
+                      keyed.where(F.col("__dk_h") >= 0).groupBy("__dk_h", "__dk_s").count().collect()}
+    hot_total = [sum(hot_counts.get((i, s), 0) for s in range(hot_splits[i])) for i in range(len(hot_lits))]
+
+    # Key of an ordinary row.
+    hot_before = F.lit(0).cast("bigint")
+    for i, h in enumerate(hot_lits):
+        hot_before = hot_before + F.when(kstruct > h, F.lit(hot_total[i])).otherwise(F.lit(0))
+    offsets = F.array(*[F.lit(o).cast("bigint") for o in part_offsets])
+    main = staged.withColumn(
+        key, (offsets[F.col("__dk_p")] + F.col("__dk_pos") + hot_before + F.lit(start)).cast("bigint")
+    ).select(*columns, key)
+    if not hot_lits:
+        return main
+
+    # Hot rows: first key of every (hot value, slot).
+    slot_base, slot_first = [], []
+    for i in range(len(hot_lits)):
+        block = start + main_below[i] + sum(hot_total[:i])
+        slot_base.append(len(slot_first))
+        for s in range(hot_splits[i]):
+            slot_first.append(block)
+            block += hot_counts.get((i, s), 0)
+    first_arr = F.array(*[F.lit(x).cast("bigint") for x in slot_first])
     base_arr = F.array(*[F.lit(x) for x in slot_base])
-    off_arr = F.array(*[F.lit(x).cast("bigint") for x in offsets])
-    first_key = off_arr[base_arr[F.col("__dk_b")] + F.col("__dk_s")] + F.lit(start)
-
-    plain = bucketed.where(F.col("__dk_b") % 2 == 0)
-    w = Window.partitionBy("__dk_b").orderBy(*order_cols)
-    out = (plain.withColumn(key, (F.row_number().over(w) - 1 + first_key).cast("bigint"))
-                .select(*columns, key))
-    if not any(hot):
-        return out
-
     group_cols = [c for c in columns if _orderable(df.schema[c].dataType)]
-    collapsed = (bucketed.where(F.col("__dk_b") % 2 == 1)
-                 .groupBy("__dk_b", "__dk_s", *group_cols).agg(F.count(F.lit(1)).alias("__dk_n")))
-    before = Window.partitionBy("__dk_b", "__dk_s").orderBy(*group_cols).rowsBetween(
+    if len(group_cols) < len(columns):
+        raise ValueError("dense_key: hot sort values need every column to be orderable")
+    collapsed = (keyed.where(F.col("__dk_h") >= 0)
+                 .groupBy("__dk_h", "__dk_s", *group_cols).agg(F.count(F.lit(1)).alias("__dk_n")))
+    before = Window.partitionBy("__dk_h", "__dk_s").orderBy(*group_cols).rowsBetween(
         Window.unboundedPreceding, -1)
     ranked = collapsed.withColumn(
-        "__dk_first", F.coalesce(F.sum("__dk_n").over(before), F.lit(0)) + first_key)
+        "__dk_first",
+        F.coalesce(F.sum("__dk_n").over(before), F.lit(0)).cast("bigint")
+        + first_arr[base_arr[F.col("__dk_h")] + F.col("__dk_s")])
+    last = F.col("__dk_first") + F.col("__dk_n") - 1
     small = (ranked.where(F.col("__dk_n") <= expand_chunk)
-             .withColumn(key, F.explode(F.sequence(F.col("__dk_first"),
-                                                   F.col("__dk_first") + F.col("__dk_n") - 1))))
+             .withColumn(key, F.explode(F.sequence(F.col("__dk_first"), last))))
     chunk = F.lit(expand_chunk).cast("bigint")
     big = (ranked.where(F.col("__dk_n") > expand_chunk)
            .withColumn("__dk_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                       F.floor((F.col("__dk_n") - 1) / chunk))))
-           .repartition("__dk_b", "__dk_s", "__dk_c")
+           .repartition("__dk_h", "__dk_s", "__dk_c")
            .withColumn("__dk_lo", F.col("__dk_first") + F.col("__dk_c") * chunk)
-           .withColumn(key, F.explode(F.sequence(
-               F.col("__dk_lo"),
-               F.least(F.col("__dk_lo") + chunk - 1, F.col("__dk_first") + F.col("__dk_n") - 1)))))
-    missing = [c for c in columns if c not in group_cols]
-    if missing:
-        raise ValueError(f"dense_key: hot sort values with unorderable columns {missing}")
+           .withColumn(key, F.explode(F.sequence(F.col("__dk_lo"),
+                                                 F.least(F.col("__dk_lo") + chunk - 1, last)))))
     hot_out = small.select(*columns, key).unionByName(big.select(*columns, key))
-    return out.unionByName(hot_out)
-
-
-def _boundaries(rows: list, buckets: int) -> tuple[list, list]:
-    """Cut a sorted sample into ``buckets`` ranges.
-
-    Returns the distinct boundary values in sample order, and for each one the
-    number of sample rows equal to it when that is at least one bucket's
-    worth (a hot value), else None. Only equality is used here: the order
-    comes from Spark's sort of the sample.
-    """
-    if not rows:
-        return [], []
-    step = max(1.0, len(rows) / buckets)
-    cuts = {min(len(rows) - 1, int(round(i * step))) for i in range(1, buckets)}
-    out, hot = [], []
-    i = 0
-    while i < len(rows):
-        j = i
-        while j + 1 < len(rows) and tuple(rows[j + 1]) == tuple(rows[i]):
-            j += 1
-        run = j - i + 1
-        is_hot = run >= max(2.0, step)
-        if is_hot or any(i <= c <= j for c in cuts):
-            out.append(tuple(rows[i]))
-            hot.append(run if is_hot else None)
-        i = j + 1
-    return out, hot
-
-
-def _search(kstruct: Column, literals: list[Column], hot: list[bool], lo: int, hi: int) -> Column:
-    """Bucket id: 2 * (#boundaries < k), +1 when k equals a hot boundary."""
-    if lo == hi:
-        if lo < len(literals) and hot[lo]:
-            return F.when(kstruct.eqNullSafe(literals[lo]), F.lit(2 * lo + 1)).otherwise(F.lit(2 * lo))
-        return F.lit(2 * lo)
-    mid = (lo + hi) // 2
-    return F.when(kstruct <= literals[mid], _search(kstruct, literals, hot, lo, mid)) \
-            .otherwise(_search(kstruct, literals, hot, mid + 1, hi))
+    return main.unionByName(hot_out)

@@ -27,9 +27,26 @@ class RawInputs:
     ref_suffix: DataFrame
 
 
+_PLANS: dict = {}
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
-    """Raw calls / incidents mapped from ``events`` / ``orders`` under ``sf_dir``."""
+    """Raw calls / incidents mapped from ``events`` / ``orders`` under ``sf_dir``.
+
+    The result is a set of lazy plans (nothing is read or cached). It is kept
+    per session and folder: every expression node is a driver round trip, and
+    rebuilding the same plans for each report costs more than running them at
+    small scale. Each action still reads the files again.
+    """
     prepare(spark)
+    memo = (id(spark), sf_dir)
+    if memo not in _PLANS:
+        _PLANS.clear()
+        _PLANS[memo] = _build_raw(spark, sf_dir)
+    return _PLANS[memo]
+
+
+def _build_raw(spark: SparkSession, sf_dir: str) -> RawInputs:
     events = read_parquet(spark, f"{sf_dir}/events.parquet")
     orders = read_parquet(spark, f"{sf_dir}/orders.parquet")
     return RawInputs(
