@@ -1,12 +1,14 @@
 """Star lookups: broadcast only behind a checked size, else a shuffle join.
 
 A dimension derived from the data (locations, call types) can outgrow any
-broadcast budget at scale. The lookup counts it (after materialising it, so
-the count does not rebuild it twice) and broadcasts only when the count is
-within ``max_broadcast_rows``. Beyond that the join shuffles; fact rows whose
-join key is NULL can never match an equality lookup, so they bypass the
-shuffle instead of piling into the single reducer that NULL hashes to. Hot
-non-NULL keys are left to AQE's skew-join splitting.
+broadcast budget at scale. The lookup counts it (callers pass a materialised
+dimension, so the count does not rebuild it) and broadcasts only when the
+count is within ``max_broadcast_rows``. Beyond that the join shuffles. Fact
+rows whose key is NULL can never match an equality lookup; in a shuffle join
+they would all hash to one reducer, so they get a spreading salt (a hash of
+the row) as an extra join column while every other row, and the dimension,
+get salt 0. The fact is still read once. Hot non-NULL keys are left to AQE's
+skew-join splitting (left outer joins split the fact side).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+NULL_KEY_SPREAD = 1024
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
@@ -33,33 +36,32 @@ def left_lookup(fact: DataFrame, dim: DataFrame, pairs: Sequence[tuple[Column, s
                 dim_rows: int | None = None) -> DataFrame:
     """Left-join ``dim`` to ``fact`` on ``fact_expr == dim[col]`` pairs.
 
-    ``dim`` columns used as keys are dropped from the output; its other
-    columns are added (NULL when no match).
+    ``dim`` key columns are dropped from the output; its other columns are
+    added (NULL when no match). ``null_safe[i]`` makes pair ``i`` match NULL
+    to NULL.
     """
     null_safe = list(null_safe or [False] * len(pairs))
+    key_names = [p[1] for p in pairs]
+    value_cols = [c for c in dim.columns if c not in key_names]
     side, is_broadcast = bounded_broadcast(dim, max_broadcast_rows, dim_rows)
-    renamed = side.select(*[F.col(c).alias(f"__lk_{c}") if c in {p[1] for p in pairs} else F.col(c)
-                            for c in dim.columns])
-    value_cols = [c for c in dim.columns if c not in {p[1] for p in pairs}]
-
-    def cond(left: DataFrame | None = None) -> Column:
-        parts = []
+    right = side.select(*[F.col(c).alias(f"__lk_{c}") if c in key_names else F.col(c) for c in dim.columns])
+    cond = None
+    for (expr, dcol), ns in zip(pairs, null_safe):
+        part = expr.eqNullSafe(F.col(f"__lk_{dcol}")) if ns else expr == F.col(f"__lk_{dcol}")
+        cond = part if cond is None else cond & part
+    if not is_broadcast and any(not ns for ns in null_safe):
+        # NULL strict keys: hash-spread join values so they do not share one
+        # reducer; the guard keeps them from ever matching.
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(NULL_KEY_SPREAD))
+        cond, guard = None, None
         for (expr, dcol), ns in zip(pairs, null_safe):
-            rc = F.col(f"__lk_{dcol}")
-            parts.append(expr.eqNullSafe(rc) if ns else expr == rc)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out & p
-        return out
-
-    if is_broadcast or all(null_safe):
-        joined = fact.join(renamed, cond(), "left")
-        return joined.select(*fact.columns, *value_cols)
-    strict = [expr for (expr, _), ns in zip(pairs, null_safe) if not ns]
-    has_null = strict[0].isNull()
-    for expr in strict[1:]:
-        has_null = has_null | expr.isNull()
-    keyed = fact.where(~has_null).join(renamed, cond(), "left").select(*fact.columns, *value_cols)
-    unkeyed = fact.where(has_null).select(
-        *fact.columns, *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in value_cols])
-    return keyed.unionByName(unkeyed)
+            rcol = F.col(f"__lk_{dcol}")
+            if ns:
+                part = expr.eqNullSafe(rcol)
+            else:
+                dtype = fact.select(expr.alias("k")).schema["k"].dataType
+                part = F.coalesce(expr, spread.cast(dtype)) == rcol
+                guard = expr.isNotNull() if guard is None else guard & expr.isNotNull()
+            cond = part if cond is None else cond & part
+        cond = cond & guard
+    return fact.join(right, cond, "left").select(*fact.columns, *value_cols)

@@ -53,8 +53,10 @@ def violent_by_dow_hour(fact_incidents: DataFrame, dim_date: DataFrame, dim_time
     reaches the scan (and prunes date partitions of a written fact).
     """
     lo, hi = year * 10000 + 101, year * 10000 + 1231
-    per = _per_key(_violent(fact_incidents).where(F.col("date_key").between(lo, hi)),
-                   ["date_key", "time_key"])
+    fact = _violent(fact_incidents).where(F.col("date_key").between(lo, hi))
+    if "year_month" in fact_incidents.columns:  # a written fact: prune month directories
+        fact = fact.where(F.col("year_month").between(year * 100 + 1, year * 100 + 12))
+    per = _per_key(fact, ["date_key", "time_key"])
     days = dim_date.where(F.col("year") == year).select("date_key", "day_of_week_name")
     return (per.join(F.broadcast(days), "date_key")
             .join(F.broadcast(dim_time.select("time_key", "hour")), "time_key")
