@@ -46,9 +46,19 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
     return _PLANS[memo]
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when its scan yields fewer partitions
+    than the cluster has cores (a small file with a single row group cannot be
+    split). Large inputs already arrive in many splits and are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def _build_raw(spark: SparkSession, sf_dir: str) -> RawInputs:
-    events = read_parquet(spark, f"{sf_dir}/events.parquet")
-    orders = read_parquet(spark, f"{sf_dir}/orders.parquet")
+    events = spread(read_parquet(spark, f"{sf_dir}/events.parquet"), "event_id")
+    orders = spread(read_parquet(spark, f"{sf_dir}/orders.parquet"), "o_orderkey")
     return RawInputs(
         calls=fixtures.calls_from_events(events),
         incidents=fixtures.incidents_from_orders(orders),
