@@ -24,6 +24,13 @@ NULL_KEY_SPREAD = 1024
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       known_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``(broadcast(dim), True)`` when ``dim`` has at most ``max_rows`` rows.
+
+    Rows held by the driver (``isLocal``) are already bounded by its memory
+    and are broadcast without a counting job.
+    """
+    if known_rows is None and dim.isLocal():
+        return F.broadcast(dim), True
     n = dim.count() if known_rows is None else known_rows
     if n <= max_rows:
         return F.broadcast(dim), True

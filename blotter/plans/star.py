@@ -34,66 +34,70 @@ class Star:
     single_task_rows: int | None = None
     tables: dict = field(default_factory=dict)
 
+    def _layer(self, name: str, build) -> DataFrame:
+        """A written layer when one was stored, else its lazy definition."""
+        return self.tables[name] if name in self.tables else build()
+
     def _kw(self) -> dict:
         return {} if self.single_task_rows is None else {"single_task_rows": self.single_task_rows}
 
     @cached_property
     def clean_calls(self) -> DataFrame:
-        return self.tables.get("clean_calls") or clean.clean_calls(self.raw.calls)
+        return self._layer("clean_calls", lambda: clean.clean_calls(self.raw.calls))
 
     @cached_property
     def clean_incidents(self) -> DataFrame:
-        return self.tables.get("clean_incidents") or clean.clean_incidents(self.raw.incidents)
+        return self._layer("clean_incidents", lambda: clean.clean_incidents(self.raw.incidents))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self.tables.get("dim_date") or dims.dim_date(self.spark)
+        return self._layer("dim_date", lambda: dims.dim_date(self.spark))
 
     @cached_property
     def dim_time(self) -> DataFrame:
-        return self.tables.get("dim_time") or dims.dim_time(self.spark)
+        return self._layer("dim_time", lambda: dims.dim_time(self.spark))
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return self.tables.get("dim_location") or dims.dim_location(
-            self.clean_incidents, self.clean_calls, **self._kw())
+        return self._layer("dim_location", lambda: dims.dim_location(
+            self.clean_incidents, self.clean_calls, **self._kw()))
 
     @cached_property
     def dim_offense(self) -> DataFrame:
-        return self.tables.get("dim_offense") or dims.dim_offense(self.clean_incidents, **self._kw())
+        return self._layer("dim_offense", lambda: dims.dim_offense(self.clean_incidents, **self._kw()))
 
     @cached_property
     def dim_call_type(self) -> DataFrame:
-        return self.tables.get("dim_call_type") or dims.dim_call_type(
-            self.clean_calls, self.raw.ref_tencode, self.raw.ref_suffix, **self._kw())
+        return self._layer("dim_call_type", lambda: dims.dim_call_type(
+            self.clean_calls, self.raw.ref_tencode, self.raw.ref_suffix, **self._kw()))
 
     @cached_property
     def dim_call_disposition(self) -> DataFrame:
-        return self.tables.get("dim_call_disposition") or dims.dim_call_disposition(
-            self.clean_calls, **self._kw())
+        return self._layer("dim_call_disposition",
+                           lambda: dims.dim_call_disposition(self.clean_calls, **self._kw()))
 
     @cached_property
     def fact_calls(self) -> DataFrame:
-        return self.tables.get("fact_calls") or facts.fact_calls(self.clean_calls, **self._kw())
+        return self._layer("fact_calls", lambda: facts.fact_calls(self.clean_calls, **self._kw()))
 
     @cached_property
     def fact_incidents(self) -> DataFrame:
-        return self.tables.get("fact_incidents") or facts.fact_incidents(self.clean_incidents, **self._kw())
+        return self._layer("fact_incidents", lambda: facts.fact_incidents(self.clean_incidents, **self._kw()))
 
     @cached_property
     def fact_calls_enriched(self) -> DataFrame:
-        return self.tables.get("fact_calls_enriched") or facts.fact_calls_enriched(
+        return self._layer("fact_calls_enriched", lambda: facts.fact_calls_enriched(
             self.clean_calls, self.dim_location, self.dim_call_type, self.dim_call_disposition,
-            normalize=self.normalize_lookups, **self._kw())
+            normalize=self.normalize_lookups, **self._kw()))
 
     # Report inputs: facts without surrogate keys unless already written.
     @cached_property
     def calls_for_reports(self) -> DataFrame:
-        return self.tables.get("fact_calls") or facts.fact_calls(self.clean_calls, with_key=False)
+        return self._layer("fact_calls", lambda: facts.fact_calls(self.clean_calls, with_key=False))
 
     @cached_property
     def incidents_for_reports(self) -> DataFrame:
-        return self.tables.get("fact_incidents") or facts.fact_incidents(self.clean_incidents, with_key=False)
+        return self._layer("fact_incidents", lambda: facts.fact_incidents(self.clean_incidents, with_key=False))
 
 
 def _with_month(df: DataFrame) -> DataFrame:
