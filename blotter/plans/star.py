@@ -135,10 +135,18 @@ def write_star(star: Star, out_dir: str, layers: list[str] | None = None) -> dic
     return {k: v.get for k, v in metrics.items()}
 
 
+# Reports broadcast the calendar and the clock. Generated, their size follows
+# from the calendar range; reread from files it is checked once here.
+BROADCAST_DIM_ROWS = {"dim_date": 200_000, "dim_time": 24 * 60}
+
+
 def read_star(spark: SparkSession, raw: RawInputs, out_dir: str) -> Star:
     star = Star(spark, raw)
     for name in LAYERS:
         path = os.path.join(out_dir, name)
         if os.path.exists(path):
             star.tables[name] = spark.read.parquet(path)
+    for name, bound in BROADCAST_DIM_ROWS.items():
+        if name in star.tables and star.tables[name].count() > bound:
+            raise ValueError(f"{name} has more than {bound} rows; reports broadcast it")
     return star

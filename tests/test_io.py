@@ -21,6 +21,8 @@ def test_write_star_and_report_from_files(spark, scratch):
     assert metrics["clean_calls"]["rows"] == raw.calls.count()
     assert metrics["clean_calls"]["null_call_received"] == star.clean_calls.where("call_received IS NULL").count()
     assert os.path.isdir(os.path.join(scratch, "fact_calls"))
+    months = [d for d in os.listdir(os.path.join(scratch, "fact_incidents")) if d.startswith("year_month=")]
+    assert "year_month=202501" in months and len(months) > 12
     stored = read_star(spark, raw, scratch)
     fresh = Star(spark, raw)
     a = reports.violent_rate_by_month(stored.calls_for_reports, stored.incidents_for_reports, stored.dim_date)
