@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from blotter.session import checkpoint_dir
 
 DEFAULT_SINGLE_TASK_ROWS = 1_000_000
-ROWS_PER_PARTITION = 2_000_000
+ROWS_PER_PARTITION = 4_000_000
 SAMPLES_PER_PARTITION = 64
 MAX_HOT_VALUES = 64
 EXPAND_CHUNK = 1_000_000
@@ -128,46 +128,51 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *,
           .write.mode("overwrite").parquet(staged_path))
     staged = spark.read.parquet(staged_path).select("*", *k_exprs)
 
-    below_hot = [F.sum(F.when(kstruct < h, 1).otherwise(0)).alias(f"__dk_lt{i}")
+    # Rows per staged partition -> first key of each partition: a running sum
+    # over at most ``parts`` rows, joined back by broadcast (its size is bounded
+    # by the partition count, so no per-partition list goes into the plan).
+    below_hot = [F.sum(F.when(kstruct < h, 1).otherwise(0)).cast("bigint").alias(f"__dk_lt{i}")
                  for i, h in enumerate(hot_lits)]
-    part_rows = staged.groupBy("__dk_p").agg(F.count(F.lit(1)).alias("rows"), *below_hot).collect()
-    per_part = {r["__dk_p"]: r["rows"] for r in part_rows}
-    main_below = [sum(r[f"__dk_lt{i}"] for r in part_rows) for i in range(len(hot_lits))]
-    part_offsets, running = [], 0
-    for p in range(max(per_part, default=-1) + 1):
-        part_offsets.append(running)
-        running += per_part.get(p, 0)
-
-    hot_counts = {}
+    per_part = staged.groupBy("__dk_p").agg(F.count(F.lit(1)).alias("__dk_rows"), *below_hot)
+    per_part = per_part.checkpoint()
+    by_part = Window.orderBy("__dk_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(
+        "__dk_p", F.coalesce(F.sum("__dk_rows").over(by_part), F.lit(0)).cast("bigint").alias("__dk_off"))
+    main_below = [0] * len(hot_lits)
+    if hot_lits:
+        sums = per_part.agg(*[F.sum(f"__dk_lt{i}").alias(f"s{i}") for i in range(len(hot_lits))]).first()
+        main_below = [sums[f"s{i}"] or 0 for i in range(len(hot_lits))]
+
+    hot_slots = None
+    hot_total = [0] * len(hot_lits)
     if hot_lits:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]),
-                      F.array(*[F.lit(s) for s in hot_splits])[F.col("__dk_h")])
+                      F.array(*[F.lit(x) for x in hot_splits])[F.col("__dk_h")])
         keyed = keyed.withColumn("__dk_s", salt)
-        hot_counts = {(r["__dk_h"], r["__dk_s"]): r["count"] for r in
-                      keyed.where(F.col("__dk_h") >= 0).groupBy("__dk_h", "__dk_s").count().collect()}
-    hot_total = [sum(hot_counts.get((i, s), 0) for s in range(hot_splits[i])) for i in range(len(hot_lits))]
+        hot_slots = (keyed.where(F.col("__dk_h") >= 0).groupBy("__dk_h", "__dk_s")
+                     .agg(F.count(F.lit(1)).alias("__dk_cnt")).checkpoint())
+        totals = {r["__dk_h"]: r["t"] for r in
+                  hot_slots.groupBy("__dk_h").agg(F.sum("__dk_cnt").alias("t")).collect()}
+        hot_total = [totals.get(i, 0) for i in range(len(hot_lits))]
 
     # Key of an ordinary row.
     hot_before = F.lit(0).cast("bigint")
     for i, h in enumerate(hot_lits):
         hot_before = hot_before + F.when(kstruct > h, F.lit(hot_total[i])).otherwise(F.lit(0))
-    offsets = F.array(*[F.lit(o).cast("bigint") for o in part_offsets])
-    main = staged.withColumn(
-        key, (offsets[F.col("__dk_p")] + F.col("__dk_pos") + hot_before + F.lit(start)).cast("bigint")
-    ).select(*columns, key)
+    main = (staged.join(F.broadcast(offsets), "__dk_p")
+            .withColumn(key, (F.col("__dk_off") + F.col("__dk_pos") + hot_before + F.lit(start)).cast("bigint"))
+            .select(*columns, key))
     if not hot_lits:
         return main
 
-    # Hot rows: first key of every (hot value, slot).
-    slot_base, slot_first = [], []
-    for i in range(len(hot_lits)):
-        block = start + main_below[i] + sum(hot_total[:i])
-        slot_base.append(len(slot_first))
-        for s in range(hot_splits[i]):
-            slot_first.append(block)
-            block += hot_counts.get((i, s), 0)
-    first_arr = F.array(*[F.lit(x).cast("bigint") for x in slot_first])
-    base_arr = F.array(*[F.lit(x) for x in slot_base])
+    # Hot rows: first key of every (hot value, slot), again a running sum
+    # joined back by broadcast (at most one row per slot).
+    block_start = [start + main_below[i] + sum(hot_total[:i]) for i in range(len(hot_lits))]
+    by_slot = Window.partitionBy("__dk_h").orderBy("__dk_s").rowsBetween(Window.unboundedPreceding, -1)
+    slot_first = hot_slots.select(
+        "__dk_h", "__dk_s",
+        (F.array(*[F.lit(b).cast("bigint") for b in block_start])[F.col("__dk_h")]
+         + F.coalesce(F.sum("__dk_cnt").over(by_slot), F.lit(0))).cast("bigint").alias("__dk_slot_first"))
     group_cols = [c for c in columns if _orderable(df.schema[c].dataType)]
     if len(group_cols) < len(columns):
         raise ValueError("dense_key: hot sort values need every column to be orderable")
@@ -175,10 +180,9 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *,
                  .groupBy("__dk_h", "__dk_s", *group_cols).agg(F.count(F.lit(1)).alias("__dk_n")))
     before = Window.partitionBy("__dk_h", "__dk_s").orderBy(*group_cols).rowsBetween(
         Window.unboundedPreceding, -1)
-    ranked = collapsed.withColumn(
-        "__dk_first",
-        F.coalesce(F.sum("__dk_n").over(before), F.lit(0)).cast("bigint")
-        + first_arr[base_arr[F.col("__dk_h")] + F.col("__dk_s")])
+    ranked = (collapsed.join(F.broadcast(slot_first), ["__dk_h", "__dk_s"])
+              .withColumn("__dk_first", F.coalesce(F.sum("__dk_n").over(before), F.lit(0)).cast("bigint")
+                          + F.col("__dk_slot_first")))
     last = F.col("__dk_first") + F.col("__dk_n") - 1
     small = (ranked.where(F.col("__dk_n") <= expand_chunk)
              .withColumn(key, F.explode(F.sequence(F.col("__dk_first"), last))))

@@ -80,8 +80,22 @@ def test_start_offset(spark):
     assert [(r.a, r.k) for r in got] == [(None, 10), ("a", 11), ("b", 12)]
 
 
+def _depth(line):
+    return len(line) - len(line.lstrip(" :+-"))
+
+
 def test_distributed_plan_has_no_single_partition_sort(calls):
+    """Fact rows never meet a single-partition exchange; the only one sums the
+    per-partition counts (one row per partition) on a broadcast side."""
     got = dense_key(calls, ["complaint_number"], key="k", ties=["event_number"], single_task_rows=0,
                     rows_per_partition=1000)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    lines = got._jdf.queryExecution().executedPlan().toString().split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            d = _depth(line)
+            ancestors = []
+            for prev in reversed(lines[:i]):
+                if _depth(prev) < d:
+                    ancestors.append(prev)
+                    d = _depth(prev)
+            assert any("BroadcastExchange" in a for a in ancestors), line
