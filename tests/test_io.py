@@ -19,6 +19,8 @@ def test_write_star_and_report_from_files(spark, scratch):
     metrics = write_star(star, scratch)
     assert metrics["clean_calls"]["rows"] == raw.calls.count()
     assert metrics["clean_calls"]["null_call_received"] == star.clean_calls.where("call_received IS NULL").count()
+    assert metrics["dim_time"]["rows"] == 24 and metrics["dim_date"]["rows"] == 2922
+    assert metrics["fact_calls_enriched"]["rows"] == raw.calls.count()
     assert os.path.isdir(os.path.join(scratch, "fact_calls"))
     months = [d for d in os.listdir(os.path.join(scratch, "fact_incidents")) if d.startswith("year_month=")]
     assert "year_month=202501" in months and len(months) > 12
