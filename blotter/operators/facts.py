@@ -83,15 +83,20 @@ def fact_calls_enriched(calls_clean: DataFrame, dim_location: DataFrame, dim_cal
     if normalize:
         suffix = F.trim(F.upper(suffix))
         code = F.trim(code)
+    sizes = [loc.count(), ctype.count(), disp.count()]
     f = left_lookup(calls, loc, [(F.col("latitude"), "latitude"), (F.col("longitude"), "longitude")],
-                    max_broadcast_rows=max_broadcast_rows)
+                    max_broadcast_rows=max_broadcast_rows, dim_rows=sizes[0])
     f = left_lookup(f, ctype, [(F.col("tencode").try_cast("int"), "tencode"), (suffix, "tencode_suffix")],
-                    null_safe=[False, normalize], max_broadcast_rows=max_broadcast_rows)
-    f = left_lookup(f, disp, [(code, "disposition_code")], max_broadcast_rows=max_broadcast_rows)
+                    null_safe=[False, normalize], max_broadcast_rows=max_broadcast_rows, dim_rows=sizes[1])
+    f = left_lookup(f, disp, [(code, "disposition_code")], max_broadcast_rows=max_broadcast_rows,
+                    dim_rows=sizes[2])
+    # With every lookup broadcast the keyed input is a narrow scan and cheap to
+    # recompute; a shuffle join is written once instead.
+    shuffled = any(n > max_broadcast_rows for n in sizes)
     f = f.select("event_number", "complaint_number", "date_key", "time_key", "location_key",
                  "call_type_key", "call_disposition_key", "shift", "sector",
                  "call_received_ts", "ingest_run_ts_utc")
     f = dense_key(f, ["event_number", "call_received_ts"], key="call_key",
-                  single_task_rows=single_task_rows)
+                  single_task_rows=single_task_rows, checkpoint_input=shuffled)
     return f.select(*[F.col("call_received_ts").alias("call_received_utc") if c == "call_received_utc"
                       else F.col(c) for c in ENRICHED_CALL_COLUMNS])

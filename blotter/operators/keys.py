@@ -69,11 +69,15 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *,
               rows_per_partition: int = ROWS_PER_PARTITION,
               samples_per_partition: int = SAMPLES_PER_PARTITION,
               max_hot_values: int = MAX_HOT_VALUES, expand_chunk: int = EXPAND_CHUNK,
-              staging_dir: str | None = None, seed: int = 11) -> DataFrame:
+              staging_dir: str | None = None, checkpoint_input: bool = False,
+              seed: int = 11) -> DataFrame:
     """Append ``key`` = position of the row in ascending ``order_by`` + ``ties``.
 
     Columns in ``nulls_last`` sort their NULLs last, all others first (Spark's
     ascending default). Returns the input columns followed by ``key``.
+    ``checkpoint_input`` writes an expensive input (an aggregate, a shuffle
+    join) to the checkpoint folder once before the distributed passes, which
+    would otherwise each recompute it.
     """
     spark = df.sparkSession
     nulls_last = set(nulls_last)
@@ -96,6 +100,8 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *,
                   .withColumn(key, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
                   .select(*columns, key))
 
+    if checkpoint_input:
+        df = df.checkpoint()
     shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(shuffle_parts, math.ceil(n / rows_per_partition))
     keyed = df.select("*", *k_exprs)
