@@ -65,3 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="blotter-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def session_token(spark: SparkSession) -> tuple:
+    """Identifies one live session: plans built for it must not outlive it."""
+    return (spark.sparkContext.applicationId, id(spark))

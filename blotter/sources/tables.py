@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.session import prepare
+from blotter.session import prepare, session_token
 from blotter.sources import fixtures
 
 
@@ -39,7 +39,7 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
     small scale. Each action still reads the files again.
     """
     prepare(spark)
-    memo = (id(spark), sf_dir)
+    memo = (session_token(spark), sf_dir)
     if memo not in _PLANS:
         _PLANS.clear()
         _PLANS[memo] = _build_raw(spark, sf_dir)
