@@ -158,3 +158,41 @@ def read_star(spark: SparkSession, raw: RawInputs, out_dir: str) -> Star:
         if name in star.tables and star.tables[name].count() > bound:
             raise ValueError(f"{name} has more than {bound} rows; reports broadcast it")
     return star
+
+
+# Table names the star schema is queried by in SQL.
+VIEW_NAMES = {
+    "clean_calls": "clean_calls_for_service_v2",
+    "clean_incidents": "clean_incidents_v2",
+    "dim_date": "dim_date",
+    "dim_time": "dim_time",
+    "dim_location": "dim_location",
+    "dim_offense": "dim_offense",
+    "dim_call_type": "dim_call_type",
+    "dim_call_disposition": "dim_call_disposition",
+    "fact_calls_enriched": "fact_calls_for_service_v2",
+    "fact_calls": "fact_calls_for_service_v3",
+    "fact_incidents": "fact_incidents_v2",
+}
+
+
+def register_views(star: Star, layers: list[str] | None = None) -> list[str]:
+    """Expose layers as temp views under their SQL table names, so existing
+    report SQL runs unchanged through ``spark.sql``.
+
+    Only the named layers are touched: a layer with surrogate keys runs its
+    key jobs when registered, so report-only sessions register just the facts
+    and dimensions the reports read (the facts without keys when unwritten).
+    """
+    names = layers or ["dim_date", "dim_time", "fact_calls", "fact_incidents"]
+    out = []
+    for name in names:
+        if name == "fact_calls" and "fact_calls" not in star.tables:
+            df = star.calls_for_reports
+        elif name == "fact_incidents" and "fact_incidents" not in star.tables:
+            df = star.incidents_for_reports
+        else:
+            df = getattr(star, name)
+        df.createOrReplaceTempView(VIEW_NAMES[name])
+        out.append(VIEW_NAMES[name])
+    return out

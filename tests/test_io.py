@@ -81,3 +81,11 @@ def test_streaming_hourly_counts(spark, scratch):
     exp = {(r.h, r.n) for r in clean_calls(raw).where("call_received IS NOT NULL")
            .groupBy(F.date_trunc("hour", "call_received").alias("h")).agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == exp
+
+
+def test_command_line_build_and_report(spark, scratch, capsys):
+    from blotter.__main__ import main
+    assert main(["build", "--sf-dir", SF, "--out", scratch]) == 0
+    assert main(["report", "calls_by_hour", "--sf-dir", SF, "--out", scratch]) == 0
+    lines = capsys.readouterr().out.strip().split("\n")
+    assert len(lines) == 1 + 24
