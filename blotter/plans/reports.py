@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 from blotter.functions.rules import VIOLENT_NIBRS
 
 
+def _ordered(result: DataFrame, *cols: str) -> DataFrame:
+    """Sort a report result whose size is bounded by its dimensions (at most
+    24 hours, 96 calendar months, 7 x 24 weekday hours, ...). One task sorts
+    those few rows; a global ``orderBy`` would add a range-sampling job and a
+    shuffle for them."""
+    return result.repartition(1).sortWithinPartitions(*cols)
+
+
 def _per_key(fact: DataFrame, keys: list[str]) -> DataFrame:
     cond = None
     for k in keys:
@@ -31,7 +39,7 @@ def calls_by_hour(fact_calls: DataFrame, dim_time: DataFrame) -> DataFrame:
     per = _per_key(fact_calls, ["time_key"])
     return (per.join(F.broadcast(dim_time.select("time_key", "hour")), "time_key")
             .groupBy("hour").agg(F.sum("__n").cast("bigint").alias("call_count"))
-            .orderBy("hour"))
+            .transform(_ordered, "hour"))
 
 
 def _by_month(per_date: DataFrame, dim_date: DataFrame, name: str) -> DataFrame:
@@ -42,7 +50,7 @@ def _by_month(per_date: DataFrame, dim_date: DataFrame, name: str) -> DataFrame:
 
 
 def calls_by_month(fact_calls: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return _by_month(_per_key(fact_calls, ["date_key"]), dim_date, "call_count").orderBy("year", "month")
+    return _by_month(_per_key(fact_calls, ["date_key"]), dim_date, "call_count").transform(_ordered, "year", "month")
 
 
 def violent_by_dow_hour(fact_incidents: DataFrame, dim_date: DataFrame, dim_time: DataFrame,
@@ -66,7 +74,7 @@ def violent_by_dow_hour(fact_incidents: DataFrame, dim_date: DataFrame, dim_time
             .join(F.broadcast(dim_time.select("time_key", "hour")), "time_key")
             .groupBy("day_of_week_name", "hour")
             .agg(F.sum("__n").cast("bigint").alias("violent_incident_count"))
-            .orderBy("day_of_week_name", "hour"))
+            .transform(_ordered, "day_of_week_name", "hour"))
 
 
 def violent_rate_by_month(fact_calls: DataFrame, fact_incidents: DataFrame,
@@ -85,7 +93,7 @@ def violent_rate_by_month(fact_calls: DataFrame, fact_incidents: DataFrame,
             .select("year", "month", "month_name", "total_calls", v.alias("violent_incidents"),
                     F.round(v.cast("double") / F.nullif(F.col("total_calls"), F.lit(0)) * 100, 2)
                     .alias("violent_incident_rate_pct"))
-            .orderBy("year", "month"))
+            .transform(_ordered, "year", "month"))
 
 
 def incidents_by_time_of_day(fact_incidents: DataFrame, dim_time: DataFrame) -> DataFrame:
@@ -95,7 +103,7 @@ def incidents_by_time_of_day(fact_incidents: DataFrame, dim_time: DataFrame) ->
               .groupBy("time_of_day").agg(F.sum("__n").cast("bigint").alias("incident_count")))
     total = F.sum("incident_count").over(Window.partitionBy())
     return (counts.withColumn("share_pct", F.round(F.col("incident_count") * 100.0 / total, 2).cast("double"))
-            .orderBy("time_of_day"))
+            .transform(_ordered, "time_of_day"))
 
 
 def incidents_weekend(fact_incidents: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -107,7 +115,7 @@ def incidents_weekend(fact_incidents: DataFrame, dim_date: DataFrame) -> DataFra
     return (counts.join(F.broadcast(days), "is_weekend")
             .withColumn("incidents_per_day",
                         F.round(F.col("incident_count").cast("double") / F.col("day_count"), 4))
-            .orderBy("is_weekend"))
+            .transform(_ordered, "is_weekend"))
 
 
 def calls_incidents_correlation(fact_calls: DataFrame, fact_incidents: DataFrame,
