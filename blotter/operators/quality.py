@@ -47,3 +47,9 @@ def observe_quality(df: DataFrame, name: str, null_cols: Sequence[str]) -> tuple
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
                           *[_nulls(c).alias(f"null_{c}") for c in null_cols])
     return observed, obs
+
+
+def preview(df: DataFrame, columns: Sequence[str] | None = None, n: int = 20) -> DataFrame:
+    """A few rows to eyeball after a step (raw text next to its parsed value,
+    say). The limit is the point here: it is a sample, never an input."""
+    return (df.select(*columns) if columns else df).limit(n)

@@ -130,6 +130,9 @@ def write_star(star: Star, out_dir: str, layers: list[str] | None = None,
         path = os.path.join(out_dir, name)
         df = getattr(star, name)
         partition_by = []
+        if name.startswith("dim_"):
+            # Dimensions are written in key order (a distributed range sort).
+            df = df.orderBy(df.columns[0])
         if name in FACTS:
             # Cluster first: the range bounds are sampled by a job of their
             # own, which must not run the observed plan (counters would double).

@@ -46,3 +46,10 @@ def test_clean_keeps_rows_and_columns(spark):
     rows = out.orderBy("incident_number").collect()
     assert rows[0].incident_occurred == dt.datetime(2025, 10, 28, 18, 10, 52) and rows[0].incident_reported is None
     assert rows[1].incident_occurred is None and rows[1].incident_reported == dt.datetime(2025, 10, 28, 19)
+
+
+def test_preview_shows_raw_next_to_parsed(spark):
+    from blotter.operators.quality import preview
+    df = spark.createDataFrame([(c,) for c, _ in CASES], "raw string").withColumn("parsed", parse_raw_ts(F.col("raw")))
+    rows = preview(df, ["raw", "parsed"], n=3).collect()
+    assert len(rows) == 3 and set(rows[0].asDict()) == {"raw", "parsed"}
