@@ -24,11 +24,10 @@ def _ordered(result: DataFrame, *cols: str) -> DataFrame:
 
 
 def _per_key(fact: DataFrame, keys: list[str]) -> DataFrame:
-    cond = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    return fact.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows per key, combined on the map side. A NULL key forms its own group
+    and is dropped by the inner join with its dimension (Catalyst infers and
+    pushes ``IS NOT NULL`` from that join)."""
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
 
 
 def _violent(fact_incidents: DataFrame) -> DataFrame:
