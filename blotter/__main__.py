@@ -1,7 +1,8 @@
 """Command line: build the star from the raw feeds, or print a report.
 
     python -m blotter build  --sf-dir /root/testdata/sf0.01 --out /data/star
-    python -m blotter report violent_rate_by_month --sf-dir ... --out /data/star
+    python -m blotter build  --csv calls.csv incidents.csv tencodes.csv suffixes.csv --out /data/star
+    python -m blotter report violent_rate_by_month --out /data/star
 
 ``--master`` is only for local runs; on a cluster the submit settings apply.
 """
@@ -14,7 +15,7 @@ import json
 from blotter.plans import reports
 from blotter.plans.star import Star, read_star, write_star
 from blotter.session import get_session
-from blotter.sources.tables import raw_inputs
+from blotter.sources.tables import RawInputs, raw_from_csv, raw_inputs
 
 REPORTS = {
     "calls_by_hour": lambda s: reports.calls_by_hour(s.calls_for_reports, s.dim_time),
@@ -33,13 +34,22 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="blotter")
     p.add_argument("command", choices=["build", "report"])
     p.add_argument("report", nargs="?", choices=sorted(REPORTS))
-    p.add_argument("--sf-dir", required=True, help="folder with the events / orders tables")
+    p.add_argument("--sf-dir", help="folder with the events / orders test tables")
+    p.add_argument("--csv", nargs=4, metavar=("CALLS", "INCIDENTS", "REF_TENCODE", "REF_SUFFIX"),
+                   help="CSV drops to land (header row) instead of the test tables")
     p.add_argument("--out", required=True, help="folder of the written star")
     p.add_argument("--master", default=None)
     p.add_argument("--normalize-lookups", action="store_true")
     args = p.parse_args(argv)
     spark = get_session(args.master)
-    raw = raw_inputs(spark, args.sf_dir)
+    if args.csv:
+        raw = raw_from_csv(spark, *args.csv, raw_dir=f"{args.out}/raw")
+    elif args.sf_dir:
+        raw = raw_inputs(spark, args.sf_dir)
+    elif args.command == "report":
+        raw = RawInputs(None, None, None, None)   # reports read the written star only
+    else:
+        p.error("build needs --sf-dir or --csv")
     if args.command == "build":
         metrics = write_star(Star(spark, raw, normalize_lookups=args.normalize_lookups), args.out)
         print(json.dumps(metrics, default=str))

@@ -55,3 +55,29 @@ def _build_raw(spark: SparkSession, sf_dir: str) -> RawInputs:
         ref_tencode=fixtures.ref_tencode(spark),
         ref_suffix=fixtures.ref_suffix(spark),
     )
+
+
+def raw_from_csv(spark: SparkSession, calls_csv: str, incidents_csv: str, ref_tencode_csv: str,
+                 ref_suffix_csv: str, run_ts: str | None = None,
+                 raw_dir: str | None = None) -> RawInputs:
+    """Raw inputs from CSV drops (header row, explicit schemas).
+
+    With ``raw_dir`` the feeds are landed as Parquet there first (the raw
+    layer) and read back from it.
+    """
+    from blotter import schemas
+    from blotter.sources.landing import land_csv
+
+    prepare(spark)
+
+    def landed(path: str, schema, name: str, stamp: bool) -> DataFrame:
+        out = f"{raw_dir}/{name}" if raw_dir else None
+        df = land_csv(spark, path, schema, run_ts=run_ts, out_path=out)
+        return df if stamp else df.drop("ingest_run_ts_utc")
+
+    return RawInputs(
+        calls=landed(calls_csv, schemas.CALLS_RAW, "calls", True),
+        incidents=landed(incidents_csv, schemas.INCIDENTS_RAW, "incidents", False),
+        ref_tencode=landed(ref_tencode_csv, schemas.REF_TENCODE, "ref_tencode", False),
+        ref_suffix=landed(ref_suffix_csv, schemas.REF_SUFFIX, "ref_suffix", False),
+    )
