@@ -20,7 +20,7 @@ ENRICHED_CALL_COLUMNS = ["call_key", "event_number", "complaint_number", "date_k
 
 
 def fact_calls(calls_clean: DataFrame, with_key: bool = True,
-               single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS) -> DataFrame:
+               single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS, **key_options) -> DataFrame:
     """Calls fact keyed by complaint number (ties broken by event number).
 
     ``with_key=False`` skips the surrogate key for reports that never read
@@ -35,12 +35,12 @@ def fact_calls(calls_clean: DataFrame, with_key: bool = True,
     if not with_key:
         return f.select(*[c for c in CALL_FACT_COLUMNS if c != "call_key"])
     f = dense_key(f, ["complaint_number"], key="call_key", ties=["event_number"],
-                  single_task_rows=single_task_rows)
+                  single_task_rows=single_task_rows, **key_options)
     return f.select(*CALL_FACT_COLUMNS)
 
 
 def fact_incidents(incidents_clean: DataFrame, with_key: bool = True,
-                   single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS) -> DataFrame:
+                   single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS, **key_options) -> DataFrame:
     ts = F.col("incident_occurred")
     f = incidents_clean.select(
         "incident_number", date_key(ts).alias("date_key"), time_key(ts).alias("time_key"),
@@ -48,14 +48,15 @@ def fact_incidents(incidents_clean: DataFrame, with_key: bool = True,
         "incident_occurred", "incident_reported")
     if not with_key:
         return f
-    f = dense_key(f, ["incident_number"], key="incident_key", single_task_rows=single_task_rows)
+    f = dense_key(f, ["incident_number"], key="incident_key", single_task_rows=single_task_rows,
+                  **key_options)
     return f.select(*INCIDENT_FACT_COLUMNS)
 
 
 def fact_calls_enriched(calls_clean: DataFrame, dim_location: DataFrame, dim_call_type: DataFrame,
                         dim_call_disposition: DataFrame, normalize: bool = False,
                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                        single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS) -> DataFrame:
+                        single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS, **key_options) -> DataFrame:
     """Calls fact with location, call-type and disposition keys.
 
     By default the lookups compare the codes as the feed has them, as the
@@ -97,6 +98,6 @@ def fact_calls_enriched(calls_clean: DataFrame, dim_location: DataFrame, dim_cal
                  "call_type_key", "call_disposition_key", "shift", "sector",
                  "call_received_ts", "ingest_run_ts_utc")
     f = dense_key(f, ["event_number", "call_received_ts"], key="call_key",
-                  single_task_rows=single_task_rows, checkpoint_input=shuffled)
+                  single_task_rows=single_task_rows, checkpoint_input=shuffled, **key_options)
     return f.select(*[F.col("call_received_ts").alias("call_received_utc") if c == "call_received_utc"
                       else F.col(c) for c in ENRICHED_CALL_COLUMNS])

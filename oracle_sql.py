@@ -151,13 +151,16 @@ fact_calls AS (
          latitude, longitude, rpa, zone_ AS zone, call_received, ingest_run_ts_utc
   FROM clean_calls),
 fact_incidents AS (
-  SELECT row_number() OVER (ORDER BY incident_number NULLS FIRST, incident_occurred NULLS FIRST,
-                                     incident_reported NULLS FIRST, offense_number NULLS FIRST) AS incident_key,
-         incident_number,
-         CAST(year(incident_occurred) * 10000 + month(incident_occurred) * 100 + day(incident_occurred) AS INTEGER) AS date_key,
-         CAST(hour(incident_occurred) * 100 AS INTEGER) AS time_key,
-         offense_number, offense_nibrs, latitude, longitude, incident_occurred, incident_reported
-  FROM clean_incidents)"""
+  SELECT row_number() OVER (ORDER BY incident_number NULLS FIRST, date_key NULLS FIRST, time_key NULLS FIRST,
+                                     offense_number NULLS FIRST, offense_nibrs NULLS FIRST, latitude NULLS FIRST,
+                                     longitude NULLS FIRST, incident_occurred NULLS FIRST,
+                                     incident_reported NULLS FIRST) AS incident_key, *
+  FROM (SELECT incident_number,
+               CAST(year(incident_occurred) * 10000 + month(incident_occurred) * 100 + day(incident_occurred)
+                    AS INTEGER) AS date_key,
+               CAST(hour(incident_occurred) * 100 AS INTEGER) AS time_key,
+               offense_number, offense_nibrs, latitude, longitude, incident_occurred, incident_reported
+        FROM clean_incidents))"""
 
 
 def _enriched(normalize: bool) -> str:

@@ -76,3 +76,28 @@ def test_reports_use_broadcast_dims_and_partial_aggregation(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "SortMergeJoin" not in plan
     assert "partial_count" in plan
+
+
+def test_incident_keys_with_duplicate_numbers_match_duckdb(spark, scratch):
+    """Ties on incident_number are broken by the remaining columns in order,
+    both by dense_key and by the oracle's row_number."""
+    import os
+
+    import duckdb
+    from oracle_sql import FACTS
+
+    clean = Star(spark, raw_inputs(spark, SF)).clean_incidents
+    dupes = (clean.where(F.col("incident_number") < "I0000000300")
+             .withColumn("incident_occurred", F.col("incident_occurred") + F.expr("INTERVAL 1 HOUR")))
+    both = clean.unionByName(dupes)
+    path = os.path.join(scratch, "clean_incidents")
+    both.write.parquet(path)
+    stored = spark.read.parquet(path)
+    got = facts.fact_incidents(stored, single_task_rows=0, rows_per_partition=200)
+    body = FACTS.split("fact_incidents AS (")[1].rstrip()
+    body = body[:body.rfind(")")]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW clean_incidents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    exp = con.execute(f"SELECT incident_key, incident_number, date_key FROM ({body})").fetchall()
+    rows = [(r.incident_key, r.incident_number, r.date_key) for r in got.collect()]
+    assert sorted(rows) == sorted(exp)
