@@ -112,3 +112,17 @@ def test_command_line_from_csv_drops(spark, scratch, capsys):
     import json
     got = [json.loads(line) for line in lines[1:]]
     assert got == [json.loads(json.dumps(r.asDict(), default=str)) for r in fresh.collect()]
+
+
+def test_streaming_clean_incidents_equals_batch(spark, scratch):
+    from blotter.operators.clean import clean_incidents
+    raw = raw_inputs(spark, SF).incidents
+    src = os.path.join(scratch, "raw_incidents")
+    raw.write.parquet(src)
+    q = incremental.start_clean(spark, src, os.path.join(scratch, "clean_incidents"),
+                                os.path.join(scratch, "ckpt_incidents"), feed="incidents")
+    q.awaitTermination(120)
+    got = spark.read.parquet(os.path.join(scratch, "clean_incidents"))
+    exp = clean_incidents(raw)
+    assert got.count() == exp.count()
+    assert got.select(exp.columns).exceptAll(exp).count() == 0
