@@ -81,17 +81,26 @@ def violent_rate_by_month(fact_calls: DataFrame, fact_incidents: DataFrame,
     """Monthly calls, violent incidents and violent incidents per 100 calls.
 
     Months with calls and no violent incident report 0; months without calls
-    are absent. Both sides are at most one row per calendar month, a bound
-    set by dim_date, so the final join broadcasts safely.
+    are absent; the rate is NULL on zero calls. Both facts are tagged and
+    stacked (call = 1 or violent = 1 per row) so one partial aggregation per
+    date_key and one calendar join serve both counts: a single shuffle of
+    partial counts instead of one per fact, and the same result as joining
+    the two monthly aggregates.
     """
-    calls = _by_month(_per_key(fact_calls, ["date_key"]), dim_date, "total_calls")
-    violent = _by_month(_per_key(_violent(fact_incidents), ["date_key"]), dim_date, "violent_incidents")
-    v = F.coalesce(F.col("violent_incidents"), F.lit(0)).cast("bigint")
-    return (calls.join(F.broadcast(violent.select("year", "month", "violent_incidents")),
-                       ["year", "month"], "left")
-            .select("year", "month", "month_name", "total_calls", v.alias("violent_incidents"),
-                    F.round(v.cast("double") / F.nullif(F.col("total_calls"), F.lit(0)) * 100, 2)
-                    .alias("violent_incident_rate_pct"))
+    tagged = (fact_calls.select("date_key", F.lit(1).alias("__c"), F.lit(0).alias("__v"))
+              .unionByName(_violent(fact_incidents).select("date_key", F.lit(0).alias("__c"),
+                                                           F.lit(1).alias("__v"))))
+    per_date = tagged.groupBy("date_key").agg(F.sum("__c").alias("__c"), F.sum("__v").alias("__v"))
+    monthly = (per_date.join(F.broadcast(dim_date.select("date_key", "year", "month", "month_name")),
+                             "date_key")
+               .groupBy("year", "month", "month_name")
+               .agg(F.sum("__c").cast("bigint").alias("total_calls"),
+                    F.sum("__v").cast("bigint").alias("violent_incidents"))
+               .where(F.col("total_calls") > 0))
+    return (monthly.select(
+                "year", "month", "month_name", "total_calls", "violent_incidents",
+                F.round(F.col("violent_incidents").cast("double") / F.nullif(F.col("total_calls"), F.lit(0))
+                        * 100, 2).alias("violent_incident_rate_pct"))
             .transform(_ordered, "year", "month"))
 
 
