@@ -131,12 +131,15 @@ def calls_incidents_correlation(fact_calls: DataFrame, fact_incidents: DataFrame
     """Daily call volume vs daily incidents on days both feeds cover.
 
     Pearson correlation, least-squares slope / intercept (incidents on calls)
-    and R^2, over calendar days with at least one call and one incident.
+    and R^2, over calendar days with at least one call and one incident. Both
+    facts are counted per day in one partial aggregation (tagged rows).
     """
-    cal = F.broadcast(dim_date.select("date_key"))
-    calls = _per_key(fact_calls, ["date_key"]).join(cal, "date_key").withColumnRenamed("__n", "calls")
-    inc = _per_key(fact_incidents, ["date_key"]).join(cal, "date_key").withColumnRenamed("__n", "incidents")
-    daily = calls.join(inc, "date_key")
+    tagged = (fact_calls.select("date_key", F.lit(1).alias("calls"), F.lit(0).alias("incidents"))
+              .unionByName(fact_incidents.select("date_key", F.lit(0).alias("calls"),
+                                                 F.lit(1).alias("incidents"))))
+    daily = (tagged.groupBy("date_key").agg(F.sum("calls").alias("calls"), F.sum("incidents").alias("incidents"))
+             .join(F.broadcast(dim_date.select("date_key")), "date_key")
+             .where((F.col("calls") > 0) & (F.col("incidents") > 0)))
     y, x = F.col("incidents").cast("double"), F.col("calls").cast("double")
     return daily.agg(
         F.count(F.lit(1)).cast("bigint").alias("days"),
