@@ -15,6 +15,8 @@ same order, computed in parallel:
    position inside it. The staged table fixes the placement: a recomputed
    task can no longer move a row, and the key of a row is
    ``rows in earlier partitions + position + hot rows sorting before it``.
+   The per-partition starts are a running sum over one row per partition,
+   computed in Spark and joined back by broadcast.
 4. Hot rows are pre-aggregated on the map side (copies collapse into one row
    with a multiplicity), split over several slots by a hash of the full row,
    numbered with a running sum per slot and expanded again in bounded chunks
