@@ -101,3 +101,24 @@ def test_incident_keys_with_duplicate_numbers_match_duckdb(spark, scratch):
     exp = con.execute(f"SELECT incident_key, incident_number, date_key FROM ({body})").fetchall()
     rows = [(r.incident_key, r.incident_number, r.date_key) for r in got.collect()]
     assert sorted(rows) == sorted(exp)
+
+
+def test_null_lookup_keys_are_spread_over_reducers(spark):
+    """Shuffle-path lookup: 90% NULL keys must not land in one reducer."""
+    fact = spark.range(0, 20000).select(
+        F.col("id"), F.when(F.col("id") % 10 == 0, (F.col("id") % 7).cast("string")).alias("code"))
+    dim = spark.range(0, 7).select(F.col("id").cast("string").alias("code"), F.col("id").alias("k"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left_lookup(fact, dim, [(F.col("code"), "code")], max_broadcast_rows=0)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 20000
+        assert max(sizes) < 0.5 * 20000, sizes
+        assert joined.where("k IS NOT NULL").count() == 2000
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
