@@ -54,7 +54,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder is an error, because a machine-local folder would not survive the
     loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns the context
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -69,4 +75,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def session_token(spark: SparkSession) -> tuple:
     """Identifies one live session: plans built for it must not outlive it."""
-    return (spark.sparkContext.applicationId, id(spark))
+    return (spark.conf.get("spark.app.id", None), id(spark))
