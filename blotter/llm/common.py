@@ -57,3 +57,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and their counts."""
+    x = np.sort(x)
+    first = np.ones(len(x), bool)
+    first[1:] = x[1:] != x[:-1]
+    at = np.flatnonzero(first)
+    return x[at], np.diff(at, append=len(x))
+
+
+def among(x: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in sorted ``values``."""
+    if not len(values):
+        return np.zeros(len(x), bool)
+    at = np.searchsorted(values, x)
+    at[at == len(values)] = 0
+    return values[at] == x

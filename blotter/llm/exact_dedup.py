@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from blotter.llm.common import SPACES, mix64, parts_for, pick, settle, table
+from blotter.llm.common import SPACES, among, distinct, mix64, parts_for, pick, settle, table
 from blotter.llm.exchange import decode, encode, owner_cuts, pack_mask, unpack_mask
 
 SOURCE_ROWS = 1_000_000   # rows of one sender at scale
@@ -59,7 +59,7 @@ def _send(owners: int):
                 src = b.column("src")[0].as_py()
                 held.append(b.column("fp").to_numpy().view(np.uint64))
         if held:
-            values = np.unique(np.concatenate(held))
+            values, _ = distinct(np.concatenate(held))
             cuts = owner_cuts(values, owners)
             sent = [(o, encode(values[a:z])) for o, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
             yield pa.RecordBatch.from_pydict({
@@ -71,20 +71,20 @@ def _send(owners: int):
 def _reply(t: pa.Table) -> pa.Table:
     """One bit per received value: does another sender have it too?"""
     got = [decode(x) for x in t.column("blob").to_pylist()]
-    values, counts = np.unique(np.concatenate(got), return_counts=True)
+    values, counts = distinct(np.concatenate(got))
     shared = values[counts > 1]
-    masks = [pack_mask(np.isin(v, shared)) for v in got]
+    masks = [pack_mask(among(v, shared)) for v in got]
     return pa.table({"src": t.column("src"), "owner": t.column("owner"), "mask": pa.array(masks, pa.binary()),
                      "n": pa.array([len(v) for v in got], pa.int32())})
 
 
 def _suspects(rows: pa.Table, masks: pa.Table) -> pa.Table:
     fp = rows.column("fp").to_numpy().view(np.uint64)
-    values, at, counts = np.unique(fp, return_inverse=True, return_counts=True)
+    values, counts = distinct(fp)
     order = np.argsort(masks.column("owner").to_numpy())
     blobs, ns = masks.column("mask").to_pylist(), masks.column("n").to_pylist()
     shared = np.concatenate([unpack_mask(blobs[i], ns[i]) for i in order])
-    return rows.filter(pa.array(((counts > 1) | shared)[at]))
+    return rows.filter(pa.array(((counts > 1) | shared)[np.searchsorted(values, fp)]))
 
 
 def _bloom_places(fp: np.ndarray) -> np.ndarray:

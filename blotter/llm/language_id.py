@@ -45,33 +45,37 @@ def _grams(word: str, n: int) -> list[str]:
     return [s[i:i + n] for i in range(len(s) - n + 1)]
 
 
-def _flushed(rows, names, limit=500_000):
+WORD_ROWS = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("c", pa.int64())])
+GRAM_ROWS = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("gram", pa.string()), ("c", pa.int64())])
+
+
+def _added(rows, schema, limit=500_000):
     """Add up (key, count) pairs from ``rows``; hand out what is held whenever it gets large."""
     held: Counter = Counter()
 
     def batch():
-        out = pa.RecordBatch.from_pydict({x: [k[i] for k in held] for i, x in enumerate(names)} | {"c": list(held.values())})
-        held.clear()
-        return out
+        keys = [pa.array(x, f.type) for x, f in zip(zip(*held), schema)]
+        return pa.RecordBatch.from_arrays([*keys, pa.array(held.values(), pa.int64())], schema=schema)
 
     for key, c in rows:
         held[key] += c
         if len(held) >= limit:
             yield batch()
+            held.clear()
     if held:
         yield batch()
 
 
 def _count_words(batches):
-    return _flushed((((lang, w), c) for b in batches
-                     for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist())
-                     for w, c in Counter(WORD.findall(text.lower())).items()), ("lang", "gram"))
+    return _added((((lang, w), c) for b in batches
+                   for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist())
+                   for w, c in Counter(WORD.findall(text.lower())).items()), WORD_ROWS)
 
 
 def _count_grams(batches):
-    return _flushed((((lang, n, g), c) for b in batches
-                     for lang, w, c in zip(*(b.column(x).to_pylist() for x in ("lang", "gram", "c")))
-                     for n in range(1, MAX_GRAM + 1) for g in _grams(w, n)), ("lang", "n", "gram"))
+    return _added((((lang, n, g), c) for b in batches
+                   for lang, w, c in zip(*(b.column(x).to_pylist() for x in ("lang", "gram", "c")))
+                   for n in range(1, MAX_GRAM + 1) for g in _grams(w, n)), GRAM_ROWS)
 
 
 def train(labelled: DataFrame) -> dict:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from blotter.llm import exact_dedup, language_id, mixing
+from blotter.llm import exact_dedup, jaccard_join, language_id, mixing
 
 MODULES = {
     "op1_exact_dedup": exact_dedup,
     "op3_language_id": language_id,
     "op8_mix_sources": mixing,
+    "op9_jaccard_join": jaccard_join,
 }
 
 
