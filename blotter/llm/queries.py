@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from blotter.llm import exact_dedup, jaccard_join, language_id, mixing
+from blotter.llm import (exact_dedup, host_rules, html_extract, jaccard_join, language_id, mixing, piece_sampling,
+                         quality_svm)
 
 MODULES = {
     "op1_exact_dedup": exact_dedup,
+    "op2_quality_svm": quality_svm,
     "op3_language_id": language_id,
+    "op5_piece_sampling": piece_sampling,
+    "op7_host_rules": host_rules,
     "op8_mix_sources": mixing,
     "op9_jaccard_join": jaccard_join,
+    "op10_html_extract": html_extract,
 }
 
 
