@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blotter.session import checkpoint_dir
 
@@ -29,6 +29,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def salted_join(rows: DataFrame, small: DataFrame, keys: list[str], spread: Column, how: str = "inner", salts: int = 16) -> DataFrame:
+    """Join ``rows`` with a table of distinct ``keys``: each key is split over
+    ``salts`` tasks by the long column ``spread``, so one that a third of the rows have meets no single task."""
+    left = rows.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
+    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "__salt"], how).drop("__salt")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

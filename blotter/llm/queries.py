@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from blotter.llm import (exact_dedup, host_rules, html_extract, jaccard_join, language_id, mixing, piece_sampling,
-                         quality_svm)
+from blotter.llm import (exact_dedup, host_rules, html_extract, jaccard_join, language_id, line_templates, mixing,
+                         piece_sampling, quality_svm, url_filter)
 
 MODULES = {
     "op1_exact_dedup": exact_dedup,
     "op2_quality_svm": quality_svm,
     "op3_language_id": language_id,
+    "op4_line_templates": line_templates,
     "op5_piece_sampling": piece_sampling,
+    "op6_url_filter": url_filter,
     "op7_host_rules": host_rules,
     "op8_mix_sources": mixing,
     "op9_jaccard_join": jaccard_join,
