@@ -105,13 +105,13 @@ def train(labelled: DataFrame) -> dict:
         totals[k, at[lang]] += c
     logs = []
     for k, grams in enumerate(orders):
-        # add half a count; an entry unseen in a language counts as that half
+        # add half a count; what a language lacks is as rare in all: half a count of the largest
         base = np.log(totals[k] + 0.5 * max(1, len(grams)))
-        table_k = np.full((len(grams), len(totals[k])), 0.5)
+        table_k = np.full((len(grams), len(totals[k])), np.log(0.5) - base.max())
         for i, per in enumerate(grams.values()):
             for j, c in per.items():
-                table_k[i, j] += c
-        logs.append((dict(zip(grams, range(len(grams)))), (np.log(table_k) - base).astype(np.float32)))
+                table_k[i, j] = np.log(c + 0.5) - base[j]
+        logs.append((dict(zip(grams, range(len(grams)))), table_k.astype(np.float32)))
     return {"names": names, "logs": logs}
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotter.llm.common import pick, salted_join, settle, table
 
-DEPTH = 4
+DEPTH = 3
 SIMILAR = 0.6
 MIN_DOCS = 3
 SPACE = r"[\x20\x09-\x0D]+"
@@ -89,11 +89,14 @@ WITH d AS (
   SELECT doc, unnest(string_split(text, chr(10))) AS raw, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i
   FROM numbered
 ), lines AS (
-  SELECT doc, i, trim(regexp_replace(regexp_replace(raw, '[^ 	-]*[0-9][^ 	-]*', '<*>', 'g'),
-                                      '[ 	-]+', ' ', 'g')) AS line FROM cut
+  SELECT doc, i, trim(regexp_replace(regexp_replace(raw, '[^ 	-
+]*[0-9][^ 	-
+]*', '<*>', 'g'),
+                                      '[ 	-
+]+', ' ', 'g')) AS line FROM cut
 ), leafed AS (
   SELECT doc, i, line, string_split(line, ' ') AS tokens,
-         concat(len(string_split(line, ' ')), ' ', array_to_string(string_split(line, ' ')[1:4], ' ')) AS leaf
+         concat(len(string_split(line, ' ')), ' ', array_to_string(string_split(line, ' ')[1:3], ' ')) AS leaf
   FROM lines WHERE line <> ''
 ), patterns AS (
   SELECT leaf, line, any_value(tokens) AS tokens, count(DISTINCT doc) AS docs FROM leafed GROUP BY leaf, line
