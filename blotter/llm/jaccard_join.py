@@ -167,8 +167,7 @@ def _local_groups(held: dict, order: Order):
             other = held[c]
             if 5 * len(tokens) < 4 * len(other) or 5 * len(other) < 4 * len(tokens):
                 continue
-            rest = max((4 * len(tokens) + 4) // 5, (4 * len(other) + 4) // 5) - 1
-            if 9 * (votes[c] + rest) >= 4 * (len(tokens) + len(other)) and links(tokens, other):
+            if 9 * (votes[c] + _rest(max(len(tokens), len(other)))) >= 4 * (len(tokens) + len(other)) and links(tokens, other):
                 home = c
                 break
         if home is None:
@@ -252,16 +251,15 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray):
     return a[at], b[at], np.diff(at, append=len(a))
 
 
-def _pair_rows(a: list, b: list, far: bool):
+def _pair_rows(a: list, b: list, near: int):
     if not a:
         return None
     a, b, c = _distinct_pairs(np.concatenate(a), np.concatenate(b))
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c),
-                                       pa.array(np.full(len(c), far))], names=["a", "b", "c", "far"])
+    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c * near)], names=["a", "b", "c"])
 
 
 def _first_pairs(batches):
-    """All pairs of groups of a short column; the centre's pairs of a long one."""
+    """All pairs of groups of a short column, each with its number of columns; the centre's pairs of a long one."""
     for batch in batches:
         for blob in batch.column("blob").to_pylist():
             groups, rare, starts, lengths = _columns(blob)
@@ -283,33 +281,53 @@ def _first_pairs(batches):
                     near_b.append(groups[part + j].ravel())
                     held += len(near_a[-1])
                     if held > 4_000_000:
-                        yield _pair_rows(near_a, near_b, False)
+                        yield _pair_rows(near_a, near_b, 1)
                         near_a, near_b, held = [], [], 0
-            for rows in (_pair_rows(near_a, near_b, False), _pair_rows(far_a, far_b, True)):
+            for rows in (_pair_rows(near_a, near_b, 1), _pair_rows(far_a, far_b, 0)):
                 if rows is not None:
                     yield rows
 
 
-def _open_pairs(columns: pa.Table, comps: pa.Table) -> pa.Table:
-    """All pairs of groups of different components in the long columns."""
-    names, labels = (comps.column(x).to_numpy().view(np.uint64) for x in ("grp", "label"))
+def _long_groups(batches):
+    """(owner, group, in how many long columns of the owner it is)"""
+    for b in batches:
+        for owner, blob in zip(b.column("owner").to_pylist(), b.column("blob").to_pylist()):
+            groups, _, starts, lengths = _columns(blob)
+            long = [groups[s:s + n] for s, n in zip(starts.tolist(), lengths.tolist()) if n > LONG]
+            seen, times = distinct(np.concatenate(long)) if long else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), owner, np.int32)), pa.array(seen.view(np.int64)), pa.array(times)],
+                                             names=["owner", "grp", "n_long"])
+
+
+def _rest(n):
+    """Tokens of a set of n behind its prefix."""
+    return (4 * n + 4) // 5 - 1
+
+
+def _open_pairs(columns: pa.Table, info: pa.Table) -> pa.Table:
+    """Pairs of groups of different components in the long columns that their
+    sizes and numbers of long columns let link."""
+    names = info.column("grp").to_numpy().view(np.uint64)
     by = np.argsort(names)
-    names, labels = names[by], labels[by]
+    names = names[by]
+    labels, least, most, n_long = (info.column(x).to_numpy()[by] for x in ("label", "least", "most", "n_long"))
     lows, highs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
     for blob in columns.column("blob").to_pylist():
         groups, _, starts, lengths = _columns(blob)
         for s, size in zip(starts.tolist(), lengths.tolist()):
-            if size > LONG:
-                g = groups[s:s + size]
-                at = np.minimum(np.searchsorted(names, g), max(0, len(names) - 1))
-                label = np.where(names[at] == g, labels[at], g) if len(names) else g
-                order = np.argsort(label, kind="stable")
-                g, label = g[order], label[order]
-                ends = np.searchsorted(label, label, side="right")
-                for k in np.unique(ends[ends < size]).tolist():  # pairs of one component with all later ones
-                    own = g[np.searchsorted(label, label[k - 1]):k]
-                    lows.append(np.repeat(own, size - k))
-                    highs.append(np.tile(g[k:], len(own)))
+            if size <= LONG:
+                continue
+            at = np.searchsorted(names, groups[s:s + size])
+            at = at[np.argsort(labels[at], kind="stable")]
+            label = labels[at]
+            ends = np.searchsorted(label, label, side="right")  # each group with those of all later components
+            for i in range(size):
+                if ends[i] < size:
+                    x, y = at[i], at[ends[i]:]
+                    y = y[(5 * most[x] >= 4 * least[y]) & (5 * most[y] >= 4 * least[x])
+                          & (9 * (np.minimum(n_long[x], n_long[y]) + _rest(np.maximum(most[x], most[y]))) >= 4 * (least[x] + least[y]))]
+                    lows.append(np.full(len(y), names[x]))
+                    highs.append(names[y])
     a, b, _ = _distinct_pairs(np.concatenate(lows), np.concatenate(highs))
     return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
@@ -380,18 +398,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = sent.filter("kind = 0").select("grp", "sid", "n").distinct()
     columns = settle(sent.filter("kind = 1").select("owner", "blob")
                      .groupBy("owner").applyInArrow(_shared_columns, "owner int, blob binary"))
-    groups = settle(members.groupBy("grp").agg(F.min("n").alias("least"), F.max("n").alias("most"),
-                                               F.count(F.lit(1)).alias("size")))
+    in_long = settle(columns.mapInArrow(_long_groups, "owner int, grp long, n_long long"))
+    groups = settle(members.groupBy("grp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("size"))
+                    .join(in_long.groupBy("grp").agg(F.sum("n_long").alias("n_long")), "grp", "left").na.fill(0, ["n_long"]))
     home = members.filter("grp <> sid").select(F.col("grp").alias("a"), F.col("sid").alias("b"))
 
     # 3. pairs of groups, bounded, centres compared
-    g1 = groups.select(F.col("grp").alias("a"), F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("size").alias("size_a"))
-    g2 = groups.select(F.col("grp").alias("b"), F.col("least").alias("least_b"), F.col("most").alias("most_b"), F.col("size").alias("size_b"))
+    g1 = groups.select(*[F.col(c).alias(f"{c}_a") for c in groups.columns])
+    g2 = groups.select(*[F.col(c).alias(f"{c}_b") for c in groups.columns])
     in_reach = F.expr("5 * most_a >= 4 * least_b AND 5 * most_b >= 4 * least_a")
-    overlap = F.expr("9 * (c + floor((4 * greatest(most_a, most_b) + 4) / 5) - 1) >= 4 * (least_a + least_b)")
-    pairs = (columns.mapInArrow(_first_pairs, "a long, b long, c long, far boolean")
-             .groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("far").alias("far"))
-             .join(g1, "a").join(g2, "b").filter(in_reach & (F.col("far") | overlap)))
+    # c common tokens in short columns, and no more in long ones than the group with fewer of them has
+    overlap = F.expr("9 * (c + least(n_long_a, n_long_b) + floor((4 * greatest(most_a, most_b) + 4) / 5) - 1) >= 4 * (least_a + least_b)")
+    pairs = (columns.mapInArrow(_first_pairs, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+             .join(g1, F.col("a") == F.col("grp_a")).join(g2, F.col("b") == F.col("grp_b")).filter(in_reach & overlap))
     pairs = settle(pairs.select("a", "b", "size_a", "size_b"))
     in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("grp")).distinct()
     centre_sets = _sets_of(raw, in_pairs.select(F.col("grp").alias("sid")))
@@ -403,12 +422,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # 4. open the pairs of groups that are still apart
     la = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
     lb = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
-    grp_labels = labels.select(F.col("node").alias("grp"), "label")
-    owner_groups = columns.mapInArrow(_long_groups, "owner int, grp long")
-    late = (columns.groupBy("owner").cogroup(owner_groups.join(grp_labels, "grp").groupBy("owner"))
-            .applyInArrow(_open_pairs, "a long, b long").distinct()
-            .join(g1, "a").join(g2, "b").filter(in_reach).select("a", "b", "size_a", "size_b"))
-    apart = (pairs.filter("size_a > 1 OR size_b > 1").unionByName(late.join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    info = (in_long.select("owner", "grp").join(groups.select("grp", "least", "most", "n_long"), "grp")
+            .join(labels, F.col("grp") == F.col("node"), "left")
+            .select("owner", "grp", F.coalesce("label", "grp").alias("label"), "least", "most", "n_long"))
+    late = columns.groupBy("owner").cogroup(info.groupBy("owner")).applyInArrow(_open_pairs, "a long, b long").distinct()
+    late = (late.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+            .join(groups.select(F.col("grp").alias("a"), F.col("size").alias("size_a")), "a")
+            .join(groups.select(F.col("grp").alias("b"), F.col("size").alias("size_b")), "b").select("a", "b", "size_a", "size_b"))
+    apart = (pairs.filter("size_a > 1 OR size_b > 1").unionByName(late)
              .join(la, "a", "left").join(lb, "b", "left")
              .filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
              .select(F.when(F.col("size_a") >= F.col("size_b"), F.col("a")).otherwise(F.col("b")).alias("host"),
@@ -432,16 +453,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def _long_groups(batches):
-    for b in batches:
-        for owner, blob in zip(b.column("owner").to_pylist(), b.column("blob").to_pylist()):
-            groups, _, starts, lengths = _columns(blob)
-            long = [groups[s:s + n] for s, n in zip(starts.tolist(), lengths.tolist()) if n > LONG]
-            seen = np.unique(np.concatenate(long)) if long else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), owner, np.int32)), pa.array(seen.view(np.int64))],
-                                             names=["owner", "grp"])
-
-
 def _sets_of(raw: DataFrame, wanted: DataFrame) -> DataFrame:
     """(sid, tokens) of the wanted set ids: a pass over the texts behind a Bloom
     filter of fixed size, then the exact join."""
