@@ -29,8 +29,10 @@ from __future__ import annotations
 
 import hashlib
 import html as entities
+import json
 import re
 import struct
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -172,7 +174,7 @@ def main_blocks(blocks: list) -> list:
     return blocks
 
 
-def _pack(chain) -> bytes:
+def _chain_bytes(chain) -> bytes:
     return struct.pack(f"<{len(chain)}q", *chain)
 
 
@@ -190,7 +192,7 @@ def _tree_rows(batches):
             used = {h for c, *_ in kept for h in c}  # paths that lead to a kept block
             seen |= {(c, False, _hash(" ".join(k for i, k in enumerate(kids) if i == 0 or kids[i - 1] != k)))
                      for c, kids in styles if c and c[-1] in used}
-            rows += [(host, _pack(c), content, v, page) for c, content, v in seen]
+            rows += [(host, _chain_bytes(c), content, v, page) for c, content, v in seen]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=list(names))
 
 
@@ -210,13 +212,14 @@ def site_noise(pages: DataFrame) -> DataFrame:
     counts = (rows.distinct().groupBy("host", "chain", "content", "value").agg(F.count(F.lit(1)).alias("c")))
     paged = rows.select("host", "chain", "page").distinct().groupBy("host", "chain").agg(F.count(F.lit(1)).alias("m"))
     base = F.log(F.greatest(F.col("m"), F.lit(2)).cast("double"))
-    per_path = (counts.join(paged, ["host", "chain"]).groupBy("host", "chain", "m").agg(
-        F.avg(F.when(F.col("content"), 1 - F.log("c") / base)).alias("by_content"),
+    # averages per path first, so that a path with many texts is combined in the map tasks
+    per_path = (counts.groupBy("host", "chain").agg(
+        F.avg(F.when(F.col("content"), F.log("c"))).alias("mean_log_c"),
         F.sum(F.when(~F.col("content"), F.col("c"))).alias("total"),
-        F.sum(F.when(~F.col("content"), F.col("c") * F.log("c"))).alias("c_log_c")))
+        F.sum(F.when(~F.col("content"), F.col("c") * F.log("c"))).alias("c_log_c")).join(paged, ["host", "chain"]))
     # entropy of shares c / total, to base m
     by_style = (F.log("total") - F.col("c_log_c") / F.col("total")) / base
-    important = F.when(F.col("m") < 2, F.lit(1.0)).otherwise(F.coalesce("by_content", by_style, F.lit(1.0)))
+    important = F.when(F.col("m") < 2, F.lit(1.0)).otherwise(F.coalesce(1 - F.col("mean_log_c") / base, by_style, F.lit(1.0)))
     paths = (per_path.select("host", "chain", "m", important.alias("importance"))
              .mapInArrow(_chain_hashes, "host string, path long, ups array<long>, m long, importance double"))
     branches = (paths.select("host", F.explode("ups").alias("top"), "importance")
@@ -228,19 +231,32 @@ def site_noise(pages: DataFrame) -> DataFrame:
     return tops.groupBy("host").agg(F.collect_set("path").alias("noise"))
 
 
-def _extract(batches):
+def _pack_blocks(batches):
+    """Parse once; what travels to the join are the blocks, compressed."""
     hashes: dict = {}
     for b in batches:
-        texts = []
-        for raw, noise in zip(b.column("raw").to_pylist(), b.column("noise").to_pylist()):
+        packed = []
+        for raw in b.column("raw").to_pylist():
             kept = main_blocks(parse(raw.decode("utf-8", "replace"), hashes)[0])
+            chains = {c: k for k, c in enumerate(dict.fromkeys(x[0] for x in kept))}
+            packed.append(zlib.compress(json.dumps([list(chains), [(chains[x[0]], x[3]) for x in kept]]).encode(), 3))
+        rest = [c for c in b.schema.names if c != "raw"]
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(packed, pa.binary())], names=[*rest, "blocks"])
+
+
+def _extract(batches):
+    for b in batches:
+        texts = []
+        for packed, noise in zip(b.column("blocks").to_pylist(), b.column("noise").to_pylist()):
+            chains, kept = json.loads(zlib.decompress(packed))
             if noise:
                 bad = set(noise)
-                clean = [x for x in kept if bad.isdisjoint(x[0])]
-                if 2 * sum(len(x[3]) for x in clean) >= sum(len(x[3]) for x in kept):
+                fine = [bad.isdisjoint(c) for c in chains]
+                clean = [x for x in kept if fine[x[0]]]
+                if 2 * sum(len(t) for _, t in clean) >= sum(len(t) for _, t in kept):
                     kept = clean
-            texts.append("\n".join(x[3] for x in kept))
-        rest = [c for c in b.schema.names if c not in ("raw", "noise")]
+            texts.append("\n".join(t for _, t in kept))
+        rest = [c for c in b.schema.names if c not in ("blocks", "noise")]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(texts, pa.string()),
                                           pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
@@ -252,7 +268,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         "page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).cast("binary").alias("raw"),
         F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("salt"))
     noise = site_noise(rows.select("host", "raw")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = rows.join(noise, ["host", "salt"], "left").select("page_id", "url", "raw", "noise")
+    packed = T.StructType([*rows.drop("raw").schema, T.StructField("blocks", T.BinaryType())])
+    joined = (rows.mapInArrow(_pack_blocks, packed).join(noise, ["host", "salt"], "left")
+              .select("page_id", "url", "blocks", "noise"))
     schema = T.StructType([joined.schema["page_id"], joined.schema["url"],
                            T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     return joined.mapInArrow(_extract, schema)
