@@ -2,6 +2,7 @@
 
     python -m blotter build  --sf-dir /root/testdata/sf0.01 --out /data/star
     python -m blotter build  --csv calls.csv incidents.csv tencodes.csv suffixes.csv --out /data/star
+    python -m blotter build  --tables db.calls db.incidents db.tencodes db.suffixes --out /data/star
     python -m blotter report violent_rate_by_month --out /data/star
 
 ``--master`` is only for local runs; on a cluster the submit settings apply.
@@ -15,7 +16,7 @@ import json
 from blotter.plans import reports
 from blotter.plans.star import Star, read_star, write_star
 from blotter.session import get_session
-from blotter.sources.tables import RawInputs, raw_from_csv, raw_inputs
+from blotter.sources.tables import raw_from_csv, raw_from_tables, raw_inputs
 
 REPORTS = {
     "calls_by_hour": lambda s: reports.calls_by_hour(s.calls_for_reports, s.dim_time),
@@ -37,26 +38,31 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--sf-dir", help="folder with the events / orders test tables")
     p.add_argument("--csv", nargs=4, metavar=("CALLS", "INCIDENTS", "REF_TENCODE", "REF_SUFFIX"),
                    help="CSV drops to land (header row) instead of the test tables")
+    p.add_argument("--tables", nargs=4, metavar=("CALLS", "INCIDENTS", "REF_TENCODE", "REF_SUFFIX"),
+                   help="catalog tables to build from")
     p.add_argument("--out", required=True, help="folder of the written star")
     p.add_argument("--master", default=None)
     p.add_argument("--normalize-lookups", action="store_true")
     args = p.parse_args(argv)
     spark = get_session(args.master)
-    if args.csv:
+    if args.tables:
+        raw = raw_from_tables(spark, *args.tables)
+    elif args.csv:
         raw = raw_from_csv(spark, *args.csv, raw_dir=f"{args.out}/raw")
     elif args.sf_dir:
         raw = raw_inputs(spark, args.sf_dir)
     elif args.command == "report":
-        raw = RawInputs(None, None, None, None)   # reports read the written star only
+        raw = None   # reports read the written star only
     else:
-        p.error("build needs --sf-dir or --csv")
+        p.error("build needs --sf-dir, --csv or --tables")
     if args.command == "build":
         metrics = write_star(Star(spark, raw, normalize_lookups=args.normalize_lookups), args.out)
         print(json.dumps(metrics, default=str))
         return 0
     if not args.report:
         p.error("report needs a report name")
-    for row in REPORTS[args.report](read_star(spark, raw, args.out)).collect():
+    needed = ["dim_date", "dim_time", "fact_calls", "fact_incidents"]
+    for row in REPORTS[args.report](read_star(spark, raw, args.out, needed)).collect():
         print(json.dumps(row.asDict(), default=str))
     return 0
 

@@ -46,10 +46,6 @@ def offense_category(description: Column) -> Column:
     return expr.otherwise(F.lit(OFFENSE_CATEGORY_DEFAULT))
 
 
-def is_violent_nibrs(nibrs: Column) -> Column:
-    return nibrs.isin(*VIOLENT_NIBRS)
-
-
 def time_of_day(hour: Column) -> Column:
     """Bucket name of an hour 0..23 (the last bucket takes the remaining hours)."""
     *first, (_, _, last) = TIME_OF_DAY_BUCKETS

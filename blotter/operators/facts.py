@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.timestamps import date_key, parse_ts_column, time_key
-from blotter.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, left_lookup
-from blotter.operators.keys import DEFAULT_SINGLE_TASK_ROWS, dense_key
+from blotter.operators.joins import MAX_BROADCAST_BYTES, left_lookup
+from blotter.operators.keys import dense_key
 
+# The facts' columns, in the order of their tables.
 CALL_FACT_COLUMNS = ["call_key", "complaint_number", "date_key", "time_key", "latitude",
                      "longitude", "rpa", "zone", "call_received", "ingest_run_ts_utc"]
 INCIDENT_FACT_COLUMNS = ["incident_key", "incident_number", "date_key", "time_key",
@@ -19,8 +20,7 @@ ENRICHED_CALL_COLUMNS = ["call_key", "event_number", "complaint_number", "date_k
                          "sector", "call_received_utc", "ingest_run_ts_utc"]
 
 
-def fact_calls(calls_clean: DataFrame, with_key: bool = True,
-               single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS, **key_options) -> DataFrame:
+def fact_calls(calls_clean: DataFrame, with_key: bool = True, **key_options) -> DataFrame:
     """Calls fact keyed by complaint number (ties broken by event number).
 
     ``with_key=False`` skips the surrogate key for reports that never read
@@ -34,13 +34,11 @@ def fact_calls(calls_clean: DataFrame, with_key: bool = True,
         "call_received", "ingest_run_ts_utc")
     if not with_key:
         return f.select(*[c for c in CALL_FACT_COLUMNS if c != "call_key"])
-    f = dense_key(f, ["complaint_number"], key="call_key", ties=["event_number"],
-                  single_task_rows=single_task_rows, **key_options)
+    f = dense_key(f, ["complaint_number"], key="call_key", ties=["event_number"], **key_options)
     return f.select(*CALL_FACT_COLUMNS)
 
 
-def fact_incidents(incidents_clean: DataFrame, with_key: bool = True,
-                   single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS, **key_options) -> DataFrame:
+def fact_incidents(incidents_clean: DataFrame, with_key: bool = True, **key_options) -> DataFrame:
     ts = F.col("incident_occurred")
     f = incidents_clean.select(
         "incident_number", date_key(ts).alias("date_key"), time_key(ts).alias("time_key"),
@@ -48,16 +46,14 @@ def fact_incidents(incidents_clean: DataFrame, with_key: bool = True,
         "incident_occurred", "incident_reported")
     if not with_key:
         return f
-    f = dense_key(f, ["incident_number"], key="incident_key", single_task_rows=single_task_rows,
-                  **key_options)
+    f = dense_key(f, ["incident_number"], key="incident_key", **key_options)
     return f.select(*INCIDENT_FACT_COLUMNS)
 
 
-def fact_calls_enriched(calls_clean: DataFrame, dim_location: DataFrame, dim_call_type: DataFrame,
-                        dim_call_disposition: DataFrame, normalize: bool = False,
-                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                        single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS, **key_options) -> DataFrame:
-    """Calls fact with location, call-type and disposition keys.
+def lookup_calls(calls_clean: DataFrame, dim_location: DataFrame, dim_call_type: DataFrame,
+                 dim_call_disposition: DataFrame, normalize: bool = False,
+                 max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """The enriched calls before they are numbered.
 
     By default the lookups compare the codes as the feed has them, as the
     dimensions were built from trimmed / upper-cased codes: padded or
@@ -70,34 +66,28 @@ def fact_calls_enriched(calls_clean: DataFrame, dim_location: DataFrame, dim_cal
     calls = calls_clean.select(
         "event_number", "complaint_number", "latitude", "longitude", "tencode", "tencode_suffix",
         "disposition_code", "shift", "sector", "ingest_run_ts_utc",
-        ts.alias("call_received_ts"))
-    calls = calls.withColumns({"date_key": date_key(F.col("call_received_ts")),
-                               "time_key": time_key(F.col("call_received_ts"))})
-    loc = (dim_location.groupBy("latitude", "longitude")
-           .agg(F.min("location_key").alias("location_key")).checkpoint())
-    ctype = (dim_call_type.groupBy("tencode", "tencode_suffix")
-             .agg(F.min("call_type_key").alias("call_type_key")).checkpoint())
-    disp = (dim_call_disposition.groupBy("disposition_code")
-            .agg(F.min("call_disposition_key").alias("call_disposition_key")).checkpoint())
-    suffix = F.col("tencode_suffix")
-    code = F.col("disposition_code")
+        ts.alias("call_received_utc"))
+    calls = calls.withColumns({"date_key": date_key(F.col("call_received_utc")),
+                               "time_key": time_key(F.col("call_received_utc"))})
+
+    def first_keys(dim: DataFrame, key: str, on: list[str]) -> DataFrame:
+        return dim.groupBy(*on).agg(F.min(key).alias(key))
+
+    suffix, code = F.col("tencode_suffix"), F.col("disposition_code")
     if normalize:
-        suffix = F.trim(F.upper(suffix))
-        code = F.trim(code)
-    sizes = [loc.count(), ctype.count(), disp.count()]
-    f = left_lookup(calls, loc, [(F.col("latitude"), "latitude"), (F.col("longitude"), "longitude")],
-                    max_broadcast_rows=max_broadcast_rows, dim_rows=sizes[0])
-    f = left_lookup(f, ctype, [(F.col("tencode").try_cast("int"), "tencode"), (suffix, "tencode_suffix")],
-                    null_safe=[False, normalize], max_broadcast_rows=max_broadcast_rows, dim_rows=sizes[1])
-    f = left_lookup(f, disp, [(code, "disposition_code")], max_broadcast_rows=max_broadcast_rows,
-                    dim_rows=sizes[2])
-    # With every lookup broadcast the keyed input is a narrow scan and cheap to
-    # recompute; a shuffle join is written once instead.
-    shuffled = any(n > max_broadcast_rows for n in sizes)
-    f = f.select("event_number", "complaint_number", "date_key", "time_key", "location_key",
-                 "call_type_key", "call_disposition_key", "shift", "sector",
-                 "call_received_ts", "ingest_run_ts_utc")
-    f = dense_key(f, ["event_number", "call_received_ts"], key="call_key",
-                  single_task_rows=single_task_rows, checkpoint_input=shuffled, **key_options)
-    return f.select(*[F.col("call_received_ts").alias("call_received_utc") if c == "call_received_utc"
-                      else F.col(c) for c in ENRICHED_CALL_COLUMNS])
+        suffix, code = F.trim(F.upper(suffix)), F.trim(code)
+    for dim, key, pairs, null_safe in [
+            (dim_location, "location_key", [(F.col("latitude"), "latitude"), (F.col("longitude"), "longitude")], None),
+            (dim_call_type, "call_type_key", [(F.col("tencode").try_cast("int"), "tencode"), (suffix, "tencode_suffix")],
+             [False, normalize]),
+            (dim_call_disposition, "call_disposition_key", [(code, "disposition_code")], None)]:
+        calls = left_lookup(calls, first_keys(dim, key, [c for _, c in pairs]), pairs, null_safe, max_broadcast_bytes)
+    return calls.select(*[c for c in ENRICHED_CALL_COLUMNS if c != "call_key"])
+
+
+def fact_calls_enriched(calls_clean: DataFrame, dim_location: DataFrame, dim_call_type: DataFrame,
+                        dim_call_disposition: DataFrame, normalize: bool = False,
+                        max_broadcast_bytes: int = MAX_BROADCAST_BYTES, **key_options) -> DataFrame:
+    """Calls fact with location, call-type and disposition keys (see :func:`lookup_calls`)."""
+    f = lookup_calls(calls_clean, dim_location, dim_call_type, dim_call_disposition, normalize, max_broadcast_bytes)
+    return dense_key(f, ["event_number", "call_received_utc"], key="call_key", **key_options).select(*ENRICHED_CALL_COLUMNS)

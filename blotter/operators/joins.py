@@ -1,14 +1,13 @@
-"""Star lookups: broadcast only behind a checked size, else a shuffle join.
+"""Star lookups: broadcast behind a check of bytes, else a join that splits hot keys.
 
 A dimension derived from the data (locations, call types) can outgrow any
-broadcast budget at scale. The lookup counts it (callers pass a materialised
-dimension, so the count does not rebuild it) and broadcasts only when the
-count is within ``max_broadcast_rows``. Beyond that the join shuffles. Fact
-rows whose key is NULL can never match an equality lookup; in a shuffle join
-they would all hash to one reducer, so they get a spreading salt (a hash of
-the row) as an extra join column while every other row, and the dimension,
-get salt 0. The fact is still read once. Hot non-NULL keys are left to AQE's
-skew-join splitting (left outer joins split the fact side).
+broadcast budget. The lookup adds up its bytes and broadcasts it up to
+``max_broadcast_bytes``. Beyond that, hot keys must not meet one reducer: each
+fact row gets one of ``SALTS_PER_PARTITION`` times the shuffle partitions' salts by
+a hash of the row. The distinct (salt, key) pairs, which map tasks combine, look
+up the dimension, where a hot key comes once per salt, and the fact joins the
+answers on (salt, key). NULL keys are spread in the same way. Nothing relies on
+AQE, and the dimension is never replicated.
 """
 
 from __future__ import annotations
@@ -17,58 +16,64 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-NULL_KEY_SPREAD = 1024
+MAX_BROADCAST_BYTES = 64 << 20
+SALTS_PER_PARTITION = 8
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(dim), True)`` when ``dim`` has at most ``max_rows`` rows.
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of all values: text and binary by length, anything else 8 or its text."""
+    size = F.lit(8)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+        else:
+            size = size + 8
+    return df.agg(F.sum(size.cast("bigint")).alias("b")).first()["b"] or 0
 
-    Rows held by the driver (``isLocal``) are already bounded by its memory
-    and are broadcast without a counting job.
-    """
-    if known_rows is None and dim.isLocal():
-        return F.broadcast(dim), True
-    n = dim.count() if known_rows is None else known_rows
-    if n <= max_rows:
+
+def bounded_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``(broadcast(dim), True)`` when ``dim`` has at most ``max_bytes`` bytes."""
+    if table_bytes(dim) <= max_bytes:
         return F.broadcast(dim), True
     return dim, False
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, pairs: Sequence[tuple[Column, str]],
-                null_safe: Sequence[bool] | None = None,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                dim_rows: int | None = None) -> DataFrame:
+                null_safe: Sequence[bool] | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Left-join ``dim`` to ``fact`` on ``fact_expr == dim[col]`` pairs.
 
     ``dim`` key columns are dropped from the output; its other columns are
     added (NULL when no match). ``null_safe[i]`` makes pair ``i`` match NULL
-    to NULL.
+    to NULL. Several rows of ``dim`` with one key give several rows.
     """
     null_safe = list(null_safe or [False] * len(pairs))
-    key_names = [p[1] for p in pairs]
-    value_cols = [c for c in dim.columns if c not in key_names]
-    side, is_broadcast = bounded_broadcast(dim, max_broadcast_rows, dim_rows)
-    right = side.select(*[F.col(c).alias(f"__lk_{c}") if c in key_names else F.col(c) for c in dim.columns])
-    cond = None
-    for (expr, dcol), ns in zip(pairs, null_safe):
-        part = expr.eqNullSafe(F.col(f"__lk_{dcol}")) if ns else expr == F.col(f"__lk_{dcol}")
-        cond = part if cond is None else cond & part
-    if not is_broadcast and any(not ns for ns in null_safe):
-        # NULL strict keys: hash-spread join values so they do not share one
-        # reducer; the guard keeps them from ever matching.
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(NULL_KEY_SPREAD))
-        cond, guard = None, None
-        for (expr, dcol), ns in zip(pairs, null_safe):
-            rcol = F.col(f"__lk_{dcol}")
-            if ns:
-                part = expr.eqNullSafe(rcol)
-            else:
-                dtype = fact.select(expr.alias("k")).schema["k"].dataType
-                part = F.coalesce(expr, spread.cast(dtype)) == rcol
-                guard = expr.isNotNull() if guard is None else guard & expr.isNotNull()
-            cond = part if cond is None else cond & part
-        cond = cond & guard
-    return fact.join(right, cond, "left").select(*fact.columns, *value_cols)
+    names = [c for _, c in pairs]
+    values = [c for c in dim.columns if c not in names]
+    side, small = bounded_broadcast(dim, max_broadcast_bytes)
+    side = side.select(*[F.col(f"`{c}`").alias(f"__dim_{i}") for i, c in enumerate(names)], *[F.col(f"`{c}`") for c in values])
+
+    def matches(left: list[Column]) -> Column:
+        cond = F.lit(True)
+        for i, (expr, ns) in enumerate(zip(left, null_safe)):
+            cond = cond & (expr.eqNullSafe(F.col(f"__dim_{i}")) if ns else expr == F.col(f"__dim_{i}"))
+        return cond
+
+    if small:
+        return fact.join(side, matches([e for e, _ in pairs]), "left").select(*fact.columns, *values)
+
+    salts = SALTS_PER_PARTITION * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [f"__key_{i}" for i in range(len(pairs))]
+    keyed = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salts)).cast("int"))
+    keyed = keyed.withColumns({k: e for k, (e, _) in zip(keys, pairs)})
+    answers = (keyed.select("__salt", *keys).distinct().join(side, matches([F.col(k) for k in keys]))
+               .select(F.col("__salt").alias("__salt_a"), *[F.col(k).alias(f"{k}_a") for k in keys], *values))
+    # a NULL strict key has no answer, so comparing null-safely finds none either
+    same = F.col("__salt") == F.col("__salt_a")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_a"))
+    return keyed.join(answers, same, "left").select(*fact.columns, *values)

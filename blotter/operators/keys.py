@@ -1,53 +1,36 @@
 """Dense surrogate keys (1..N in a global order) without a single-task sort.
 
 ``row_number().over(Window.orderBy(...))`` moves every row into one task.
-:func:`dense_key` gives the same numbering as a global ``row_number`` over the
-same order, computed in parallel:
-
-1. Count the input. Up to ``single_task_rows`` rows the plain global window is
-   used: its single task is bounded by that checked count.
-2. Otherwise a sample finds *hot* sort values: values of (order, ties) that
-   would fill a whole partition by themselves (a third of all rows may share
-   one value, or be copies of one row).
-3. All other rows are range-partitioned and sorted by Spark (sampled range
-   bounds, binary search in the JVM) and written once to a staged table in
-   the shared checkpoint folder together with their partition id and their
-   position inside it. The staged table fixes the placement: a recomputed
-   task can no longer move a row, and the key of a row is
-   ``rows in earlier partitions + position + hot rows sorting before it``.
-   The per-partition starts are a running sum over one row per partition,
-   computed in Spark and joined back by broadcast.
-4. Hot rows are pre-aggregated on the map side (copies collapse into one row
-   with a multiplicity), split over several slots by a hash of the full row,
-   numbered with a running sum per slot and expanded again in bounded chunks
-   spread over many tasks. Inside one hot value the order is free (the rows
-   tie on every order and tie column).
-
-Rows that tie on the order and tie columns are ordered by the remaining
-columns, so the result is repeatable. Keys are BIGINT: a fact at scale has
-more than 2^31 rows.
+:func:`dense_key` numbers rows the same way in parallel, by one path at every size:
+
+1. The input is checkpointed, so the source is read once and row ids stay put;
+   its rows are counted while they are written.
+2. Rows are range-partitioned and sorted on order columns, tie columns, all remaining
+   columns and the row id. A value shared by many different rows is split by the
+   remaining columns, copies of one whole row by the id. The placement (partition
+   and position in it) is checkpointed, so a lost task cannot move a row.
+3. A row's key is the number of rows in earlier partitions plus its position. The
+   partitions' first keys are a running sum over one row per partition.
+
+Rows that tie on order and tie columns are numbered by the remaining columns;
+only copies of one whole row may swap keys. Keys are BIGINT: a fact at scale
+has more than 2^31 rows. Spark removes the checkpoints with the result that
+refers to them (``spark.cleaner.referenceTracking.cleanCheckpoints``).
 """
 
 from __future__ import annotations
 
 import math
-import os
-import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.session import checkpoint_dir
 
-DEFAULT_SINGLE_TASK_ROWS = 1_000_000
 ROWS_PER_PARTITION = 4_000_000
-SAMPLES_PER_PARTITION = 64
-MAX_HOT_VALUES = 64
-EXPAND_CHUNK = 1_000_000
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
-
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
 
@@ -61,146 +44,35 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
-def _literal(value, dtype: T.DataType) -> Column:
-    return F.lit(None).cast(dtype) if value is None else F.lit(value).cast(dtype)
+def _sort_columns(df: DataFrame, order_by: Sequence[str], ties: Sequence[str], nulls_last: set[str]) -> list[Column]:
+    named = [*order_by, *(c for c in ties if c not in order_by)]
+    rest = [c for c in df.columns if c not in named and _orderable(df.schema[c].dataType)]
+    return [F.col(c).asc_nulls_last() if c in nulls_last else F.col(c).asc_nulls_first() for c in named + rest]
 
 
-def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *,
-              ties: Sequence[str] = (), nulls_last: Iterable[str] = (), start: int = 1,
-              single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS,
-              rows_per_partition: int = ROWS_PER_PARTITION,
-              samples_per_partition: int = SAMPLES_PER_PARTITION,
-              max_hot_values: int = MAX_HOT_VALUES, expand_chunk: int = EXPAND_CHUNK,
-              staging_dir: str | None = None, checkpoint_input: bool = False,
-              seed: int = 11) -> DataFrame:
+def dense_key(df: DataFrame, order_by: Sequence[str], key: str = "key", *, ties: Sequence[str] = (),
+              nulls_last: Iterable[str] = (), start: int = 1, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Append ``key`` = position of the row in ascending ``order_by`` + ``ties``.
 
     Columns in ``nulls_last`` sort their NULLs last, all others first (Spark's
     ascending default). Returns the input columns followed by ``key``.
-    ``checkpoint_input`` writes an expensive input (an aggregate, a shuffle
-    join) to the checkpoint folder once before the distributed passes, which
-    would otherwise each recompute it.
     """
     spark = df.sparkSession
-    nulls_last = set(nulls_last)
-    columns = list(df.columns)
-    key_cols = list(order_by) + [c for c in ties if c not in order_by]
-    rest = [c for c in columns if c not in key_cols and _orderable(df.schema[c].dataType)]
-    k_names, k_exprs = [], []
-    for i, c in enumerate(key_cols):
-        flag = F.col(c).isNull() if c in nulls_last else F.col(c).isNotNull()
-        k_names += [f"__dk_f{i}", f"__dk_v{i}"]
-        k_exprs += [flag.cast("int").alias(f"__dk_f{i}"), F.col(c).alias(f"__dk_v{i}")]
-    sort_cols = [F.col(n).asc_nulls_first() for n in k_names] + [F.col(c).asc_nulls_first() for c in rest]
-
-    n = df.count()
-    if n <= max(single_task_rows, 0):
-        # Bounded by the count just taken: one task sorts at most
-        # ``single_task_rows`` rows.
-        w = Window.orderBy(*sort_cols)
-        return (df.select("*", *k_exprs)
-                  .withColumn(key, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
-                  .select(*columns, key))
-
-    if checkpoint_input:
-        df = df.checkpoint()
-    shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(shuffle_parts, math.ceil(n / rows_per_partition))
-    keyed = df.select("*", *k_exprs)
-    k_types = [keyed.schema[nm].dataType for nm in k_names]
-    kstruct = F.struct(*[F.col(nm) for nm in k_names])
-
-    # Hot values: sampled share of at least one partition's worth.
-    fraction = min(1.0, parts * samples_per_partition / n)
-    threshold = max(2, math.ceil(fraction * n / parts))
-    hot_rows = (keyed.select(*k_names).sample(False, fraction, seed)
-                .groupBy(*k_names).count().where(F.col("count") >= threshold)
-                .orderBy(F.col("count").desc()).limit(max_hot_values)
-                .orderBy(*[F.col(nm).asc_nulls_first() for nm in k_names]).collect())
-    hot_lits = [F.struct(*[_literal(r[nm], t) for nm, t in zip(k_names, k_types)]) for r in hot_rows]
-    hot_splits = [max(1, math.ceil(r["count"] / threshold)) for r in hot_rows]
-
-    hidx = F.lit(-1)
-    for i in reversed(range(len(hot_lits))):
-        hidx = F.when(kstruct.eqNullSafe(hot_lits[i]), F.lit(i)).otherwise(hidx)
-    keyed = keyed.withColumn("__dk_h", hidx)
-
-    # Ordinary rows: Spark's range-partitioned sort, placement staged once.
-    staged_path = os.path.join(staging_dir or checkpoint_dir(spark),
-                               "blotter-dense-key", uuid.uuid4().hex)
-    mask = (1 << _POS_BITS) - 1
-    (keyed.where(F.col("__dk_h") < 0)
-          .repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols)
-          .select(*columns, F.spark_partition_id().alias("__dk_p"),
-                  (F.monotonically_increasing_id().bitwiseAND(F.lit(mask))).alias("__dk_pos"))
-          .write.mode("overwrite").parquet(staged_path))
-    staged = spark.read.parquet(staged_path).select("*", *k_exprs)
-
-    # Rows per staged partition -> first key of each partition: a running sum
-    # over at most ``parts`` rows, joined back by broadcast (its size is bounded
-    # by the partition count, so no per-partition list goes into the plan).
-    below_hot = [F.sum(F.when(kstruct < h, 1).otherwise(0)).cast("bigint").alias(f"__dk_lt{i}")
-                 for i, h in enumerate(hot_lits)]
-    per_part = staged.groupBy("__dk_p").agg(F.count(F.lit(1)).alias("__dk_rows"), *below_hot)
-    per_part = per_part.checkpoint()
-    by_part = Window.orderBy("__dk_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "__dk_p", F.coalesce(F.sum("__dk_rows").over(by_part), F.lit(0)).cast("bigint").alias("__dk_off"))
-    main_below = [0] * len(hot_lits)
-    if hot_lits:
-        sums = per_part.agg(*[F.sum(f"__dk_lt{i}").alias(f"s{i}") for i in range(len(hot_lits))]).first()
-        main_below = [sums[f"s{i}"] or 0 for i in range(len(hot_lits))]
-
-    hot_slots = None
-    hot_total = [0] * len(hot_lits)
-    if hot_lits:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]),
-                      F.array(*[F.lit(x) for x in hot_splits])[F.col("__dk_h")])
-        keyed = keyed.withColumn("__dk_s", salt)
-        hot_slots = (keyed.where(F.col("__dk_h") >= 0).groupBy("__dk_h", "__dk_s")
-                     .agg(F.count(F.lit(1)).alias("__dk_cnt")).checkpoint())
-        totals = {r["__dk_h"]: r["t"] for r in
-                  hot_slots.groupBy("__dk_h").agg(F.sum("__dk_cnt").alias("t")).collect()}
-        hot_total = [totals.get(i, 0) for i in range(len(hot_lits))]
-
-    # Key of an ordinary row.
-    hot_before = F.lit(0).cast("bigint")
-    for i, h in enumerate(hot_lits):
-        hot_before = hot_before + F.when(kstruct > h, F.lit(hot_total[i])).otherwise(F.lit(0))
-    main = (staged.join(F.broadcast(offsets), "__dk_p")
-            .withColumn(key, (F.col("__dk_off") + F.col("__dk_pos") + hot_before + F.lit(start)).cast("bigint"))
-            .select(*columns, key))
-    if not hot_lits:
-        return main
-
-    # Hot rows: first key of every (hot value, slot), again a running sum
-    # joined back by broadcast (at most one row per slot).
-    block_start = [start + main_below[i] + sum(hot_total[:i]) for i in range(len(hot_lits))]
-    by_slot = Window.partitionBy("__dk_h").orderBy("__dk_s").rowsBetween(Window.unboundedPreceding, -1)
-    slot_first = hot_slots.select(
-        "__dk_h", "__dk_s",
-        (F.array(*[F.lit(b).cast("bigint") for b in block_start])[F.col("__dk_h")]
-         + F.coalesce(F.sum("__dk_cnt").over(by_slot), F.lit(0))).cast("bigint").alias("__dk_slot_first"))
-    group_cols = [c for c in columns if _orderable(df.schema[c].dataType)]
-    if len(group_cols) < len(columns):
-        raise ValueError("dense_key: hot sort values need every column to be orderable")
-    collapsed = (keyed.where(F.col("__dk_h") >= 0)
-                 .groupBy("__dk_h", "__dk_s", *group_cols).agg(F.count(F.lit(1)).alias("__dk_n")))
-    before = Window.partitionBy("__dk_h", "__dk_s").orderBy(*group_cols).rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranked = (collapsed.join(F.broadcast(slot_first), ["__dk_h", "__dk_s"])
-              .withColumn("__dk_first", F.coalesce(F.sum("__dk_n").over(before), F.lit(0)).cast("bigint")
-                          + F.col("__dk_slot_first")))
-    last = F.col("__dk_first") + F.col("__dk_n") - 1
-    small = (ranked.where(F.col("__dk_n") <= expand_chunk)
-             .withColumn(key, F.explode(F.sequence(F.col("__dk_first"), last))))
-    chunk = F.lit(expand_chunk).cast("bigint")
-    big = (ranked.where(F.col("__dk_n") > expand_chunk)
-           .withColumn("__dk_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                      F.floor((F.col("__dk_n") - 1) / chunk))))
-           .repartition("__dk_h", "__dk_s", "__dk_c")
-           .withColumn("__dk_lo", F.col("__dk_first") + F.col("__dk_c") * chunk)
-           .withColumn(key, F.explode(F.sequence(F.col("__dk_lo"),
-                                                 F.least(F.col("__dk_lo") + chunk - 1, last)))))
-    hot_out = small.select(*columns, key).unionByName(big.select(*columns, key))
-    return main.unionByName(hot_out)
+    checkpoint_dir(spark)
+    counted = Observation("dense_key_input")
+    source = df.observe(counted, F.count(F.lit(1)).alias("rows")).checkpoint()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                math.ceil((counted.get.get("rows") or 0) / rows_per_partition))
+    order = [*_sort_columns(df, order_by, ties, set(nulls_last)), F.col("__dk_row")]
+    placed = (source.withColumn("__dk_row", F.monotonically_increasing_id())
+              .repartitionByRange(parts, *order).sortWithinPartitions(*order)
+              .select(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id().alias("__dk_part"),
+                      F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("__dk_pos"))
+              .checkpoint())
+    # one row per partition, so its running sum may be broadcast
+    earlier = Window.orderBy("__dk_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (placed.groupBy("__dk_part").agg(F.count(F.lit(1)).alias("n"))
+              .select("__dk_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__dk_first")))
+    return (placed.join(F.broadcast(firsts), "__dk_part")
+            .select(*[F.col(f"`{c}`") for c in df.columns],
+                    (F.col("__dk_first") + F.col("__dk_pos") + F.lit(start)).cast("bigint").alias(key)))

@@ -41,6 +41,14 @@ def quality_metrics(calls_clean: DataFrame, incidents_clean: DataFrame) -> DataF
                       "incident_occurred"))
 
 
+def fact_metrics(calls_clean: DataFrame, looked_up: DataFrame) -> DataFrame:
+    """(table, metric, value): rows into and out of the enriched calls, and its lookups without a key."""
+    keys = ["location_key", "call_type_key", "call_disposition_key", "date_key"]
+    rows_in = calls_clean.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
+        F.lit("fact_calls_enriched").alias("table"), F.lit("rows_in").alias("metric"), "value")
+    return rows_in.unionByName(table_metrics(looked_up, "fact_calls_enriched", keys))
+
+
 def observe_quality(df: DataFrame, name: str, null_cols: Sequence[str]) -> tuple[DataFrame, Observation]:
     """Attach row / NULL counters to ``df``; they fill in during its write."""
     obs = Observation(name)

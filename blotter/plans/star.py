@@ -9,7 +9,6 @@ for the broadcast checks, no recomputation) rather than from lineage.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -38,18 +37,14 @@ OBSERVED_NULLS = {
 @dataclass
 class Star:
     spark: SparkSession
-    raw: RawInputs
+    raw: RawInputs | None
     normalize_lookups: bool = False
-    single_task_rows: int | None = None
     tables: dict = field(default_factory=dict)
 
     def _layer(self, name: str, build) -> DataFrame:
         """A written layer when one was stored, else its lazy definition."""
         return self.tables[name] if name in self.tables else build()
 
-    def _kw(self) -> dict:
-        return {} if self.single_task_rows is None else {"single_task_rows": self.single_task_rows}
-
     @cached_property
     def clean_calls(self) -> DataFrame:
         return self._layer("clean_calls", lambda: clean.clean_calls(self.raw.calls))
@@ -69,35 +64,48 @@ class Star:
     @cached_property
     def dim_location(self) -> DataFrame:
         return self._layer("dim_location", lambda: dims.dim_location(
-            self.clean_incidents, self.clean_calls, **self._kw()))
+            self.clean_incidents, self.clean_calls))
 
     @cached_property
     def dim_offense(self) -> DataFrame:
-        return self._layer("dim_offense", lambda: dims.dim_offense(self.clean_incidents, **self._kw()))
+        return self._layer("dim_offense", lambda: dims.dim_offense(self.clean_incidents))
 
     @cached_property
     def dim_call_type(self) -> DataFrame:
         return self._layer("dim_call_type", lambda: dims.dim_call_type(
-            self.clean_calls, self.raw.ref_tencode, self.raw.ref_suffix, **self._kw()))
+            self.clean_calls, self.raw.ref_tencode, self.raw.ref_suffix))
 
     @cached_property
     def dim_call_disposition(self) -> DataFrame:
         return self._layer("dim_call_disposition",
-                           lambda: dims.dim_call_disposition(self.clean_calls, **self._kw()))
+                           lambda: dims.dim_call_disposition(self.clean_calls))
 
     @cached_property
     def fact_calls(self) -> DataFrame:
-        return self._layer("fact_calls", lambda: facts.fact_calls(self.clean_calls, **self._kw()))
+        return self._layer("fact_calls", lambda: facts.fact_calls(self.clean_calls))
 
     @cached_property
     def fact_incidents(self) -> DataFrame:
-        return self._layer("fact_incidents", lambda: facts.fact_incidents(self.clean_incidents, **self._kw()))
+        return self._layer("fact_incidents", lambda: facts.fact_incidents(self.clean_incidents))
 
     @cached_property
     def fact_calls_enriched(self) -> DataFrame:
         return self._layer("fact_calls_enriched", lambda: facts.fact_calls_enriched(
             self.clean_calls, self.dim_location, self.dim_call_type, self.dim_call_disposition,
-            normalize=self.normalize_lookups, **self._kw()))
+            normalize=self.normalize_lookups))
+
+    @cached_property
+    def looked_up_calls(self) -> DataFrame:
+        """The enriched calls without a surrogate key."""
+        return facts.lookup_calls(self.clean_calls, self.dim_location, self.dim_call_type,
+                                  self.dim_call_disposition, normalize=self.normalize_lookups)
+
+    def stored(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` as layer ``name``: every layer not stored itself is built anew from it."""
+        self.tables[name] = df
+        for attr in [a for a, v in vars(type(self)).items() if isinstance(v, cached_property)]:
+            if attr not in self.tables or attr == name:
+                self.__dict__.pop(attr, None)
 
     # Report inputs: facts without surrogate keys unless already written.
     @cached_property
@@ -127,7 +135,7 @@ def write_star(star: Star, out_dir: str, layers: list[str] | None = None,
     spark = star.spark
     metrics = {}
     for name in layers or LAYERS:
-        path = os.path.join(out_dir, name)
+        path = f"{out_dir.rstrip('/')}/{name}"
         df = getattr(star, name)
         partition_by = []
         if name.startswith("dim_"):
@@ -141,8 +149,7 @@ def write_star(star: Star, out_dir: str, layers: list[str] | None = None,
             partition_by = ["year_month"]
         df, metrics[name] = quality.observe_quality(df, name, OBSERVED_NULLS.get(name, []))
         write_table(df, path, partition_by=partition_by)
-        star.tables[name] = spark.read.parquet(path)
-        star.__dict__.pop(name, None)
+        star.stored(name, spark.read.parquet(path))
     return {k: v.get for k, v in metrics.items()}
 
 
@@ -151,12 +158,21 @@ def write_star(star: Star, out_dir: str, layers: list[str] | None = None,
 BROADCAST_DIM_ROWS = {"dim_date": 200_000, "dim_time": 24 * 60}
 
 
-def read_star(spark: SparkSession, raw: RawInputs, out_dir: str) -> Star:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asks the path's own file system, so any URI that Spark reads will do."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_star(spark: SparkSession, raw: RawInputs | None, out_dir: str, layers: list[str] | None = None) -> Star:
+    """A written star. Each of ``layers`` (default: all) must be there; to build
+    missing ones from raw feeds, name only those that exist."""
     star = Star(spark, raw)
-    for name in LAYERS:
-        path = os.path.join(out_dir, name)
-        if os.path.exists(path):
-            star.tables[name] = spark.read.parquet(path)
+    for name in layers or LAYERS:
+        path = f"{out_dir.rstrip('/')}/{name}"
+        if not path_exists(spark, path):
+            raise FileNotFoundError(f"no layer {name} at {path}")
+        star.stored(name, spark.read.parquet(path))
     for name, bound in BROADCAST_DIM_ROWS.items():
         if name in star.tables and star.tables[name].count() > bound:
             raise ValueError(f"{name} has more than {bound} rows; reports broadcast it")

@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -71,8 +72,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="blotter-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
-
-
-def session_token(spark: SparkSession) -> tuple:
-    """Identifies one live session: plans built for it must not outlive it."""
-    return (spark.conf.get("spark.app.id", None), id(spark))

@@ -1,4 +1,4 @@
-"""Parquet sinks for the clean and curated layers."""
+"""Parquet sinks for the raw, clean and curated layers."""
 
 from __future__ import annotations
 
@@ -7,21 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                cluster_by: Sequence[str] = (), files: int | None = None,
-                mode: str = "overwrite") -> None:
-    """Write snappy Parquet; overwrite so a rerun never doubles the data.
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+                only_partitions: bool = False) -> None:
+    """Write snappy Parquet; a rerun replaces its own data and never doubles it.
 
-    ``cluster_by`` range-partitions before the write so each task writes a
-    contiguous slice of the partition column(s): few files per partition
-    directory, and a hot partition value is split over several tasks because
-    the range boundaries also use the trailing columns.
+    ``only_partitions`` replaces just the partition directories that ``df`` has
+    rows for and leaves all others as they are.
     """
-    out = df
-    if cluster_by:
-        n = files or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        out = out.repartitionByRange(int(n), *cluster_by)
-    writer = out.write.mode(mode).option("compression", "snappy")
+    writer = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if only_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.session import prepare, session_token
+from blotter.session import prepare
 from blotter.sources import fixtures
 
 
@@ -27,52 +27,42 @@ class RawInputs:
     ref_suffix: DataFrame
 
 
-_PLANS: dict = {}
-
-
 def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
-    """Raw calls / incidents mapped from ``events`` / ``orders`` under ``sf_dir``.
-
-    The result is a set of lazy plans (nothing is read or cached). It is kept
-    per session and folder: every expression node is a driver round trip, and
-    rebuilding the same plans for each report costs more than running them at
-    small scale. Each action still reads the files again.
-    """
+    """Raw calls / incidents mapped from ``events`` / ``orders`` under ``sf_dir``:
+    lazy plans, built anew on each call, so files that were added are seen."""
     prepare(spark)
-    memo = (session_token(spark), sf_dir)
-    if memo not in _PLANS:
-        _PLANS.clear()
-        _PLANS[memo] = _build_raw(spark, sf_dir)
-    return _PLANS[memo]
-
-
-def _build_raw(spark: SparkSession, sf_dir: str) -> RawInputs:
-    events = read_parquet(spark, f"{sf_dir}/events.parquet")
-    orders = read_parquet(spark, f"{sf_dir}/orders.parquet")
     return RawInputs(
-        calls=fixtures.calls_from_events(events),
-        incidents=fixtures.incidents_from_orders(orders),
+        calls=fixtures.calls_from_events(read_parquet(spark, f"{sf_dir}/events.parquet")),
+        incidents=fixtures.incidents_from_orders(read_parquet(spark, f"{sf_dir}/orders.parquet")),
         ref_tencode=fixtures.ref_tencode(spark),
         ref_suffix=fixtures.ref_suffix(spark),
     )
 
 
+def raw_from_tables(spark: SparkSession, calls: str, incidents: str, ref_tencode: str, ref_suffix: str) -> RawInputs:
+    """Raw inputs from catalog tables or views (``db.table``)."""
+    prepare(spark)
+    return RawInputs(*[read_table(spark, name) for name in (calls, incidents, ref_tencode, ref_suffix)])
+
+
 def raw_from_csv(spark: SparkSession, calls_csv: str, incidents_csv: str, ref_tencode_csv: str,
                  ref_suffix_csv: str, run_ts: str | None = None,
                  raw_dir: str | None = None) -> RawInputs:
     """Raw inputs from CSV drops (header row, explicit schemas).
 
-    With ``raw_dir`` the feeds are landed as Parquet there first (the raw
-    layer) and read back from it.
+    With ``raw_dir`` the feeds are landed as Parquet there first and the whole
+    raw layer, earlier drops included, is read back from it.
     """
     from blotter import schemas
-    from blotter.sources.landing import land_csv
+    from blotter.sources.landing import land_csv, run_timestamp
 
     prepare(spark)
+    run_ts = run_ts or run_timestamp()
 
     def landed(path: str, schema, name: str, stamp: bool) -> DataFrame:
         out = f"{raw_dir}/{name}" if raw_dir else None
         df = land_csv(spark, path, schema, run_ts=run_ts, out_path=out)
+        df = df.drop("_corrupt_record")
         return df if stamp else df.drop("ingest_run_ts_utc")
 
     return RawInputs(

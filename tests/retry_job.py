@@ -33,7 +33,7 @@ def main() -> None:
         F.col("id"),
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") * 7919) % 1000).alias("a"))
     flaky_df = base.withColumn("a", flaky(F.col("a")))
-    got = dense_key(flaky_df, ["a"], key="k", ties=["id"], single_task_rows=0, rows_per_partition=1500)
+    got = dense_key(flaky_df, ["a"], key="k", ties=["id"], rows_per_partition=1500)
     exp = base.withColumn("k", F.row_number().over(Window.orderBy(F.col("a").asc_nulls_first(), "id")))
     diff = got.select("id", "k").exceptAll(exp.select("id", "k")).count()
     print(f"RESULT rows={got.count()} diff={diff}")

@@ -1,12 +1,13 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter import schemas
 from blotter.operators.clean import clean_calls
 from blotter.plans import reports
 from blotter.plans.star import Star, read_star, write_star
-from blotter.sources.landing import land_csv
+from blotter.sources.landing import corrupt_rows, land_csv
 from blotter.sources.tables import raw_inputs
 from blotter.streaming import incremental
 
@@ -37,20 +38,74 @@ def test_write_star_and_report_from_files(spark, scratch):
         reports.violent_by_dow_hour(fresh.incidents_for_reports, fresh.dim_date, fresh.dim_time).collect())
 
 
+def test_star_on_a_uri_and_missing_layers(spark, scratch):
+    raw = raw_inputs(spark, SF)
+    out = f"file://{scratch}/star"
+    write_star(Star(spark, raw), out, ["clean_calls", "dim_time", "fact_calls"])
+    stored = read_star(spark, None, out, ["dim_time", "fact_calls"])
+    fresh = Star(spark, raw)
+    assert reports.calls_by_hour(stored.calls_for_reports, stored.dim_time).collect() == \
+        reports.calls_by_hour(fresh.calls_for_reports, fresh.dim_time).collect()
+    with pytest.raises(FileNotFoundError, match="clean_incidents"):
+        read_star(spark, None, out)
+
+
+def test_layers_built_before_a_write_are_built_anew(spark, scratch):
+    star = Star(spark, raw_inputs(spark, SF))
+    before = star.calls_for_reports
+    write_star(star, scratch, ["clean_calls", "fact_calls"])
+    assert star.calls_for_reports is not before and star.calls_for_reports.inputFiles()[0].startswith(f"file://{scratch}/fact_calls")
+
+
+def test_star_from_catalog_tables(spark):
+    from blotter.sources.tables import raw_from_tables
+    raw = raw_inputs(spark, SF)
+    names = ["t_calls", "t_incidents", "t_tencodes", "t_suffixes"]
+    for name, df in zip(names, (raw.calls, raw.incidents, raw.ref_tencode, raw.ref_suffix)):
+        df.createOrReplaceTempView(name)
+    a, b = Star(spark, raw_from_tables(spark, *names)), Star(spark, raw)
+    for layer in ("dim_call_type", "fact_calls_enriched"):
+        x, y = getattr(a, layer), getattr(b, layer)
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
 def test_land_csv_roundtrip(spark, scratch):
     raw = raw_inputs(spark, SF).calls.drop("ingest_run_ts_utc")
     src = os.path.join(scratch, "csv")
     raw.write.option("header", "true").csv(src)
     out = os.path.join(scratch, "landed")
     landed = land_csv(spark, src, schemas.CALLS_RAW, run_ts="2026-01-01T00:00:00Z", out_path=out)
-    assert landed.columns == raw.columns + ["ingest_run_ts_utc"]
+    assert landed.columns == raw.columns + ["_corrupt_record", "ingest_run_ts_utc"]
     # CSV writes empty strings as "" and NULLs as empty fields; compare NULL-safe on the key columns
-    assert landed.count() == raw.count()
+    assert landed.count() == raw.count() and landed.where("_corrupt_record IS NOT NULL").count() == 0
     a = landed.select("event_number", "call_received", "latitude", "rpa")
     b = raw.select("event_number", "call_received", "latitude", "rpa")
     assert a.exceptAll(b).count() == 0
 
 
+def test_land_csv_cannot_swap_drop_or_lose(spark, scratch):
+    def drop(name, text):
+        path = os.path.join(scratch, name)
+        with open(path, "w") as f:
+            f.write(text)
+        return path
+
+    out = os.path.join(scratch, "raw")
+    land = lambda name, text, ts, **kw: land_csv(spark, drop(name, text), schemas.REF_TENCODE, run_ts=ts, out_path=out, **kw)
+    got = land("swapped.csv", "tencode_description,extra,tencode\nBurglary,x,70\n", "2026-01-01T00:00:00Z")
+    assert [(r.tencode, r.tencode_description) for r in got.collect()] == [("70", "Burglary")]
+    got = land("short.csv", "tencode,tencode_description\n40\n43,Want,Officer\n", "2026-01-02T00:00:00Z")
+    assert got.count() == 3  # the first drop is still there
+    assert {(r.ingest_run_ts_utc, r.rows, r.corrupt) for r in corrupt_rows(got).collect()} == {
+        ("2026-01-01T00:00:00Z", 1, 0), ("2026-01-02T00:00:00Z", 2, 2)}
+    got = land("short.csv", "tencode,tencode_description\n53,Robbery\n", "2026-01-02T00:00:00Z")
+    assert sorted(r.tencode for r in got.collect()) == ["53", "70"]  # a rerun replaces its own drop
+    got = land("quoted.csv", 'tencode,tencode_description\n87,"two\nlines"\n', "2026-01-03T00:00:00Z", multi_line=True)
+    assert [r.tencode_description for r in got.where("tencode = '87'").collect()] == ["two\nlines"]
+    with pytest.raises(ValueError, match="tencode_description"):
+        land("missing.csv", "tencode\n40\n", "2026-01-04T00:00:00Z")
+
+
 def test_streaming_clean_equals_batch(spark, scratch):
     raw = raw_inputs(spark, SF).calls
     src = os.path.join(scratch, "raw")

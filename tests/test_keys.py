@@ -13,7 +13,7 @@ def _expected(df, order, ties=(), nulls_last=()):
 
 
 def _check(df, order, ties=(), nulls_last=(), **kw):
-    got = dense_key(df, order, key="k", ties=ties, nulls_last=nulls_last, single_task_rows=0,
+    got = dense_key(df, order, key="k", ties=ties, nulls_last=nulls_last,
                     rows_per_partition=max(1, df.count() // 16), **kw)
     n = df.count()
     stats = got.agg(F.min("k"), F.max("k"), F.countDistinct("k"), F.count(F.lit(1))).first()
@@ -48,30 +48,35 @@ def test_nulls_last_and_heavy_repeats(calls):
 
 
 def test_hot_value_holding_a_third_of_rows(calls):
+    """Every key equals row_number over order, ties and all other columns, also inside the hot value."""
     hot = calls.withColumn("complaint_number", F.when(F.col("event_number") < "E0000003334", F.lit("HOT"))
-                           .otherwise(F.col("complaint_number")))
-    _check(hot, ["complaint_number"])
+                           .otherwise(F.col("complaint_number"))).drop("event_number")
+    got = _check(hot, ["complaint_number"])
+    rest = [c for c in hot.columns if c != "complaint_number"]
+    want = hot.withColumn("k", F.row_number().over(Window.orderBy(
+        *[F.col(c).asc_nulls_first() for c in ["complaint_number", *rest]])).cast("bigint"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_copies_of_one_row_holding_a_third(calls):
+def test_copies_of_one_row_holding_a_third_are_split(calls):
     is_hot = F.col("event_number") < "E0000003334"
     copies = calls.select(*[F.when(is_hot, F.lit("same")).otherwise(F.col(c)).alias(c) if c != "call_received"
                             else F.when(is_hot, F.lit(None)).otherwise(F.col(c)).alias(c) for c in calls.columns])
-    got = _check(copies, ["complaint_number"], ["event_number"], expand_chunk=500)
+    got = _check(copies, ["complaint_number"], ["event_number"])
     assert got.where(F.col("event_number") == "same").count() == 3334
+    parts = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in parts) < 3334 / 2
 
 
-def test_fast_path_matches_distributed(calls):
-    fast = dense_key(calls, ["complaint_number"], key="k", ties=["event_number"])
-    slow = dense_key(calls, ["complaint_number"], key="k", ties=["event_number"], single_task_rows=0,
-                     rows_per_partition=500)
-    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+def test_same_keys_at_any_partitioning(calls):
+    one = dense_key(calls.coalesce(1), ["complaint_number"], key="k")
+    many = dense_key(calls.repartition(7), ["complaint_number"], key="k", rows_per_partition=300)
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "a string, b int")
     assert dense_key(df, ["a"], key="k").count() == 0
-    assert dense_key(df, ["a"], key="k", single_task_rows=-1).count() == 0
 
 
 def test_start_offset(spark):
@@ -84,11 +89,10 @@ def _depth(line):
     return len(line) - len(line.lstrip(" :+-"))
 
 
-def test_distributed_plan_has_no_single_partition_sort(calls):
+def test_plan_has_no_single_partition_sort(calls):
     """Fact rows never meet a single-partition exchange; the only one sums the
     per-partition counts (one row per partition) on a broadcast side."""
-    got = dense_key(calls, ["complaint_number"], key="k", ties=["event_number"], single_task_rows=0,
-                    rows_per_partition=1000)
+    got = dense_key(calls, ["complaint_number"], key="k", ties=["event_number"], rows_per_partition=1000)
     lines = got._jdf.queryExecution().executedPlan().toString().split("\n")
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:

@@ -1,4 +1,4 @@
-"""Property: dense_key's distributed path numbers rows exactly like a global
+"""Property: dense_key numbers rows exactly like a global
 row_number, for random tables with NULLs, heavy repeats and full-row copies."""
 
 from collections import Counter
@@ -22,8 +22,7 @@ def test_distributed_keys_equal_row_number(spark, rows, copies, nulls_last):
     data = rows + [rows[0]] * copies          # a block of identical rows
     df = spark.createDataFrame(data, "a string, b int, c double")
     nl = ["a"] if nulls_last else []
-    got = dense_key(df, ["a"], key="k", ties=["b"], nulls_last=nl, single_task_rows=0,
-                    rows_per_partition=8, samples_per_partition=4)
+    got = dense_key(df, ["a"], key="k", ties=["b"], nulls_last=nl, rows_per_partition=8)
     order = [F.col("a").asc_nulls_last() if nulls_last else F.col("a").asc_nulls_first(),
              F.col("b").asc_nulls_first()]
     exp = df.withColumn("k", F.row_number().over(Window.orderBy(*order)))
