@@ -43,7 +43,7 @@ from blotter.llm.exact_dedup import bloom_of, in_bloom
 from blotter.llm.exchange import decode, encode, owner_cuts
 from blotter.llm.shingles import WordHasher, set_id, shingle_sets
 
-HELD_TOKENS = 4_000_000   # tokens a sender holds before it sends
+HELD_TOKENS = 1_000_000   # tokens a sender holds before it sends
 OWNER_DOCS = 100_000      # documents per owner at scale
 FREQUENT = 1_000_000      # size of the broadcast list of frequent tokens, at most
 MIN_FREQUENT = 16
