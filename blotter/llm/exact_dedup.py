@@ -143,8 +143,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                            T.StructField("sha", T.BinaryType()), T.StructField("fp", T.LongType())])
     first = settle(texts.mapInArrow(_fingerprints, prints)
                    .select("*", F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("src")))
-    n = first.count()
-    if first.rdd.getNumPartitions() > 2 * parts_for(spark, n, SOURCE_ROWS):
+    size = first.agg(F.count(F.lit(1)).alias("rows"), F.max("src").alias("last")).first()
+    n = size["rows"]
+    if (size["last"] or 0) + 1 > 2 * parts_for(spark, n, SOURCE_ROWS):
         # many small input splits: fewer, larger senders make longer, better coded lists
         first = settle(first.coalesce(parts_for(spark, n, SOURCE_ROWS)).withColumn("src", F.spark_partition_id()))
 
