@@ -10,8 +10,7 @@ padded and mixed-case codes, duplicate descriptions).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from blotter import schemas
 
@@ -41,76 +40,77 @@ REF_TENCODE_ROWS = [("40", "Suspicious Person"), ("43", "Want Officer for Invest
 REF_SUFFIX_ROWS = [("P", "Progress"), ("A", "Alarm")]
 
 
-def _pick(index: Column, values: list) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(index == i, lit) if expr is None else expr.when(index == i, lit)
-    return expr
+# The mappings are SQL expression text: one round trip to the JVM for a whole
+# projection instead of one for each node, and reports build their plans anew each time.
 
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
 
-def _padded(prefix: str, ident: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(ident.cast("string"), 10, "0"))
 
+def _pick(index: str, values: list) -> str:
+    return f"CASE {index} " + " ".join(f"WHEN {k} THEN {_text(v)}" for k, v in enumerate(values)) + " END"
 
-def _fmt(ts: Column) -> Column:
-    return F.concat(F.date_format(ts, "yyyy/MM/dd HH:mm:ss"), F.lit("+00"))
 
+def _padded(prefix: str, ident: str) -> str:
+    return f"concat('{prefix}', lpad(CAST({ident} AS STRING), 10, '0'))"
 
-def _coord(base: int, key: Column, modulus: int) -> Column:
-    return F.lit(base).cast("double") + (key % modulus).cast("double") / F.lit(100).cast("double")
+
+def _raw_time(ts: str) -> str:
+    return f"concat(date_format({ts}, 'yyyy/MM/dd HH:mm:ss'), '+00')"
+
+
+def _coord(base: int, ident: str, modulus: int) -> str:
+    return f"CAST({base} AS DOUBLE) + CAST({ident} % {modulus} AS DOUBLE) / CAST(100 AS DOUBLE)"
+
+
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
 def calls_from_events(events: DataFrame) -> DataFrame:
-    i, u = F.col("event_id"), F.col("user_id")
-    tencode_by_type = None
-    for etype, code in TENCODE_BY_EVENT_TYPE:
-        cond = F.col("event_type") == etype
-        tencode_by_type = (F.when(cond, F.lit(code)) if tencode_by_type is None
-                           else tencode_by_type.when(cond, F.lit(code)))
-    received = F.col("ts") + F.make_dt_interval(days=(i % 730).cast("int"))
-    return events.select(
-        _padded("E", i).alias("event_number"),
-        F.when(i % 10 == 0, F.lit(None).cast("string")).otherwise(_padded("C", i)).alias("complaint_number"),
-        F.when(i % 97 == 0, F.lit("bad")).otherwise(_fmt(received)).alias("call_received"),
-        F.when(i % 53 == 0, F.lit(None).cast("string"))
-         .when(i % 59 == 0, F.lit("4X")).otherwise(tencode_by_type).alias("tencode"),
-        _pick(i % 4, [None, "p", " P ", "A"]).alias("tencode_suffix"),
-        _pick(i % 6, ["1 ", "1", "4", "  ", None, "11"]).alias("disposition_code"),
-        _pick(i % 6, ["Assisted Citizen ", "ASSISTED CITIZEN", "Assisted Other Unit",
-                      None, None, "Disregarded"]).alias("disposition_description"),
-        F.when(i % 41 == 0, F.lit(None).cast("double")).otherwise(_coord(36, u, 50)).alias("latitude"),
-        _coord(-87, u, 30).alias("longitude"),
-        F.concat(F.lit("STREET "), (u % 20).cast("string")).alias("street_name"),
-        (u % 9).cast("string").alias("zone_"),
-        (F.lit(1000) + u % 40).cast("int").alias("rpa"),
-        _pick(i % 3, SHIFTS).alias("shift"),
-        (u % 8).cast("string").alias("sector"),
-        F.lit(INGEST_RUN_TS).alias("ingest_run_ts_utc"),
-    )
+    i, u = "event_id", "user_id"
+    by_type = "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{code}'" for t, code in TENCODE_BY_EVENT_TYPE) + " END"
+    return _project(events, {
+        "event_number": _padded("E", i),
+        "complaint_number": f"CASE WHEN {i} % 10 = 0 THEN CAST(NULL AS STRING) ELSE {_padded('C', i)} END",
+        "call_received": f"CASE WHEN {i} % 97 = 0 THEN 'bad' ELSE "
+                         + _raw_time(f"ts + make_dt_interval(CAST({i} % 730 AS INT))") + " END",
+        "tencode": f"CASE WHEN {i} % 53 = 0 THEN CAST(NULL AS STRING) WHEN {i} % 59 = 0 THEN '4X' ELSE {by_type} END",
+        "tencode_suffix": _pick(f"{i} % 4", [None, "p", " P ", "A"]),
+        "disposition_code": _pick(f"{i} % 6", ["1 ", "1", "4", "  ", None, "11"]),
+        "disposition_description": _pick(f"{i} % 6", ["Assisted Citizen ", "ASSISTED CITIZEN", "Assisted Other Unit",
+                                                      None, None, "Disregarded"]),
+        "latitude": f"CASE WHEN {i} % 41 = 0 THEN CAST(NULL AS DOUBLE) ELSE {_coord(36, u, 50)} END",
+        "longitude": _coord(-87, u, 30),
+        "street_name": f"concat('STREET ', CAST({u} % 20 AS STRING))",
+        "zone_": f"CAST({u} % 9 AS STRING)",
+        "rpa": f"CAST(1000 + {u} % 40 AS INT)",
+        "shift": _pick(f"{i} % 3", SHIFTS),
+        "sector": f"CAST({u} % 8 AS STRING)",
+        "ingest_run_ts_utc": f"'{INGEST_RUN_TS}'",
+    })
 
 
 def incidents_from_orders(orders: DataFrame) -> DataFrame:
-    i, c = F.col("o_orderkey"), F.col("o_custkey")
-    shifted = F.col("o_orderdate") + F.expr("INTERVAL '24' YEAR")
-    occurred = shifted + F.make_dt_interval(hours=(i % 24).cast("int"), mins=(i % 60).cast("int"))
-    reported = shifted + F.make_dt_interval(hours=(i % 24 + i % 5).cast("int"),
-                                            mins=(i % 60).cast("int"))
-    slot = i % 9
-    return orders.select(
-        _padded("I", i).alias("incident_number"),
-        F.when(i % 89 == 0, F.lit("bad")).otherwise(_fmt(occurred)).alias("incident_occurred"),
-        F.when(i % 83 == 0, F.lit(None).cast("string")).otherwise(_fmt(reported)).alias("incident_reported"),
-        F.when(i % 71 == 0, F.lit(None).cast("bigint")).otherwise(slot + 1).cast("bigint").alias("offense_number"),
-        _pick(slot, [code for code, _ in OFFENSES]).alias("offense_nibrs"),
-        _pick(slot, [desc for _, desc in OFFENSES]).alias("offense_description"),
-        F.when(slot == 8, F.lit(None).cast("string")).otherwise(_pick(i % 5, WEAPONS)).alias("weapon_primary"),
-        F.when(i % 43 == 0, F.lit(None).cast("double")).otherwise(_coord(36, c, 50)).alias("latitude"),
-        _coord(-87, c, 30).alias("longitude"),
-        F.concat(F.lit("ADDR "), (c % 25).cast("string")).alias("mapped_location"),
-        (c % 9).cast("string").alias("zone"),
-        (F.lit(1000) + c % 40).cast("int").alias("rpa"),
-    )
+    i, c = "o_orderkey", "o_custkey"
+    day = "o_orderdate + INTERVAL '24' YEAR"
+    occurred = f"{day} + make_dt_interval(0, CAST({i} % 24 AS INT), CAST({i} % 60 AS INT))"
+    reported = f"{day} + make_dt_interval(0, CAST({i} % 24 + {i} % 5 AS INT), CAST({i} % 60 AS INT))"
+    slot = f"{i} % 9"
+    return _project(orders, {
+        "incident_number": _padded("I", i),
+        "incident_occurred": f"CASE WHEN {i} % 89 = 0 THEN 'bad' ELSE {_raw_time(occurred)} END",
+        "incident_reported": f"CASE WHEN {i} % 83 = 0 THEN CAST(NULL AS STRING) ELSE {_raw_time(reported)} END",
+        "offense_number": f"CASE WHEN {i} % 71 = 0 THEN CAST(NULL AS BIGINT) ELSE CAST({slot} + 1 AS BIGINT) END",
+        "offense_nibrs": _pick(slot, [code for code, _ in OFFENSES]),
+        "offense_description": _pick(slot, [text for _, text in OFFENSES]),
+        "weapon_primary": f"CASE WHEN {slot} = 8 THEN CAST(NULL AS STRING) ELSE {_pick(f'{i} % 5', WEAPONS)} END",
+        "latitude": f"CASE WHEN {i} % 43 = 0 THEN CAST(NULL AS DOUBLE) ELSE {_coord(36, c, 50)} END",
+        "longitude": _coord(-87, c, 30),
+        "mapped_location": f"concat('ADDR ', CAST({c} % 25 AS STRING))",
+        "zone": f"CAST({c} % 9 AS STRING)",
+        "rpa": f"CAST(1000 + {c} % 40 AS INT)",
+    })
 
 
 def ref_tencode(spark: SparkSession, rows=None) -> DataFrame:

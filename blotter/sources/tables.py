@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +10,9 @@ from blotter.session import prepare
 from blotter.sources import fixtures
 
 
+Feed = DataFrame | Callable[[], DataFrame]
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -19,12 +22,19 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-@dataclass
 class RawInputs:
-    calls: DataFrame
-    incidents: DataFrame
-    ref_tencode: DataFrame
-    ref_suffix: DataFrame
+    """The four raw feeds, each built when first asked for: a report on calls plans no incidents."""
+
+    def __init__(self, calls: Feed, incidents: Feed, ref_tencode: Feed, ref_suffix: Feed) -> None:
+        self._feeds = {"calls": calls, "incidents": incidents, "ref_tencode": ref_tencode, "ref_suffix": ref_suffix}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        feeds = self.__dict__.get("_feeds", {})
+        if name not in feeds:
+            raise AttributeError(name)
+        feed = feeds[name]
+        setattr(self, name, feed if isinstance(feed, DataFrame) else feed())
+        return self.__dict__[name]
 
 
 def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
@@ -32,10 +42,10 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
     lazy plans, built anew on each call, so files that were added are seen."""
     prepare(spark)
     return RawInputs(
-        calls=fixtures.calls_from_events(read_parquet(spark, f"{sf_dir}/events.parquet")),
-        incidents=fixtures.incidents_from_orders(read_parquet(spark, f"{sf_dir}/orders.parquet")),
-        ref_tencode=fixtures.ref_tencode(spark),
-        ref_suffix=fixtures.ref_suffix(spark),
+        calls=lambda: fixtures.calls_from_events(read_parquet(spark, f"{sf_dir}/events.parquet")),
+        incidents=lambda: fixtures.incidents_from_orders(read_parquet(spark, f"{sf_dir}/orders.parquet")),
+        ref_tencode=lambda: fixtures.ref_tencode(spark),
+        ref_suffix=lambda: fixtures.ref_suffix(spark),
     )
 
 
