@@ -7,7 +7,7 @@ import numpy as np
 from blotter.llm.common import distinct, mix64, slices
 
 SHINGLE = 5
-CHUNK_BYTES = 1 << 20  # text hashed together, which bounds a task's memory
+CHUNK_BYTES = 1 << 19  # text hashed together, which bounds a task's memory
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
