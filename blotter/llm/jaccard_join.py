@@ -385,7 +385,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_docs = sized.count()
 
     # 1. token order
-    owners = parts_for(spark, n_docs, OWNER_DOCS)
+    owners = 4 * parts_for(spark, n_docs, 4 * OWNER_DOCS)  # several to a partition, so that their hashing evens out
     bits = min(64, 8 * -(-(max(1, n_docs).bit_length() + 22) // 8))
     frequent = (raw.mapInArrow(_send_counts(owners, bits), "owner int, blob binary, many binary, counts binary")
                 .groupBy("owner").applyInArrow(_frequent, "token long, c long")
