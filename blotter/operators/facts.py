@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.timestamps import date_key, parse_ts_column, time_key
-from blotter.operators.joins import MAX_BROADCAST_BYTES, left_lookup
+from blotter.operators.joins import MAX_BROADCAST_BYTES, left_lookup, measured
 from blotter.operators.keys import dense_key
 
 # The facts' columns, in the order of their tables.
@@ -81,7 +81,8 @@ def lookup_calls(calls_clean: DataFrame, dim_location: DataFrame, dim_call_type:
             (dim_call_type, "call_type_key", [(F.col("tencode").try_cast("int"), "tencode"), (suffix, "tencode_suffix")],
              [False, normalize]),
             (dim_call_disposition, "call_disposition_key", [(code, "disposition_code")], None)]:
-        calls = left_lookup(calls, first_keys(dim, key, [c for _, c in pairs]), pairs, null_safe, max_broadcast_bytes)
+        lookup, size = measured(first_keys(dim, key, [c for _, c in pairs]))
+        calls = left_lookup(calls, lookup, pairs, null_safe, max_broadcast_bytes, size)
     return calls.select(*[c for c in ENRICHED_CALL_COLUMNS if c != "call_key"])
 
 

@@ -14,16 +14,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.session import checkpoint_dir
+
 MAX_BROADCAST_BYTES = 64 << 20
 SALTS_PER_PARTITION = 8
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Bytes of all values: text and binary by length, anything else 8 or its text."""
+def row_bytes(df: DataFrame) -> Column:
+    """Sum over all rows of the bytes of their values: text and binary by length, anything else 8 or its text."""
     size = F.lit(8)
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -33,28 +35,42 @@ def table_bytes(df: DataFrame) -> int:
             size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
         else:
             size = size + 8
-    return df.agg(F.sum(size.cast("bigint")).alias("b")).first()["b"] or 0
+    return F.coalesce(F.sum(size.cast("bigint")), F.lit(0))
+
+
+def table_bytes(df: DataFrame) -> int:
+    return df.agg(row_bytes(df).alias("b")).first()["b"]
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` checkpointed, and its bytes, counted by the same pass."""
+    checkpoint_dir(df.sparkSession)
+    size = Observation("lookup")
+    kept = df.observe(size, row_bytes(df).alias("b")).checkpoint()
+    return kept, size.get.get("b") or 0
 
 
-def bounded_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+def bounded_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
+                      dim_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(dim), True)`` when ``dim`` has at most ``max_bytes`` bytes."""
-    if table_bytes(dim) <= max_bytes:
+    if (table_bytes(dim) if dim_bytes is None else dim_bytes) <= max_bytes:
         return F.broadcast(dim), True
     return dim, False
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, pairs: Sequence[tuple[Column, str]],
-                null_safe: Sequence[bool] | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                null_safe: Sequence[bool] | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                dim_bytes: int | None = None) -> DataFrame:
     """Left-join ``dim`` to ``fact`` on ``fact_expr == dim[col]`` pairs.
 
     ``dim`` key columns are dropped from the output; its other columns are
     added (NULL when no match). ``null_safe[i]`` makes pair ``i`` match NULL
-    to NULL. Several rows of ``dim`` with one key give several rows.
+    to NULL. ``dim_bytes`` is the dimension's size where the caller knows it. Several rows of ``dim`` with one key give several rows.
     """
     null_safe = list(null_safe or [False] * len(pairs))
     names = [c for _, c in pairs]
     values = [c for c in dim.columns if c not in names]
-    side, small = bounded_broadcast(dim, max_broadcast_bytes)
+    side, small = bounded_broadcast(dim, max_broadcast_bytes, dim_bytes)
     side = side.select(*[F.col(f"`{c}`").alias(f"__dim_{i}") for i, c in enumerate(names)], *[F.col(f"`{c}`") for c in values])
 
     def matches(left: list[Column]) -> Column:

@@ -103,3 +103,10 @@ def test_plan_has_no_single_partition_sort(calls):
                     ancestors.append(prev)
                     d = _depth(prev)
             assert any("BroadcastExchange" in a for a in ancestors), line
+
+
+def test_source_is_read_once(calls):
+    """The keyed result starts from checkpoints: the source is scanned by the input checkpoint only."""
+    got = dense_key(calls, ["complaint_number"], key="k", ties=["event_number"])
+    assert "FileScan" in calls._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
