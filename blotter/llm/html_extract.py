@@ -12,8 +12,11 @@ removed from each page, unless that took more than half of the page's text.
 
 Before that, elements that say what they are go: menus, headers outside an
 article, footers, sidebars, notices, adverts, forms, scripts, styles, hidden parts and
-reader comments, by tag, role, class or id. Where a page has ``article`` (else
-``main``) elements, its text is theirs.
+reader comments, by tag, role, class or id. A class or id condemns no element that
+contains an ``article``, ``main`` or ``h1`` (a wrapper of comments or related texts only if
+the page has an article elsewhere), and ``header`` in one condemns nothing inside an
+article. Names such as has-sidebar or no-comments say how something looks, not what it is. What this
+spares is left to the tree. Where a page has ``article`` (else ``main``) elements, its text is theirs.
 
 Character references are decoded, white space within a block becomes one space,
 blocks are joined in page order by one newline. NULL and empty html give an
@@ -55,6 +58,9 @@ NOISE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising s
 nav navbar navigation menu breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices alert
 popup modal overlay comment comments disqus reply replies related recommended share sharing social newsletter subscribe
 signup login widget toolbar pagination pager skip""".split())
+# of an article itself, and of wrappers that may hold the articles of others
+OTHERS = frozenset("comment comments disqus reply replies related recommended ad ads advert sponsored promo teaser".split())
+CONTENT = frozenset(("article", "main", "h1"))
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"),
              "option": ("option",)}
 
@@ -65,6 +71,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 NAMES = re.compile(r"[A-Za-z]+")
+MODIFIER = re.compile(r"(?<!\S)(?:has|have|no|not|with|without|hide|show)(?:[-_]\S*|(?=[A-Z])\S*)")
 
 
 def _hash(s: str) -> int:
@@ -72,24 +79,46 @@ def _hash(s: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "chain", "noise", "article", "main", "styled", "kids")
+    """``noise`` is certain; ``doubts`` are the doubts of itself and its ancestors."""
 
-    def __init__(self, tag, path, chain, noise, article, main, styled):
-        self.tag, self.path, self.chain, self.noise = tag, path, chain, noise
+    __slots__ = ("tag", "path", "chain", "noise", "doubts", "article", "main", "styled", "kids")
+
+    def __init__(self, tag, path, chain, noise, doubts, article, main, styled):
+        self.tag, self.path, self.chain, self.noise, self.doubts = tag, path, chain, noise, doubts
         self.article, self.main, self.styled, self.kids = article, main, styled, []
 
 
+class Doubt:
+    """An element condemned by class words only, and whether it has content."""
+
+    __slots__ = ("others", "content")
+
+    def __init__(self, others):
+        self.others, self.content = others, False
+
+
 def _open(parent: Element, tag: str, raw: str, hashes: dict) -> Element:
     attrs = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(raw)} if raw.strip(" /") else {}
     names = f"{attrs.get('class', '')} {attrs.get('id', '')}".strip()
     words = {w.lower() for w in WORDS.findall(names) + NAMES.findall(names)}
-    noise = parent.noise
-    if not noise and tag not in ("html", "body", "article", "main"):
-        noise = (tag in NOISE_TAGS or (tag == "header" and not parent.article) or bool(words & NOISE_WORDS)
-                 or attrs.get("role", "").lower() in NOISE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true"
-                 or "display:none" in attrs.get("style", "").replace(" ", "").lower())
-    elif not noise and tag == "article":
-        noise = bool(words & {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related", "teaser"})
+    noise, doubts = parent.noise, parent.doubts
+    if not noise:
+        if tag not in ("html", "body", "article", "main"):
+            noise = (tag in NOISE_TAGS or (tag == "header" and not parent.article)
+                     or attrs.get("role", "").lower() in NOISE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+                     or "display:none" in attrs.get("style", "").replace(" ", "").lower())
+        listed = OTHERS if tag == "article" else NOISE_WORDS
+        if not noise and words and tag not in ("html", "body", "main", "h1") and words & listed:
+            said = MODIFIER.sub(" ", names)
+            said = {w.lower() for w in WORDS.findall(said) + NAMES.findall(said)} & listed
+            if parent.article:
+                said.discard("header")
+            if said:
+                doubts = (*doubts, Doubt(bool(said & OTHERS)))
+        if not noise and tag in CONTENT:
+            # an article in doubt says nothing for the elements around it, nor for itself
+            for d in doubts if doubts is parent.doubts else ():
+                d.content = True
     styled = tag in BLOCK or bool(words)
     path, chain = parent.path, parent.chain
     if styled:
@@ -100,14 +129,14 @@ def _open(parent: Element, tag: str, raw: str, hashes: dict) -> Element:
             h = hashes[path] = _hash(path)
         chain = (*chain, h)
         parent.kids.append(label)
-    return Element(tag, path, chain, noise, parent.article or tag == "article",
+    return Element(tag, path, chain, noise, doubts, parent.article or tag == "article",
                    parent.main or tag == "main" or attrs.get("role", "").lower() == "main", styled)
 
 
 def parse(page: str, hashes: dict):
     """(blocks, styles): blocks are (chain of path hashes, in article, in main, text)
     without those of self-declared noise; styles are (chain, children's labels)."""
-    root = Element("#", "", (), False, False, False, True)
+    root = Element("#", "", (), False, (), False, False, True)
     stack, blocks, styles, held, at = [root], [], [], [], 0
 
     def flush():
@@ -115,7 +144,7 @@ def parse(page: str, hashes: dict):
         held.clear()
         top = stack[-1]
         if text and not top.noise:
-            blocks.append((top.chain, top.article, top.main, text))
+            blocks.append((top.chain, top.article, top.main, text, top.doubts))
 
     def close(depth):
         # only elements that break a line end a block; what is noise inline ends one as well
@@ -123,7 +152,7 @@ def parse(page: str, hashes: dict):
             flush()
         for e in stack[depth:]:
             if e.styled and not e.noise:
-                styles.append((e.chain, e.kids))
+                styles.append((e.chain, e.kids, e.doubts))
         del stack[depth:]
 
     for m in TOKEN.finditer(page):
@@ -162,7 +191,10 @@ def parse(page: str, hashes: dict):
     held.append(page[at:])
     close(1)
     flush()
-    return blocks, styles
+    # without an article elsewhere, the one among comments or related texts may be the page's own
+    elsewhere = any(b[1] and all(d.content and not d.others for d in b[4]) for b in blocks)
+    spared = lambda doubts: all(d.content and not (d.others and elsewhere) for d in doubts)
+    return [b[:4] for b in blocks if spared(b[4])], [x[:2] for x in styles if spared(x[2])]
 
 
 def main_blocks(blocks: list) -> list:

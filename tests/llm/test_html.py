@@ -20,6 +20,20 @@ def test_markup():
     assert text("</p></div><td>cell<td>two") == "cell\ntwo"
 
 
+def test_class_words_spare_content():
+    page = "<div class='{}'><article><h1>T</h1><p>body</p></article></div>"
+    for name in ("site has-sidebar", "with-menu", "no-comments", "page-header", "layout menu", "hasSidebar", "related"):
+        assert text(page.format(name)) == "T\nbody"
+    assert text("<article><header class='entry-header'><h1>T</h1></header><div class='article-header'><h2>S</h2></div>x</article>") == "T\nS\nx"
+    assert text("<div class='page-header'><h1 class='page-header'>T</h1></div><div class='no-sidebar'>x</div><div class=sidebar>s</div>") == "T\nx"
+    assert text("<div class=with-menu><main><p>m</p></main><div class=sidebar>s</div></div>") == "m"
+    assert text("<div class='layout menu'><article><p>a <b>b</b> c</p></article></div>") == "a b c"
+    # what is named inside a spared wrapper still goes, as do the articles of others
+    assert text("<div class=with-menu><div class=menu>no</div><article>a<div class=share>no</div></article></div>") == "a"
+    assert text("<article>a<p>b</p></article><div class=related><article>no</article></div><div class=comments><article class=comment>no</article></div>") == "a\nb"
+    assert text("<div class=x><div class=sidebar>no</div><nav class=menu><h1>no</h1></nav>yes</div>") == "yes"
+
+
 def pages(n, site="http://site.example/{}"):
     """No element says what it is: only the tree can tell the repeated branch."""
     return [(i, site.format(i), f"<body><div class=zq><p>Buy our things now.</p></div><div class=k><p>Own text number {i} with words {i * 7}.</p>"
