@@ -8,7 +8,9 @@ importance 1 - mean(log c / log m) over its distinct texts, where c of m pages
 have the text; any other path the entropy of its presentations to base m. A
 branch is as important as the most important path in it. Branches below
 ``LOW`` on at least ``MIN_PAGES`` distinct pages are noise of the site and are
-removed from each page, unless that took more than half of the page's text.
+removed from each page, however short the rest is, unless nothing were left. On a host of
+``FEW_PAGES`` to ``MIN_PAGES`` - 1 distinct pages a branch is noise if all of them have it
+with the same texts; fewer pages are no evidence.
 
 Before that, elements that say what they are go: menus, headers outside an
 article, footers, sidebars, notices, adverts, forms, scripts, styles, hidden parts and
@@ -44,6 +46,7 @@ from blotter.llm.common import pick, table
 
 LOW = 0.2
 MIN_PAGES = 8
+FEW_PAGES = 4
 SALTS = 32
 
 # HTML's elements by role.
@@ -224,6 +227,7 @@ def _tree_rows(batches):
             used = {h for c, *_ in kept for h in c}  # paths that lead to a kept block
             seen |= {(c, False, _hash(" ".join(k for i, k in enumerate(kids) if i == 0 or kids[i - 1] != k)))
                      for c, kids in styles if c and c[-1] in used}
+            seen.add(((), False, 0))  # the root, so that it has all pages of the host
             rows += [(host, _chain_bytes(c), content, v, page) for c, content, v in seen]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=list(names))
 
@@ -257,8 +261,11 @@ def site_noise(pages: DataFrame) -> DataFrame:
     branches = (paths.select("host", F.explode("ups").alias("top"), "importance")
                 .groupBy("host", "top").agg(F.max("importance").alias("most")))
     own = paths.select("host", "path", "m", F.get("ups", F.size("ups") - 2).alias("parent"))
+    hosts = paths.filter(F.size("ups") == 0).select("host", F.col("m").alias("pages"))
+    everywhere = (F.col("pages") < MIN_PAGES) & (F.col("m") == F.col("pages")) & (F.col("most") < 1e-9)
     low = (own.join(branches.withColumnRenamed("top", "path"), ["host", "path"])
-           .filter((F.col("most") < LOW) & (F.col("m") >= MIN_PAGES)).select("host", "path", "parent"))
+           .filter((F.col("most") < LOW) & (F.col("m") >= FEW_PAGES)).join(hosts, "host")
+           .filter((F.col("m") >= MIN_PAGES) | everywhere).select("host", "path", "parent"))
     tops = low.join(low.select("host", F.col("path").alias("parent")), ["host", "parent"], "left_anti")
     return tops.groupBy("host").agg(F.collect_set("path").alias("noise"))
 
@@ -285,8 +292,7 @@ def _extract(batches):
                 bad = set(noise)
                 fine = [bad.isdisjoint(c) for c in chains]
                 clean = [x for x in kept if fine[x[0]]]
-                if 2 * sum(len(t) for _, t in clean) >= sum(len(t) for _, t in kept):
-                    kept = clean
+                kept = clean or kept  # a page of nothing else keeps it
             texts.append("\n".join(t for _, t in kept))
         rest = [c for c in b.schema.names if c not in ("blocks", "noise")]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(texts, pa.string()),

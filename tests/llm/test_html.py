@@ -48,6 +48,17 @@ def test_site_style_tree(spark):
     assert all("Buy our things now." in r["text"] for r in few)
 
 
+def test_short_articles_and_small_hosts(spark):
+    notice = "<div class=zq><p>" + "Buy our things now, they are cheap. " * 20 + "</p></div>"
+    rows = [(h * 100 + i, f"http://h{h}.example/{i}", f"<body>{notice}<div class=k><p>Own {i}.</p></div></body>")
+            for h, n in ((1, 20), (2, 5), (3, 3)) for i in range(n)]
+    rows.append((1000, "http://h1.example/only", f"<body>{notice}</body>"))
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[h * 100 + i] == f"Own {i}." for h, n in ((1, 20), (2, 5)) for i in range(n))
+    assert all(got[300 + i].endswith(f"cheap.\nOwn {i}.") for i in range(3))  # too few pages for evidence
+    assert got[1000].startswith("Buy our things")
+
+
 def test_copies_of_one_page_are_no_template(spark):
     rows = [(i, "http://copies.example/x", "<body><h1>Title</h1><p>The same article everywhere.</p></body>") for i in range(30)]
     assert {r["text"] for r in extract_text(spark.createDataFrame(rows, SCHEMA)).collect()} == {"Title\nThe same article everywhere."}
