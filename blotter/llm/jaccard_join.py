@@ -21,7 +21,8 @@ or more; the result gives every document the smallest id that links reach.
 4. In the second round, pairs whose groups are not yet in one component are
    opened: the query group's sets are held against the host group's token union
    (a set needs ``ceil(0.8 n)`` tokens there) and, if that qualifies, against
-   the host's sets. Long columns give all pairs of different components here, so
+   the host's sets, in tiles of at most about ``BLOCK`` sets or ``BLOCK_TOKENS`` tokens
+   of either group, so a group of any size is opened by many tasks. Long columns give all pairs of different components here, so
    no link between different texts is lost.
 
 Sets stand for all their copies; links and components stay in the cluster.
@@ -48,7 +49,8 @@ OWNER_DOCS = 100_000      # documents per owner at scale
 FREQUENT = 1_000_000      # size of the broadcast list of frequent tokens, at most
 MIN_FREQUENT = 16
 LONG = 64
-BLOCK = 1024  # queries of a host group compared in one task
+BLOCK = 1024  # sets of a host group, and queries, compared in one task
+BLOCK_TOKENS = 4_000_000  # and their tokens
 
 
 def prefix_length(n):
@@ -344,7 +346,7 @@ def _set_rows(words: np.ndarray):
 
 
 def _open(t: pa.Table) -> pa.Table:
-    """Links between a host group's sets and the query sets sent to it."""
+    """Links between a part of a host group's sets and the query sets sent to it."""
     sid = t.column("sid").to_pylist()
     query = t.column("query").to_pylist()
     sets = [np.frombuffer(x, np.uint64) for x in t.column("tokens").to_pylist()]
@@ -361,17 +363,27 @@ def _open(t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
 
-def _verify(pairs: DataFrame, host_sets: DataFrame, query_sets: DataFrame) -> DataFrame:
-    """``pairs`` (host, query) of groups; *_sets (grp, sid, tokens). A host with
-    many queries is opened in several blocks of them."""
-    blocks = pairs.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asked = (pairs.join(blocks, "host").join(query_sets, F.col("query") == F.col("grp"))
-             .select("host", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"),
+def _parts(size: str, most: str):
+    """Number of parts that a group of ``size`` sets of at most ``most`` tokens is cut into."""
+    return F.expr(f"CAST(ceil({size} / greatest(1, least({BLOCK}, floor({BLOCK_TOKENS} / greatest(1, {most}))))) AS INT)")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` of groups (host, query, host_parts, query_parts, query_size, query_most);
+    ``sets`` (grp, part, sid, tokens). Every part of a host meets every block of its queries' sets."""
+    blocks = pairs.groupBy("host").agg(
+        F.first("host_parts").alias("host_parts"),
+        F.greatest(F.ceil(F.sum("query_size") / BLOCK),
+                   F.ceil(F.sum(F.col("query_size") * F.col("query_most")) / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = (pairs.select("host", F.col("query").alias("grp"), each("query_parts").alias("part")).join(blocks, "host")
+             .join(sets, ["grp", "part"])
+             .select("host", each("host_parts").alias("host_part"), F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"),
                      "sid", "tokens", F.lit(True).alias("query")))
-    opened = (blocks.join(host_sets, F.col("host") == F.col("grp"))
-              .select("host", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+    opened = (blocks.select(F.col("host").alias("grp"), "blocks", each("host_parts").alias("part")).join(sets, ["grp", "part"])
+              .select(F.col("grp").alias("host"), F.col("part").alias("host_part"), each("blocks").alias("block"),
                       "sid", "tokens", F.lit(False).alias("query")))
-    return opened.unionByName(asked).groupBy("host", "block").applyInArrow(_open, "a long, b long")
+    return opened.unionByName(asked).groupBy("host", "host_part", "block").applyInArrow(_open, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -411,11 +423,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     overlap = F.expr("9 * (c + least(n_long_a, n_long_b) + floor((4 * greatest(most_a, most_b) + 4) / 5) - 1) >= 4 * (least_a + least_b)")
     pairs = (columns.mapInArrow(_first_pairs, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
              .join(g1, F.col("a") == F.col("grp_a")).join(g2, F.col("b") == F.col("grp_b")).filter(in_reach & overlap))
-    pairs = settle(pairs.select("a", "b", "size_a", "size_b"))
+    pairs = settle(pairs.select("a", "b", "size_a", "size_b", "most_a", "most_b"))
     in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("grp")).distinct()
     centre_sets = _sets_of(raw, in_pairs.select(F.col("grp").alias("sid")))
-    as_centre = centre_sets.select(F.col("sid").alias("grp"), "sid", "tokens")
-    first_links = _verify(pairs.select(F.col("a").alias("host"), F.col("b").alias("query")), as_centre, as_centre)
+    as_centre = centre_sets.select(F.col("sid").alias("grp"), F.lit(0).alias("part"), "sid", "tokens")
+    one = F.lit(1)
+    first_links = _verify(pairs.select(F.col("a").alias("host"), F.col("b").alias("query"), one.alias("host_parts"), one.alias("query_parts"),
+                                       one.alias("query_size"), F.col("most_b").alias("query_most")), as_centre)
     known = settle(home.unionByName(first_links))
     labels = components(known, "a", "b")
 
@@ -427,18 +441,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("owner", "grp", F.coalesce("label", "grp").alias("label"), "least", "most", "n_long"))
     late = columns.groupBy("owner").cogroup(info.groupBy("owner")).applyInArrow(_open_pairs, "a long, b long").distinct()
     late = (late.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-            .join(groups.select(F.col("grp").alias("a"), F.col("size").alias("size_a")), "a")
-            .join(groups.select(F.col("grp").alias("b"), F.col("size").alias("size_b")), "b").select("a", "b", "size_a", "size_b"))
+            .join(groups.select(F.col("grp").alias("a"), F.col("size").alias("size_a"), F.col("most").alias("most_a")), "a")
+            .join(groups.select(F.col("grp").alias("b"), F.col("size").alias("size_b"), F.col("most").alias("most_b")), "b")
+            .select(*pairs.columns))
     apart = (pairs.filter("size_a > 1 OR size_b > 1").unionByName(late)
              .join(la, "a", "left").join(lb, "b", "left")
              .filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
-             .select(F.when(F.col("size_a") >= F.col("size_b"), F.col("a")).otherwise(F.col("b")).alias("host"),
-                     F.when(F.col("size_a") >= F.col("size_b"), F.col("b")).otherwise(F.col("a")).alias("query")))
+             .withColumn("a_hosts", F.col("size_a") >= F.col("size_b")))
+    host, query = (lambda x: F.when(F.col("a_hosts"), F.col(f"{x}a")).otherwise(F.col(f"{x}b")),
+                   lambda x: F.when(F.col("a_hosts"), F.col(f"{x}b")).otherwise(F.col(f"{x}a")))
+    apart = (apart.select(host("").alias("host"), query("").alias("query"), host("size_").alias("host_size"), host("most_").alias("host_most"),
+                          query("size_").alias("query_size"), query("most_").alias("query_most"))
+             .withColumn("host_parts", _parts("host_size", "host_most")).withColumn("query_parts", _parts("query_size", "query_most")))
     apart = settle(apart)
     if not apart.isEmpty():
         wanted = apart.select(F.explode(F.array("host", "query")).alias("grp")).distinct().join(members, "grp")
-        sets = wanted.select("grp", "sid").join(_sets_of(raw, wanted.select("sid").distinct()), "sid").select("grp", "sid", "tokens")
-        known = settle(known.unionByName(_verify(apart, sets, sets)))
+        cut = groups.select("grp", _parts("size", "most").alias("parts"))
+        sets = (wanted.select("grp", "sid").join(cut, "grp").join(_sets_of(raw, wanted.select("sid").distinct()), "sid")
+                .select("grp", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int").alias("part"), "sid", "tokens"))
+        known = settle(known.unionByName(_verify(apart, sets)))
         labels = components(known, "a", "b")
 
     # components back to documents; a set's copies are spread over their partitions

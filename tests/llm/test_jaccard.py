@@ -59,3 +59,23 @@ def test_no_frequent_tokens_known(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "MIN_FREQUENT", 10 ** 9)
     monkeypatch.setattr(jaccard_join, "LONG", 8)
     check(spark, corpus(3))
+
+
+def test_large_groups_are_opened_in_tiles(spark, monkeypatch):
+    """Two families of which only a member of one links with the other: no task holds a whole group."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(100)]
+    other, bridge = list(base), list(base)
+    for i in (20, 50, 80):
+        other[i] = f"c{i}"
+    bridge[20] = "c20"
+    texts = [" ".join(x) for x in (base, other)] + family(rng, base, 60, 1) + family(rng, other, 60, 1) + [" ".join(bridge)]
+    whole = jaccard_join._open
+
+    def bounded(t):
+        assert t.num_rows <= 12, t.num_rows
+        return whole(t)
+
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1)
+    monkeypatch.setattr(jaccard_join, "_open", bounded)
+    check(spark, list(enumerate(texts)))
