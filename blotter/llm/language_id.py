@@ -1,8 +1,9 @@
 """Language identification: known words first, then shorter and shorter character n-grams.
 
 Training counts words and character n-grams (``MAX_GRAM`` down to 1) of lower-cased
-labelled texts per language, over a sample of expected size ``SAMPLE_ROWS`` of the
-labelled rows, and keeps the ``KEEP_WORDS`` and ``KEEP_GRAMS`` most frequent
+labelled texts per language, over a sample of expected size ``SAMPLE_ROWS`` at most
+of the labelled rows: all languages have the same quota, rows that a rare one leaves of it go to
+the others, and a language within its quota keeps all its rows, however large the rest is. It keeps the ``KEEP_WORDS`` and ``KEEP_GRAMS`` most frequent
 per language: a model of bounded size, so it may be broadcast. A word that the
 model knows scores its log frequency in each language. Any other word is cut
 into n-grams of the longest order; an n-gram that the model lacks is replaced
@@ -78,15 +79,26 @@ def _count_grams(batches):
                    for n in range(1, MAX_GRAM + 1) for g in _grams(w, n)), GRAM_ROWS)
 
 
+def _shares(counts: dict) -> dict:
+    """Share of each language's rows to learn: the quota is what the smaller ones leave, dealt evenly."""
+    left, shares = SAMPLE_ROWS, {}
+    for k, (lang, c) in enumerate(sorted(counts.items(), key=lambda x: x[1])):
+        taken = min(c, left / (len(counts) - k))
+        shares[lang] = taken / c
+        left -= taken
+    return shares
+
+
 def train(labelled: DataFrame) -> dict:
-    """Model from columns ``doc_id`` (only picks the sample), ``text`` and ``lang``."""
+    """Model from columns ``doc_id`` (only picks the sample, with the text), ``text`` and ``lang``."""
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     langs = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(KEEP_LANGS).collect()
-    n = sum(r["count"] for r in langs)
     names = sorted(r["lang"] for r in langs)
-    if n > SAMPLE_ROWS:
-        share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-        labelled = labelled.filter(share < SAMPLE_ROWS / n)
+    shares = _shares({r["lang"]: r["count"] for r in langs})
+    if any(x < 1 for x in shares.values()):
+        at = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+        share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+        labelled = labelled.filter(at < share[F.col("lang")])
     words = settle(labelled.filter(F.col("lang").isin(names)).select("lang", "text")
                    .mapInArrow(_count_words, "lang string, gram string, c long")
                    .groupBy("lang", "gram").agg(F.sum("c").alias("c")))

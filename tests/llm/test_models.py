@@ -37,6 +37,19 @@ def test_backoff_reaches_known_parts(spark):
     assert got[1] == "en" and got[2] == "de" and got[3] in ("de", "en")
 
 
+def test_rare_language_keeps_its_rows_at_every_size(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 60)
+    rows = [(i, f"the river and the house w{i}" if i % 2 else f"der fluss und das haus w{i}", "en" if i % 2 else "de") for i in range(6000)]
+    rows += [(10000 + i, f"mto na nyumba {'abcde'[i] * 4}", "sw") for i in range(5)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model["names"] == ["de", "en", "sw"] and all(x * 4 in model["logs"][0][0] for x in "abcde")
+    asked = spark.createDataFrame([(1, "nyumba na mto"), (2, "the house"), (3, "das haus")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.identify(asked, model).collect()} == {1: "sw", 2: "en", 3: "de"}
+    shares = language_id._shares({"a": 10 ** 9, "b": 10 ** 6, "c": 5})
+    assert shares["c"] == 1 and abs(10 ** 9 * shares["a"] + 10 ** 6 * shares["b"] + 5 - 60) < 1e-6
+    assert abs(10 ** 9 * shares["a"] - 10 ** 6 * shares["b"]) < 1e-6
+
+
 def test_quality_held_out(spark):
     got = quality_svm.op2_quality_svm(spark, SF_ORACLE).toPandas()
     labels = duckdb.sql(f"SELECT doc_id, quality FROM '{SF_ORACLE}/labels.parquet'").df()
