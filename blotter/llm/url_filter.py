@@ -10,8 +10,8 @@ the most specific pattern decides, so an ``allow`` entry of a host wins over a
 Intervals and captures meet by an equality join on (pattern, period, salt): an
 interval is listed under each period of ``PERIOD_DAYS`` days that it touches,
 between its own start and the last fetch day, and under each salt; a capture
-under one period and salt, once for each parent domain (at most
-``MAX_LABELS``). At most ``PERIOD_DAYS`` intervals of one pattern meet a capture,
+under one period and salt, once for each parent domain (of no more labels than the
+list's deepest pattern has). At most ``PERIOD_DAYS`` intervals of one pattern meet a capture,
 since a pattern changes at most once a day. A host with a third of all captures
 is spread over its periods and ``SALTS`` salts.
 
@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from blotter.llm.common import pick, settle, table
 
 PERIOD_DAYS = 30
-MAX_LABELS = 10  # labels of a host name that patterns can have; longer ones are cut from the left
 SALTS = 16
 FIRST_DAY = "2024-01-01"
 
@@ -57,7 +56,9 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     rows = settle(rows)
     period = lambda day: F.floor(F.datediff(day, F.lit(FIRST_DAY)) / PERIOD_DAYS)
     days = rows.agg(F.min("fetched").alias("a"), F.max("fetched").alias("z")).first()
-    held = intervals(entries)
+    held = settle(intervals(entries))
+    # more labels than any pattern has meet none
+    deepest = held.agg(F.max(F.size(F.split("pattern", r"\.")))).first()[0] or 1
     if days["a"] is not None:
         # only the part of an interval that any capture can fall into
         held = (held.filter((F.col("start") <= F.lit(days["z"])) & (F.coalesce("stop", F.lit(days["z"]) + F.expr("INTERVAL 1 DAY")) > F.lit(days["a"])))
@@ -67,7 +68,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     else:
         held = held.withColumn("period", F.lit(0).cast("long"))
     held = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    labels = F.slice(F.reverse(F.split("host", r"\.")), 1, MAX_LABELS)
+    labels = F.slice(F.reverse(F.split("host", r"\.")), 1, deepest)
     parents = F.transform(F.sequence(F.lit(1), F.size("labels")), lambda n: F.array_join(F.reverse(F.slice("labels", F.lit(1), n)), "."))
     asked = (rows.filter(F.col("host").isNotNull() & F.col("fetched").isNotNull()).withColumn("labels", labels)
              .select("row", "fetched", period(F.col("fetched")).alias("period"),

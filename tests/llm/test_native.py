@@ -99,3 +99,16 @@ def test_url_filter_by_hand(spark):
     assert {r["page_id"]: r["since"] for r in got.collect()}[5] == d(90)
     assert url_filter.filter_urls(c.limit(0), e).count() == 0
     assert not any(r["blocked"] for r in url_filter.filter_urls(c, e.limit(0)).collect())
+
+
+def test_url_filter_deep_hosts(spark):
+    day = datetime.date(2024, 1, 1)
+    deep = ".".join(f"l{i}" for i in range(14))
+    entries = [(f"{deep}.farm.org", "block", "add", day), ("parent.org", "block", "add", day), (f"{deep}.parent.org", "allow", "add", day)]
+    captures = [(1, f"http://{deep}.farm.org/", day), (2, f"http://x.{deep}.farm.org/", day), (3, "http://farm.org/", day),
+                (4, f"http://a.{deep}.parent.org/", day), (5, f"http://b{deep}.parent.org/", day), (6, f"http://{'a.' * 200}parent.org/", day)]
+    got = {r["page_id"]: (r["blocked"], r["pattern"]) for r in url_filter.filter_urls(
+        spark.createDataFrame(captures, "page_id long, url string, fetched date"),
+        spark.createDataFrame(entries, "pattern string, verdict string, action string, day date")).collect()}
+    assert got == {1: (True, entries[0][0]), 2: (True, entries[0][0]), 3: (False, None), 4: (False, entries[2][0]),
+                   5: (True, "parent.org"), 6: (True, "parent.org")}
