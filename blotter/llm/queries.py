@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from blotter.llm import (exact_dedup, host_rules, html_extract, jaccard_join, language_id, line_templates, mixing,
-                         piece_sampling, quality_svm, url_filter)
+                         piece_sampling, quality_svm, token_alignment, url_filter)
 
 MODULES = {
     "op1_exact_dedup": exact_dedup,
@@ -16,6 +16,7 @@ MODULES = {
     "op8_mix_sources": mixing,
     "op9_jaccard_join": jaccard_join,
     "op10_html_extract": html_extract,
+    "op13_token_alignment": token_alignment,
 }
 
 
