@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from blotter.llm import (exact_dedup, hard_negatives, host_rules, html_extract, jaccard_join, language_id, line_templates, mixing,
+from blotter.llm import (exact_dedup, hard_negatives, host_rules, html_extract, jaccard_join, language_id, license_scan,
+                         line_templates, mixing,
                          piece_sampling, quality_svm, token_alignment, url_filter)
 
 MODULES = {
@@ -17,6 +18,7 @@ MODULES = {
     "op9_jaccard_join": jaccard_join,
     "op10_html_extract": html_extract,
     "op11_hard_negatives": hard_negatives,
+    "op12_license_scan": license_scan,
     "op13_token_alignment": token_alignment,
 }
 
