@@ -3,13 +3,14 @@
 Each report counts the fact per date / time key first. That partial
 aggregate runs on the map side and leaves at most one row per key and task,
 so the joins to the calendar and clock dimensions touch a few thousand rows
-instead of every fact row. Those dimensions are generated from parameters,
+instead of every fact row. A table of counts (column ``n``, see ``incremental_star``) does as
+well as a fact: its counts are added up. Those dimensions are generated from parameters,
 so their broadcast size is known in advance (2,922 days, 24 hours).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.functions.rules import VIOLENT_NIBRS
@@ -23,11 +24,26 @@ def _ordered(result: DataFrame, *cols: str) -> DataFrame:
     return result.repartition(1).sortWithinPartitions(*cols)
 
 
+def weight(fact: DataFrame) -> Column:
+    """What a row counts for: ``n`` in a table of counts, 1 in a fact."""
+    return F.col("n") if "n" in fact.columns else F.lit(1).cast("bigint")
+
+
+def tagged_counts(facts: dict[str, DataFrame]) -> DataFrame:
+    """date_key and one count per named fact, of days that any of them has: one partial aggregate for all."""
+    tagged = None
+    for name, fact in facts.items():
+        rows = fact.select("date_key", *[(weight(fact) if n == name else F.lit(0).cast("bigint")).alias(n) for n in facts])
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+    return tagged.groupBy("date_key").agg(*[F.sum(n).alias(n) for n in facts])
+
+
 def _per_key(fact: DataFrame, keys: list[str]) -> DataFrame:
     """Rows per key, combined on the map side. A NULL key forms its own group
     and is dropped by the inner join with its dimension (Catalyst infers and
     pushes ``IS NOT NULL`` from that join)."""
-    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    n = F.sum("n") if "n" in fact.columns else F.count(F.lit(1))
+    return fact.groupBy(*keys).agg(n.alias("__n"))
 
 
 def _violent(fact_incidents: DataFrame) -> DataFrame:
@@ -87,10 +103,7 @@ def violent_rate_by_month(fact_calls: DataFrame, fact_incidents: DataFrame,
     partial counts instead of one per fact, and the same result as joining
     the two monthly aggregates.
     """
-    tagged = (fact_calls.select("date_key", F.lit(1).alias("__c"), F.lit(0).alias("__v"))
-              .unionByName(_violent(fact_incidents).select("date_key", F.lit(0).alias("__c"),
-                                                           F.lit(1).alias("__v"))))
-    per_date = tagged.groupBy("date_key").agg(F.sum("__c").alias("__c"), F.sum("__v").alias("__v"))
+    per_date = tagged_counts({"__c": fact_calls, "__v": _violent(fact_incidents)})
     monthly = (per_date.join(F.broadcast(dim_date.select("date_key", "year", "month", "month_name")),
                              "date_key")
                .groupBy("year", "month", "month_name")
@@ -134,10 +147,7 @@ def calls_incidents_correlation(fact_calls: DataFrame, fact_incidents: DataFrame
     and R^2, over calendar days with at least one call and one incident. Both
     facts are counted per day in one partial aggregation (tagged rows).
     """
-    tagged = (fact_calls.select("date_key", F.lit(1).alias("calls"), F.lit(0).alias("incidents"))
-              .unionByName(fact_incidents.select("date_key", F.lit(0).alias("calls"),
-                                                 F.lit(1).alias("incidents"))))
-    daily = (tagged.groupBy("date_key").agg(F.sum("calls").alias("calls"), F.sum("incidents").alias("incidents"))
+    daily = (tagged_counts({"calls": fact_calls, "incidents": fact_incidents})
              .join(F.broadcast(dim_date.select("date_key")), "date_key")
              .where((F.col("calls") > 0) & (F.col("incidents") > 0)))
     y, x = F.col("incidents").cast("double"), F.col("calls").cast("double")
