@@ -14,16 +14,19 @@ from blotter.operators.clean import clean_calls, clean_incidents
 from blotter.operators.keys import dense_key
 from blotter.operators.joins import bounded_broadcast, left_lookup
 from blotter.operators.quality import observe_quality, preview, quality_metrics
-from blotter.plans import reports
+from blotter.operators.gate import Rule, write_checked
+from blotter.operators.registry import assign_keys
+from blotter.plans import reports, trends
+from blotter.plans.incremental_star import IncrementalStar
 from blotter.plans.star import Star, read_star, register_views, write_star
 from blotter.session import checkpoint_dir, get_session, prepare
 from blotter.sources.landing import corrupt_rows, land_csv
 from blotter.sources.tables import raw_from_csv, raw_from_tables, raw_inputs
 
 __all__ = [
-    "Star", "bounded_broadcast", "checkpoint_dir", "clean_calls", "clean_incidents",
+    "IncrementalStar", "Rule", "Star", "assign_keys", "bounded_broadcast", "checkpoint_dir", "clean_calls", "clean_incidents",
     "corrupt_rows", "dense_key",
     "get_session", "land_csv", "left_lookup", "observe_quality", "prepare", "preview",
     "quality_metrics", "raw_from_csv", "raw_from_tables", "raw_inputs", "read_star", "register_views", "reports",
-    "write_star",
+    "trends", "write_checked", "write_star",
 ]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.operators import clean, dims, facts, quality
+from blotter.sources.files import exists
 from blotter.sources.sinks import write_table
 from blotter.sources.tables import RawInputs
 
@@ -158,19 +159,13 @@ def write_star(star: Star, out_dir: str, layers: list[str] | None = None,
 BROADCAST_DIM_ROWS = {"dim_date": 200_000, "dim_time": 24 * 60}
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asks the path's own file system, so any URI that Spark reads will do."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_star(spark: SparkSession, raw: RawInputs | None, out_dir: str, layers: list[str] | None = None) -> Star:
     """A written star. Each of ``layers`` (default: all) must be there; to build
     missing ones from raw feeds, name only those that exist."""
     star = Star(spark, raw)
     for name in layers or LAYERS:
         path = f"{out_dir.rstrip('/')}/{name}"
-        if not path_exists(spark, path):
+        if not exists(spark, path):
             raise FileNotFoundError(f"no layer {name} at {path}")
         star.stored(name, spark.read.parquet(path))
     for name, bound in BROADCAST_DIM_ROWS.items():

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter.session import prepare
 from blotter.sources import fixtures
@@ -23,9 +25,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 class RawInputs:
-    """The four raw feeds, each built when first asked for: a report on calls plans no incidents."""
+    """The four raw feeds, each built when first asked for: a report on calls plans no incidents.
 
-    def __init__(self, calls: Feed, incidents: Feed, ref_tencode: Feed, ref_suffix: Feed) -> None:
+    ``corrupt`` has, for feeds from CSV, (feed, ingest_run_ts_utc, rows, corrupt): how many rows of each drop did
+    not fit their columns and so are in the feeds with NULLs; None for other sources.
+    """
+
+    def __init__(self, calls: Feed, incidents: Feed, ref_tencode: Feed, ref_suffix: Feed,
+                 corrupt: DataFrame | None = None) -> None:
+        self.corrupt = corrupt
         self._feeds = {"calls": calls, "incidents": incidents, "ref_tencode": ref_tencode, "ref_suffix": ref_suffix}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -64,20 +72,24 @@ def raw_from_csv(spark: SparkSession, calls_csv: str, incidents_csv: str, ref_te
     raw layer, earlier drops included, is read back from it.
     """
     from blotter import schemas
-    from blotter.sources.landing import land_csv, run_timestamp
+    from blotter.sources.landing import corrupt_rows, land_csv, run_timestamp
 
     prepare(spark)
     run_ts = run_ts or run_timestamp()
 
+    counts = []
+
     def landed(path: str, schema, name: str, stamp: bool) -> DataFrame:
         out = f"{raw_dir}/{name}" if raw_dir else None
         df = land_csv(spark, path, schema, run_ts=run_ts, out_path=out)
+        counts.append(corrupt_rows(df).select(F.lit(name).alias("feed"), "*"))
         df = df.drop("_corrupt_record")
         return df if stamp else df.drop("ingest_run_ts_utc")
 
-    return RawInputs(
-        calls=landed(calls_csv, schemas.CALLS_RAW, "calls", True),
-        incidents=landed(incidents_csv, schemas.INCIDENTS_RAW, "incidents", False),
-        ref_tencode=landed(ref_tencode_csv, schemas.REF_TENCODE, "ref_tencode", False),
-        ref_suffix=landed(ref_suffix_csv, schemas.REF_SUFFIX, "ref_suffix", False),
-    )
+    feeds = {
+        "calls": landed(calls_csv, schemas.CALLS_RAW, "calls", True),
+        "incidents": landed(incidents_csv, schemas.INCIDENTS_RAW, "incidents", False),
+        "ref_tencode": landed(ref_tencode_csv, schemas.REF_TENCODE, "ref_tencode", False),
+        "ref_suffix": landed(ref_suffix_csv, schemas.REF_SUFFIX, "ref_suffix", False),
+    }
+    return RawInputs(**feeds, corrupt=reduce(DataFrame.unionByName, counts))

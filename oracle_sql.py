@@ -128,6 +128,7 @@ dim_offense AS (
          offense_number, offense_nibrs, offense_description, weapon_primary, offense_category,
          offense_category = 'Violent' AS is_violent
   FROM (
+    -- Fixed values: the patterns of each category, in order.
     SELECT offense_number, offense_nibrs, offense_description,
            coalesce(string_agg(DISTINCT weapon_primary, ', ' ORDER BY weapon_primary), '') AS weapon_primary,
            CASE WHEN regexp_matches(upper(offense_description), 'HOMICIDE|MURDER|MANSLAUGHTER|KIDNAP|KIDNAPPING') THEN 'Violent'
@@ -237,10 +238,19 @@ FROM per_month WHERE n_calls > 0 ORDER BY first_day""",
   FROM f)
 SELECT 'fact_calls_enriched' AS "table", metric, value FROM wide
 UNPIVOT (value FOR metric IN ("rows", rows_in, null_location_key, null_call_type_key, null_call_disposition_key, null_date_key))""",
+    # the query lists one code of each reference a second time
     "duplicate_ref_codes": """
-SELECT 'tencode' AS kind, '70' AS code, 2 AS copies, count(*) FILTER (TRY_CAST(tencode AS INTEGER) = 70) AS calls FROM clean_calls
-UNION ALL
-SELECT 'tencode_suffix', 'P', 2, count(*) FILTER (tencode IS NOT NULL AND trim(upper(tencode_suffix)) = 'P') FROM clean_calls""",
+, listed AS (
+  SELECT 'tencode' AS kind, CAST(TRY_CAST(tencode AS INTEGER) AS VARCHAR) AS code
+  FROM (SELECT tencode FROM ref_tencode UNION ALL SELECT '070')
+  UNION ALL
+  SELECT 'tencode_suffix', trim(upper(tencode_suffix)) FROM (SELECT tencode_suffix FROM ref_suffix UNION ALL SELECT ' p')),
+used AS (
+  SELECT 'tencode' AS kind, CAST(TRY_CAST(tencode AS INTEGER) AS VARCHAR) AS code FROM clean_calls WHERE tencode IS NOT NULL
+  UNION ALL
+  SELECT 'tencode_suffix', trim(upper(tencode_suffix)) FROM clean_calls WHERE tencode IS NOT NULL)
+SELECT kind, code, count(*) AS copies, (SELECT count(*) FROM used u WHERE u.kind = l.kind AND u.code = l.code) AS calls
+FROM listed l WHERE code IS NOT NULL GROUP BY kind, code HAVING count(*) > 1""",
     "quality_metrics": """
 SELECT 'calls' AS "table", metric, value FROM (
   SELECT COUNT(*) AS "rows",
@@ -286,9 +296,132 @@ SELECT COUNT(*) AS days,
        ROUND(regr_intercept(CAST(incidents AS DOUBLE), CAST(calls AS DOUBLE)), 8) AS intercept,
        ROUND(regr_r2(CAST(incidents AS DOUBLE), CAST(calls AS DOUBLE)), 8) AS r2
 FROM daily""",
+    "quality_rule_rows": """
+, tested AS (
+  SELECT 'calls' AS "table", [
+    call_received IS NULL,
+    coalesce(year(call_received) NOT BETWEEN 2018 AND 2025, false),
+    coalesce(trim(event_number), '') = '',
+    tencode IS NOT NULL AND TRY_CAST(tencode AS INTEGER) IS NULL,
+    (latitude IS NULL) <> (longitude IS NULL)] AS broken,
+    ['unparsed_time', 'outside_calendar', 'no_event_number', 'tencode_not_a_number', 'half_a_coordinate'] AS names
+  FROM clean_calls
+  UNION ALL
+  SELECT 'incidents', [
+    incident_occurred IS NULL,
+    coalesce(year(incident_occurred) NOT BETWEEN 2018 AND 2025, false),
+    coalesce(trim(incident_number), '') = '',
+    coalesce(incident_reported < incident_occurred, false),
+    offense_number IS NULL,
+    (latitude IS NULL) <> (longitude IS NULL)],
+    ['unparsed_time', 'outside_calendar', 'no_incident_number', 'reported_before_it_occurred', 'no_offense_number', 'half_a_coordinate']
+  FROM clean_incidents),
+each AS (
+  SELECT "table", unnest(names) AS rule, unnest(broken) AS b, unnest(generate_series(1, len(broken))) AS k, list_position(broken, true) AS first
+  FROM tested)
+SELECT "table", rule, count(*) FILTER (b) AS "rows", count(*) FILTER (b AND k = first) AS first_of_row FROM each GROUP BY 1, 2""",
+    "stable_location_keys": """
+, seen AS (
+  SELECT 1 AS run, latitude, longitude, mapped_location AS block_address, CAST(zone AS VARCHAR) AS zone, CAST(rpa AS VARCHAR) AS rpa
+  FROM clean_incidents
+  UNION ALL
+  SELECT 2, latitude, longitude, street_name, CAST(zone_ AS VARCHAR), CAST(rpa AS VARCHAR) FROM clean_calls),
+members AS (
+  SELECT min(run) AS run, latitude, longitude, block_address, zone, rpa FROM seen
+  WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY ALL)
+SELECT row_number() OVER (ORDER BY run, latitude, longitude, block_address NULLS FIRST, zone NULLS FIRST, rpa NULLS FIRST) AS location_key,
+       * EXCLUDE (run)
+FROM members""",
+    "incremental_fact_calls": """
+, dropped AS (
+  SELECT *, CASE WHEN event_number LIKE '%7' THEN 'd3' WHEN zone_ < '4' THEN 'd1' ELSE 'd2' END AS "drop" FROM clean_calls)
+SELECT row_number() OVER (ORDER BY "drop", complaint_number NULLS FIRST, event_number NULLS FIRST) AS call_key, complaint_number,
+       CAST(strftime(call_received, '%Y%m%d') AS INTEGER) AS date_key, CAST(strftime(call_received, '%H00') AS INTEGER) AS time_key,
+       latitude, longitude, rpa, zone_ AS zone, call_received, ingest_run_ts_utc, "drop"
+FROM dropped""",
+    # the t tail of whole degrees of freedom has a finite series in the angle whose tangent is t / sqrt(df)
+    "calls_incidents_significance": f"""
+, counted AS (
+  SELECT date_key, sum(is_call) AS x, sum(1 - is_call) AS y FROM (
+    SELECT date_key, 1 AS is_call FROM fact_calls UNION ALL SELECT date_key, 0 FROM fact_incidents)
+  WHERE date_key {CALENDAR} GROUP BY date_key HAVING x > 0 AND y > 0),
+sums AS (
+  SELECT count(*) AS n, CAST(sum(x) AS DOUBLE) AS sx, CAST(sum(y) AS DOUBLE) AS sy, CAST(sum(x * x) AS DOUBLE) AS sxx,
+         CAST(sum(x * y) AS DOUBLE) AS sxy, CAST(sum(y * y) AS DOUBLE) AS syy FROM counted),
+centred AS (
+  SELECT n, n - 2 AS df, sx / n AS mx, sy / n AS my, sxx - sx * sx / n AS cxx, sxy - sx * sy / n AS cxy, syy - sy * sy / n AS cyy FROM sums),
+fit AS (
+  SELECT *, cxy / cxx AS slope, sqrt((cyy - cxy * cxy / cxx) / df / cxx) AS se FROM centred),
+angle AS (
+  SELECT *, abs(slope / se) AS t, atan(abs(slope / se) / sqrt(df)) AS theta FROM fit),
+series AS (
+  SELECT sum(term) AS total FROM (
+    SELECT exp(sum(ln(CASE WHEN k < 2 THEN 1 ELSE (k - 1) / CAST(k AS DOUBLE) END)) OVER (ORDER BY k)) * power(cos(theta), k) AS term
+    FROM angle, (SELECT unnest(generate_series(CAST(df % 2 AS BIGINT), CAST(df - 2 AS BIGINT), 2)) AS k FROM fit)))
+SELECT n AS days, round(cxy / sqrt(cxx * cyy), 8) AS corr, round(slope, 8) AS slope, round(my - slope * mx, 8) AS intercept,
+       round(se, 8) AS slope_se, round(slope / se, 8) AS t_stat, df AS deg_freedom,
+       round(1 - CASE WHEN df % 2 = 0 THEN sin(theta) * total ELSE 2 / pi() * (theta + sin(theta) * total) END, 8) AS p_value,
+       1 - CASE WHEN df % 2 = 0 THEN sin(theta) * total ELSE 2 / pi() * (theta + sin(theta) * total) END < 0.05 AS significant
+FROM angle, series""",
+    "calls_incidents_lags": f"""
+, counted AS (
+  SELECT date_key, sum(is_call) AS x, sum(1 - is_call) AS y FROM (
+    SELECT date_key, 1 AS is_call FROM fact_calls UNION ALL SELECT date_key, 0 FROM fact_incidents)
+  WHERE date_key {CALENDAR} GROUP BY date_key),
+span AS (
+  SELECT greatest(min(date_key) FILTER (x > 0), min(date_key) FILTER (y > 0)) AS first_day,
+         least(max(date_key) FILTER (x > 0), max(date_key) FILTER (y > 0)) AS last_day FROM counted),
+days AS (
+  SELECT date, coalesce(x, 0) AS x, coalesce(y, 0) AS y FROM dim_date LEFT JOIN counted USING (date_key), span
+  WHERE date_key BETWEEN first_day AND last_day),
+pairs AS (
+  SELECT k AS lag, CAST(b.x AS DOUBLE) AS x, CAST(d.y AS DOUBLE) AS y
+  FROM days d, range(15) r(k), days b WHERE b.date = d.date - CAST(k AS INTEGER)),
+fit AS (
+  SELECT CAST(lag AS INTEGER) AS lag, count(*) AS days, corr(x, y) AS r, regr_slope(y, x) AS slope FROM pairs GROUP BY lag),
+tested AS (
+  SELECT *, r * sqrt((days - 2) / (1 - r * r)) AS t, days - 2 AS df, atan(abs(r) / sqrt(1 - r * r)) AS theta FROM fit),
+series AS (
+  SELECT lag, sum(term) AS total FROM (
+    SELECT lag, exp(sum(ln(CASE WHEN k < 2 THEN 1 ELSE (k - 1) / CAST(k AS DOUBLE) END)) OVER (PARTITION BY lag ORDER BY k))
+                * power(cos(theta), k) AS term
+    FROM (SELECT lag, theta, unnest(generate_series(CAST(df % 2 AS BIGINT), CAST(df - 2 AS BIGINT), 2)) AS k FROM tested)) GROUP BY lag)
+SELECT lag, days, round(r, 8) AS corr, round(slope, 8) AS slope, round(t, 8) AS t_stat,
+       round(1 - CASE WHEN df % 2 = 0 THEN sin(theta) * total ELSE 2 / pi() * (theta + sin(theta) * total) END, 8) AS p_value
+FROM tested JOIN series USING (lag) ORDER BY lag""",
+    "incidents_moving_average": f"""
+, counted AS (
+  SELECT date_key, count(*) AS n FROM fact_incidents WHERE date_key {CALENDAR} GROUP BY date_key),
+days AS (
+  SELECT date_key, date, coalesce(n, 0) AS incidents FROM dim_date LEFT JOIN counted USING (date_key)
+  WHERE date_key BETWEEN (SELECT min(date_key) FROM counted) AND (SELECT max(date_key) FROM counted))
+SELECT d.date_key, d.incidents,
+       CASE WHEN count(*) FILTER (b.date > d.date - 7) = 7 THEN round(sum(b.incidents) FILTER (b.date > d.date - 7) / 7, 6) END AS average_7,
+       CASE WHEN count(*) = 28 THEN round(sum(b.incidents) / 28, 6) END AS average_28,
+       CAST(d.incidents - max(b.incidents) FILTER (b.date = d.date - 7) AS BIGINT) AS change_7
+FROM days d JOIN days b ON b.date BETWEEN d.date - 27 AND d.date GROUP BY d.date_key, d.date, d.incidents ORDER BY d.date_key""",
+    "seasonal_index": f"""
+, span AS (
+  SELECT date_trunc('month', min(incident_occurred)) AS first_month, date_trunc('month', max(incident_occurred)) AS last_month
+  FROM fact_incidents WHERE date_key {CALENDAR}),
+months AS (
+  SELECT m, (SELECT count(*) FROM fact_incidents WHERE date_key {CALENDAR} AND date_trunc('month', incident_occurred) = m) AS n
+  FROM (SELECT unnest(generate_series(CAST(first_month AS TIMESTAMP), CAST(last_month AS TIMESTAMP), INTERVAL 1 MONTH)) AS m FROM span)),
+averaged AS (
+  SELECT a.m, a.n, CASE WHEN count(*) = 13 THEN sum(CASE WHEN abs(date_diff('month', a.m, b.m)) = 6 THEN 0.5 ELSE 1 END * b.n) / 12 END AS around
+  FROM months a JOIN months b ON abs(date_diff('month', a.m, b.m)) <= 6 GROUP BY a.m, a.n),
+raw AS (
+  SELECT month(m) AS mm, avg(n / CAST(nullif(around, 0) AS DOUBLE)) AS r FROM averaged GROUP BY 1)
+SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month, n AS incidents, round(CAST(around AS DOUBLE), 6) AS centred_average,
+       round(n / CAST(nullif(around, 0) AS DOUBLE), 6) AS ratio, round(r / (SELECT avg(r) FROM raw), 6) AS seasonal_index
+FROM averaged JOIN raw ON mm = month(m) ORDER BY 1, 2""",
 }
 
 
+# Counts merged drop by drop give what the report on the whole fact gives.
+QUERIES["rollup_violent_rate_by_month"] = QUERIES["violent_rate_by_month"]
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, body in QUERIES.items():
