@@ -2,6 +2,7 @@
 
 import datetime
 import re
+import time
 from collections import Counter
 
 from blotter.llm import host_rules, line_templates, url_filter
@@ -54,18 +55,49 @@ def test_line_templates_sql(spark):
     same_result(df, con(), line_templates.SQL)
 
 
+def kept_lines(spark, texts, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: r for r in line_templates.dedup_lines(docs, **options).collect()}
+
+
 def test_line_templates_by_hand(spark):
-    rows = [(i, f"own line number {'abcdefgh'[i] * 3} stays\nUser {i}{i} logged in from 10.0.0.{i} at noon\nclosed by operator {'xyzuvwst'[i]} today as usual again")
-            for i in range(8)]
-    rows += [(20, "User 7 logged in from 10.1.1.1 at noon"), (21, ""), (22, None), (23, "\n\n")]
-    got = {r["doc_id"]: r for r in line_templates.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = [f"own line number {'abcdefgh'[i] * 3} stays\nUser {i}{i} logged in from 10.0.0.{i} at noon\n"
+             f"closed by operator {'xyzuvwst'[i]} today as usual again" for i in range(8)]
+    texts += ["User 7 logged in from 10.1.1.1 at noon", "", None, "\n\n"]
+    got = kept_lines(spark, texts)
     for i in range(8):
-        # the first lines agree in 4 of 5 tokens, so they are one template as well
-        assert got[i]["text"] == "" and got[i]["n_dropped"] == 3
-    assert got[20]["text"] == "" and got[21]["text"] == "" and got[22]["text"] is None and got[23]["text"] == "\n\n"
-    assert got[22]["n_lines"] == 0 and got[23]["n_lines"] == 3
-    few = line_templates.dedup_lines(spark.createDataFrame(rows[:2], "doc_id long, text string")).collect()
-    assert all(r["n_dropped"] == 0 for r in few)
+        # one literal behind the leading three tokens does not make a template, three do
+        assert got[i]["text"] == texts[i].split("\n")[0] and got[i]["n_dropped"] == 2
+    assert got[8]["text"] == "" and got[9]["text"] == "" and got[10]["text"] is None and got[11]["text"] == "\n\n"
+    assert got[10]["n_lines"] == 0 and got[11]["n_lines"] == 3
+    assert all(r["n_dropped"] == 0 for r in kept_lines(spark, texts[:2]).values())
+
+
+def test_line_templates_are_not_loose(spark):
+    """Equal beginnings, and lines of numbers, are no templates; several templates of a leaf are found."""
+    texts = ["I do not know\n2019 12 5 77", "I do not agree\n1 2 3 4", "I do not care\n8 9 10 11", "I do not know why he went home\nPage 1",
+             "I do not see how that could help\nPage 2", "I do not think so at all today\nPage 3"]
+    got = kept_lines(spark, texts)
+    assert all(got[k]["text"] == t for k, t in enumerate(texts))
+    leaf = [f"the old house {a} was built by {b} masons" for a, b in
+            [("here", "local"), ("there", "local"), ("nearby", "local"), ("here", "foreign"), ("there", "foreign"), ("nearby", "unknown")]]
+    got = kept_lines(spark, leaf)
+    # five literals behind the beginning in common: with "local" masons three documents, with "foreign" ones two
+    assert [got[k]["n_dropped"] for k in range(6)] == [1, 1, 1, 0, 0, 0]
+    same = kept_lines(spark, ["Page 1", "Page 1", "Page 1", "Page 2", "7", "7", "7"])
+    assert [same[k]["n_dropped"] for k in range(7)] == [1, 1, 1, 0, 1, 1, 1]
+
+
+def test_line_templates_are_linear(spark):
+    """A token of a million characters, and fifty thousand recurring lines in a document."""
+    many = "\n".join(f"line with the words a{k}b and some more of them" for k in range(50_000))
+    long = "x" * 1_000_000
+    texts = [long + " 1 2", long + "7 y", many, many + "\nan end of its own", "other\n" + many, "\n".join(f"only {'w' * (k % 97)}{k}" for k in range(20_000))]
+    began = time.time()
+    got = kept_lines(spark, texts)
+    assert time.time() - began < 60
+    assert [got[k]["n_dropped"] for k in range(5)] == [0, 0, 50_000, 50_000, 50_000]
+    assert got[2]["text"] == "" and got[3]["text"] == "an end of its own" and got[4]["text"] == "other"
 
 
 def test_line_templates_edges(spark):
