@@ -46,6 +46,17 @@ def parts_for(spark: SparkSession, rows: int, rows_per_part: int) -> int:
     return max(shuffle_partitions(spark), math.ceil(rows / rows_per_part))
 
 
+def even_shares(counts: dict, rows: int) -> dict:
+    """Share of each class's rows to sample so that about ``rows`` are drawn: all classes have the same quota, what
+    a small one leaves of it goes to the others, and a class within its quota keeps all its rows."""
+    left, shares = rows, {}
+    for k, (name, c) in enumerate(sorted(counts.items(), key=lambda x: x[1])):
+        taken = min(c, left / (len(counts) - k))
+        shares[name] = taken / c
+        left -= taken
+    return shares
+
+
 def slices(sizes: np.ndarray, budget: int):
     """Consecutive (start, end) row ranges of about ``budget`` bytes at most;
     a row above the budget gets a range of its own."""

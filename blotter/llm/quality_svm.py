@@ -6,12 +6,15 @@ character if it is no letter or digit, same word as before). With p and q the sm
 shares of a feature among good and bad texts, a text's vector holds log(p / q) at
 its features, over the root of their number. A hinge-loss linear model is fitted
 by dual coordinate descent with equal weight for both classes, and its margins are mapped to
-0..1 by a logistic curve fitted to a fifth of the sample that the model has not seen.
+0..1 by a logistic curve fitted to a fifth of each class that the model has not seen (to
+what it has seen, if a class has under ``MIN_LATE`` rows), shifted to the classes' shares among all labelled rows.
 
 The fit uses a sample of about ``SAMPLE_ROWS`` labelled rows (never more than twice as
-many) in one task; the model has a fixed size. Scoring is one narrow pass over
+many) in one task; both classes have the same quota, and a class within it keeps all its rows
+however many the other has. The model has a fixed size. Scoring is one narrow pass over
 whole texts. NULL counts as empty; empty texts get a score from the constant term like any
-other. NULL labels are not learned; an id's repeated labels are averaged. If the sample
+other. NULL labels are not learned; an id's repeated labels are averaged, and of its different
+texts one is learned. If the sample
 lacks a class, every score is the share of label 1 (0.5 without labels). An empty table
 gives an empty result.
 """
@@ -22,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blotter.llm.common import mix64, pick, slices, table
+from blotter.llm.common import even_shares, mix64, pick, slices, table
 from blotter.llm.language_id import held_out
 from blotter.llm.shingles import CHUNK_BYTES, WordHasher
 
@@ -31,6 +34,7 @@ DIMS = 1 << 18
 SMOOTH = 1.0
 COST = 1.0
 EPOCHS = 20
+MIN_LATE = 10
 THRESHOLD = 0.3
 
 
@@ -92,8 +96,9 @@ def _features(batches):
         raws = b.column("raw").to_pylist()
         for a, z in slices(np.array([len(r) for r in raws], np.int64), CHUNK_BYTES):
             yield pa.RecordBatch.from_arrays(
-                [b.column("label").slice(a, z - a), b.column("pick").slice(a, z - a),
-                 pa.array([np.sort(p).astype(np.int32).tobytes() for p in grams(raws[a:z])], pa.binary())], names=["label", "pick", "places"])
+                [*(b.column(c).slice(a, z - a) for c in ("label", "pick", "share")),
+                 pa.array([np.sort(p).astype(np.int32).tobytes() for p in grams(raws[a:z])], pa.binary())],
+                names=["label", "pick", "share", "places"])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -111,9 +116,32 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(s), float(o)
 
 
+def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, dims: int,
+                            epochs: int = EPOCHS) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights, constant term and dual variables of the hinge-loss linear model
+    min |w|^2 / 2 + b^2 / 2 + sum of cost_i * max(0, 1 - y_i (w.x_i + b)), for sparse x_i (places and values)."""
+    w, bias, alpha = np.zeros(dims), 0.0, np.zeros(len(y))
+    square = [float(v @ v) + 1.0 for v in values]
+    rng = np.random.default_rng(7)
+    for _ in range(epochs):
+        moved = 0.0
+        for i in rng.permutation(len(y)).tolist():
+            g = y[i] * (float(w[rows[i]] @ values[i]) + bias) - 1
+            new = min(max(alpha[i] - g / square[i], 0.0), cost[i])
+            if step := (new - alpha[i]) * y[i]:
+                w[rows[i]] += step * values[i]
+                bias += step
+                alpha[i] = new
+                moved = max(moved, abs(step))
+        if moved < 1e-4:
+            break
+    return w, bias, alpha
+
+
 def _fit(t: pa.Table) -> pa.Table:
     order = np.lexsort((t.column("pick").to_numpy(),))
     y = np.where(t.column("label").to_numpy()[order] >= 0.5, 1, -1)
+    stands_for = 1 / t.column("share").to_numpy()[order]  # labelled rows per sampled row
     blobs = t.column("places").to_pylist()
     rows = [np.frombuffer(blobs[i], np.int32) for i in order.tolist()]
 
@@ -121,44 +149,31 @@ def _fit(t: pa.Table) -> pa.Table:
         return pa.table({"weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary()),
                          "slope": pa.array([slope]), "offset": pa.array([offset])})
 
-    share = float((y > 0).mean())
-    seen, late = [i for i in range(len(y)) if i % 5], [i for i in range(len(y)) if i % 5 == 0]
-    good, bad = [i for i in seen if y[i] > 0], [i for i in seen if y[i] < 0]
-    if not good or not bad:
-        share = min(max(share, 1e-6), 1 - 1e-6)
+    classes = [np.flatnonzero(y == c) for c in (1, -1)]
+    if not all(map(len, classes)):
+        share = min(max(float((y > 0).mean()), 1e-6), 1 - 1e-6)
         return answer(np.zeros(DIMS + 1), 1.0, float(np.log(share / (1 - share))))
+    few = min(map(len, classes)) < MIN_LATE
+    late = np.concatenate([c[:0] if few else c[::5] for c in classes])
+    seen = np.setdiff1d(np.arange(len(y)), late)
     p, q = np.full(DIMS, SMOOTH), np.full(DIMS, SMOOTH)
-    for i in seen:
+    for i in seen.tolist():
         (p if y[i] > 0 else q)[rows[i]] += 1
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    norm = [1 / np.sqrt(max(1, len(r))) for r in rows]
-    w, bias = np.zeros(DIMS), 0.0
-    cost = {1: COST * len(seen) / (2 * len(good)), -1: COST * len(seen) / (2 * len(bad))}
-    alpha = np.zeros(len(y))
-    values = {i: ratio[rows[i]] * norm[i] for i in seen}
-    square = {i: float(values[i] @ values[i]) + 1.0 for i in seen}
-    rng = np.random.default_rng(7)
-    for _ in range(EPOCHS):
-        moved = 0.0
-        for i in rng.permutation(seen).tolist():
-            g = y[i] * (float(w[rows[i]] @ values[i]) + bias) - 1
-            new = min(max(alpha[i] - g / square[i], 0.0), cost[y[i]])
-            if step := (new - alpha[i]) * y[i]:
-                w[rows[i]] += step * values[i]
-                bias += step
-                alpha[i] = new
-                moved = max(moved, abs(step))
-        if moved < 1e-4:
-            break
-    held = late if {1, -1} <= set(y[late].tolist()) else seen
-    margins = np.array([float((w[rows[i]] * ratio[rows[i]]).sum()) * norm[i] + bias for i in held])
+    values = [ratio[r] / np.sqrt(max(1, len(r))) for r in rows]
+    n = {c: int((y[seen] == c).sum()) for c in (1, -1)}
+    cost = np.array([COST * len(seen) / (2 * n[c]) for c in y[seen].tolist()])
+    w, bias, _ = dual_coordinate_descent([rows[i] for i in seen], [values[i] for i in seen], y[seen], cost, DIMS)
+    held = seen if few else late
+    margins = np.array([float(w[rows[i]] @ values[i]) + bias for i in held.tolist()])
     slope, offset = _logistic(margins, (y[held] > 0).astype(float))
-    return answer(np.append(w * ratio, bias), max(slope, 1e-3), offset)
+    odds = np.log(stands_for[y > 0].sum() / stands_for[y < 0].sum()) - np.log((y > 0).sum() / (y < 0).sum())
+    return answer(np.append(w * ratio, bias), max(slope, 1e-3), offset + float(odds))
 
 
 def train(labelled: DataFrame) -> tuple[np.ndarray, float, float]:
-    """Model from columns raw (binary text), label (0..1) and pick (order of the sample)."""
-    rows = (labelled.limit(2 * SAMPLE_ROWS).mapInArrow(_features, "label double, pick long, places binary")
+    """Model from columns raw (binary text), label (0..1), pick (order of the sample) and share (of its class that is in the sample)."""
+    rows = (labelled.mapInArrow(_features, "label double, pick long, share double, places binary")
             .groupBy(F.lit(1).alias("one")).applyInArrow(_fit, "weights binary, slope double, offset double").collect())
     if not rows:
         return np.zeros(DIMS + 1, np.float32), 1.0, 0.0
@@ -189,16 +204,18 @@ def score_quality(texts: DataFrame, model, text_col: str = "text") -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Sample of (raw, label, pick) from documents (doc_id, text) and labels (doc_id, label)."""
+    """Sample of (raw, label, pick, share) from documents (doc_id, text) and labels (doc_id, label): a row per sampled id."""
     labels = labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("label").alias("label"))
-    pick_order = F.xxhash64(F.lit("sample"), "doc_id")
-    n = labels.count()
-    if n > SAMPLE_ROWS:
-        labels = labels.filter(F.pmod(pick_order, F.lit(1 << 30)) / float(1 << 30) < SAMPLE_ROWS / n)
-    sample = labels.withColumn("pick", pick_order).orderBy("pick").limit(2 * SAMPLE_ROWS)
-    # at most 2 * SAMPLE_ROWS narrow rows: the texts need no shuffle
-    return docs.join(F.broadcast(sample), "doc_id").select(F.coalesce("text", F.lit("")).cast("binary").alias("raw"),
-                                                           F.col("label").cast("double").alias("label"), "pick")
+    pick_order, good = F.xxhash64(F.lit("sample"), "doc_id"), F.col("label") >= 0.5
+    shares = even_shares({r["good"]: r["count"] for r in labels.groupBy(good.alias("good")).count().collect()}, SAMPLE_ROWS)
+    share = F.when(good, F.lit(float(shares.get(True, 1.0)))).otherwise(F.lit(float(shares.get(False, 1.0))))
+    sample = (labels.withColumns({"pick": pick_order, "share": share})
+              .filter(F.pmod("pick", F.lit(1 << 30)) / float(1 << 30) < F.col("share")).orderBy("pick").limit(2 * SAMPLE_ROWS))
+    # at most 2 * SAMPLE_ROWS narrow rows: the texts need no shuffle; of an id's texts each task sends one
+    found = docs.join(F.broadcast(sample), "doc_id").withColumn("raw", F.coalesce("text", F.lit("")).cast("binary"))
+    return (found.groupBy("doc_id").agg(F.min_by("raw", F.struct(F.xxhash64("raw"), "raw")).alias("raw"), F.first("label").alias("label"),
+                                        F.first("pick").alias("pick"), F.first("share").alias("share"))
+            .select("raw", F.col("label").cast("double").alias("label"), "pick", "share"))
 
 
 def op2_quality_svm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import duckdb
+import numpy as np
 
 from blotter.llm import language_id, quality_svm
 from tests.conftest import SF_ORACLE
@@ -70,3 +71,46 @@ def test_quality_edges(spark):
     none = quality_svm.train(quality_svm.training_rows(docs, labels.filter("label > 5")))
     assert {r["score"] for r in quality_svm.score_quality(docs, none).collect()} == {0.5}
     assert quality_svm.score_quality(empty_docs(spark).select("doc_id", "text"), model).count() == 0
+
+
+def test_rare_class_is_learned_at_every_size(spark, monkeypatch):
+    monkeypatch.setattr(quality_svm, "SAMPLE_ROWS", 400)
+    docs = spark.range(60_000).selectExpr(
+        "id AS doc_id", "CASE WHEN id IN (7, 30001, 59999) THEN concat('a careful and well made text number ', id, ' with sense') "
+        "ELSE concat('xq zz ', id, ' !!! ', id * 7, ' ???') END AS text")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id IN (7, 30001, 59999) AS INT) AS label")
+    sample = quality_svm.training_rows(docs, labels).collect()
+    assert sum(r["label"] for r in sample) == 3 and 250 < len(sample) < 600
+    model = quality_svm.train(quality_svm.training_rows(docs, labels))
+    asked = docs.filter("doc_id IN (7, 30001, 59999) OR doc_id % 1000 = 1")
+    got = {r["doc_id"]: r["score"] for r in quality_svm.score_quality(asked, model).collect()}
+    good = [got.pop(i) for i in (7, 30001, 59999)]
+    assert min(good) > 100 * max(got.values())
+
+
+def test_repeated_ids_give_one_row(spark):
+    docs = spark.createDataFrame([(1, "one text"), (1, "another text"), (1, None), (2, "two"), (None, "none")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1)], "doc_id long, label int")
+    rows = [quality_svm.training_rows(d, labels).orderBy("pick").collect() for d in (docs.repartition(1), docs.repartition(4))]
+    assert rows[0] == rows[1] and len(rows[0]) == 2 and sorted(r["label"] for r in rows[0]) == [0.0, 0.5]
+
+
+def test_solver_against_projected_gradient():
+    """Small dense problems: the dual objective equals that of plain projected gradient steps."""
+    rng = np.random.default_rng(11)
+    for n, dims in ((12, 3), (40, 6), (60, 2)):
+        x = rng.normal(size=(n, dims))
+        y = np.where(x[:, 0] + 0.7 * rng.normal(size=n) > 0, 1, -1)
+        cost = rng.uniform(0.2, 2, n)
+        w, bias, alpha = quality_svm.dual_coordinate_descent([np.arange(dims)] * n, list(x), y, cost, dims, epochs=2000)
+        z = np.hstack([x, np.ones((n, 1))]) * y[:, None]
+        q = z @ z.T
+        a, steepest = np.zeros(n), np.linalg.eigvalsh(q)[-1]
+        for _ in range(40_000):
+            a = np.clip(a + (1 - q @ a) / steepest, 0, cost)
+        dual = lambda v: v.sum() - v @ q @ v / 2
+        assert abs(dual(alpha) - dual(a)) < 1e-4 * abs(dual(a)) and (alpha >= 0).all() and (alpha <= cost).all()
+        assert np.allclose(np.append(w, bias), z.T @ alpha)
+        # no gap between primal and dual
+        primal = (w @ w + bias * bias) / 2 + (cost * np.maximum(0, 1 - y * (x @ w + bias))).sum()
+        assert abs(primal - dual(alpha)) < 1e-2 * abs(primal)
