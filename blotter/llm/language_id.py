@@ -3,14 +3,20 @@
 Training counts words and character n-grams (``MAX_GRAM`` down to 1) of lower-cased
 labelled texts per language, over a sample of expected size ``SAMPLE_ROWS`` at most
 of the labelled rows: all languages have the same quota, rows that a rare one leaves of it go to
-the others, and a language within its quota keeps all its rows, however large the rest is. It keeps the ``KEEP_WORDS`` and ``KEEP_GRAMS`` most frequent
-per language: a model of bounded size, so it may be broadcast. A word that the
-model knows scores its log frequency in each language. Any other word is cut
-into n-grams of the longest order; an n-gram that the model lacks is replaced
+the others, and a language within its quota keeps all its rows, however large the rest is. (With more
+labels than ``SAMPLE_ROWS``, about so many are drawn by a hash, with a row or so each.) All words and n-grams of
+the sample are learned. A word that the model knows scores its log frequency in each language. Any
+other word is cut into n-grams of the longest order; an n-gram that the model lacks is replaced
 by its two shorter ones, down to single characters, each step at a fixed
 discount. A text's language is the one with the largest sum; the score is the
 softmax of the sums per word, so it is a share between 0 and 1.
 
+The model is sparse: for each word or n-gram (by its 64-bit hash) the languages that have it, and how
+much more likely it is there than in a language that lacks it. What all languages share
+(the floor, the discounts) changes neither the sums' order nor their softmax and is left out.
+Its size is that of the sample's distinct n-grams, 12 bytes and about 6 for each of their languages, whatever the number
+of languages; sums are taken for ``SUMS`` (text, language) pairs at a time.
+
 Texts that are NULL or have no letter get ``und`` and score 0; ties go to the
 language first in code point order. NULL labels are never learned; with no
 labelled row at all every text is ``und``. Whole texts are scored; an empty
@@ -25,18 +31,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from blotter.llm.common import pick, settle, table
+from blotter.llm.common import even_shares, pick, settle, slices, table
 
 SAMPLE_ROWS = 10_000
-KEEP_WORDS = 50_000
-KEEP_GRAMS = 20_000
-KEEP_LANGS = 200   # most frequent labels learned: bounds the model
 MAX_GRAM = 5
-BACKOFF = math.log(0.4)
 SHARPNESS = 2.0    # the softmax works on the mean log frequency per word times this
-CACHE_WORDS = 200_000
+SLICE_BYTES = 1 << 20
+SUMS = 2_000_000
+CACHE_GRAMS = 300_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -79,105 +84,170 @@ def _count_grams(batches):
                    for n in range(1, MAX_GRAM + 1) for g in _grams(w, n)), GRAM_ROWS)
 
 
-def _shares(counts: dict) -> dict:
-    """Share of each language's rows to learn: the quota is what the smaller ones leave, dealt evenly."""
-    left, shares = SAMPLE_ROWS, {}
-    for k, (lang, c) in enumerate(sorted(counts.items(), key=lambda x: x[1])):
-        taken = min(c, left / (len(counts) - k))
-        shares[lang] = taken / c
-        left -= taken
-    return shares
+def sample(labelled: DataFrame) -> DataFrame:
+    """Rows (lang, text) to learn from columns ``doc_id`` (only picks the sample, with the text), ``text`` and ``lang``."""
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = settle(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("c")))
+    spread = [(r["c"], r["n"]) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()]  # a row per size of a label
+    labels = sum(n for _, n in spread)
+    at = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    if labels > SAMPLE_ROWS:
+        drawn = F.pmod(F.xxhash64(F.lit("label"), "lang"), F.lit(1 << 30)) / float(1 << 30) < SAMPLE_ROWS / labels
+        labelled, counts, quota = labelled.filter(drawn), counts.filter(drawn), 1.0
+    else:
+        shares = even_shares({(k, c): c for c, n in spread for k in range(n)}, SAMPLE_ROWS)
+        quota = max((c * x for (_, c), x in shares.items()), default=0.0)
+    # labels above the quota: SAMPLE_ROWS / quota rows at most, and the quota is 1 or more
+    large = counts.filter(F.col("c") > quota).select("lang", (quota / F.col("c")).alias("share"))
+    return (labelled.join(F.broadcast(large), "lang", "left")
+            .filter(at < F.coalesce("share", F.lit(1.0))).select("lang", "text"))
+
+
+def gram_counts(learned: DataFrame) -> DataFrame:
+    """(lang, n, gram, c) of all words (n = 0) and n-grams of rows (lang, text)."""
+    words = settle(learned.mapInArrow(_count_words, "lang string, gram string, c long")
+                   .groupBy("lang", "gram").agg(F.sum("c").alias("c")))
+    return (words.mapInArrow(_count_grams, "lang string, n int, gram string, c long")
+            .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
+            .unionByName(words.select("lang", F.lit(0).alias("n"), "gram", "c")))
 
 
 def train(labelled: DataFrame) -> dict:
     """Model from columns ``doc_id`` (only picks the sample, with the text), ``text`` and ``lang``."""
-    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(KEEP_LANGS).collect()
-    names = sorted(r["lang"] for r in langs)
-    shares = _shares({r["lang"]: r["count"] for r in langs})
-    if any(x < 1 for x in shares.values()):
-        at = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-        share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
-        labelled = labelled.filter(at < share[F.col("lang")])
-    words = settle(labelled.filter(F.col("lang").isin(names)).select("lang", "text")
-                   .mapInArrow(_count_words, "lang string, gram string, c long")
-                   .groupBy("lang", "gram").agg(F.sum("c").alias("c")))
-    counts = (words.mapInArrow(_count_grams, "lang string, n int, gram string, c long")
-              .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
-              .unionByName(words.select("lang", F.lit(0).alias("n"), "gram", "c")))
-    top = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram")
-    kept = (counts.withColumn("r", F.row_number().over(top))
-            .filter(F.col("r") <= F.when(F.col("n") == 0, KEEP_WORDS).otherwise(KEEP_GRAMS))
-            .select("lang", "n", "gram", "c").toArrow())
-    at = {name: i for i, name in enumerate(names)}
-    orders: list[dict] = [{} for _ in range(MAX_GRAM + 1)]
-    totals = np.zeros((MAX_GRAM + 1, max(1, len(names))))
-    for lang, k, gram, c in zip(*(kept.column(x).to_pylist() for x in ("lang", "n", "gram", "c"))):
-        orders[k].setdefault(gram, {})[at[lang]] = c
-        totals[k, at[lang]] += c
-    logs = []
-    for k, grams in enumerate(orders):
-        # add half a count; what a language lacks is as rare in all: half a count of the largest
-        base = np.log(totals[k] + 0.5 * max(1, len(grams)))
-        table_k = np.full((len(grams), len(totals[k])), np.log(0.5) - base.max())
-        for i, per in enumerate(grams.values()):
-            for j, c in per.items():
-                table_k[i, j] = np.log(c + 0.5) - base[j]
-        logs.append((dict(zip(grams, range(len(grams)))), table_k.astype(np.float32)))
-    return {"names": names, "logs": logs}
-
-
-def _unseen(word: str, logs: list) -> np.ndarray:
-    """Backoff: mean over the word's n-grams, each from the longest order that has it."""
-    n = min(MAX_GRAM, len(word) + 2)
-    todo = [(g, n, 0.0) for g in _grams(word, n)]
-    total, found = np.zeros(logs[0][1].shape[1]), 0
-    while todo:
-        g, n, cost = todo.pop()
-        i = logs[n][0].get(g)
-        if i is not None:
-            total += logs[n][1][i] + cost
-            found += 1
-        elif n > 1:
-            todo += [(g[:-1], n - 1, cost + BACKOFF), (g[1:], n - 1, cost + BACKOFF)]
-    return total / max(1, found)
+    counts = settle(gram_counts(sample(labelled)))
+    names = sorted(r["lang"] for r in counts.filter("n = 0").select("lang").distinct().collect())
+    ranks = counts.sparkSession.createDataFrame(list(enumerate(names)), "at int, lang string")
+    # as many rows as the sample has labels
+    kept = (counts.join(F.broadcast(ranks), "lang")
+            .select(F.col("n").cast("byte").alias("n"), F.xxhash64("gram").alias("key"), "at", "c").toArrow())
+    order, key, at, c = (kept.column(x).to_numpy() for x in ("n", "key", "at", "c"))
+    orders = [_order(key[order == n].view(np.uint64), at[order == n], c[order == n], len(names)) for n in range(MAX_GRAM + 1)]
+    return {"names": names, "orders": orders}
+
+
+def _order(key: np.ndarray, at: np.ndarray, c: np.ndarray, langs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, where each one's languages end, the languages, and their gain over a language that lacks the gram."""
+    by = np.lexsort((at, key))
+    key, at, c = key[by], at[by], c[by].astype(np.float64)
+    keys, first = np.unique(key, return_index=True)
+    # add half a count; what a language lacks is as rare in all: half a count of the largest
+    base = np.log(np.bincount(at, weights=c, minlength=max(1, langs)) + 0.5 * max(1, len(keys)))
+    gain = np.log(c + 0.5) - base[at] - (math.log(0.5) - base.max())
+    ends = np.append(first[1:], len(key)) if len(keys) else first
+    return keys, ends.astype(np.int64), at.astype(np.int32), gain.astype(np.float32)
+
+
+def gram_key(gram: str) -> int:
+    """Spark's xxhash64 of the gram, as an unsigned number."""
+    return xxhash.xxh64_intdigest(gram.encode(), 42)
+
+
+class Scorer:
+    """Sums of word gains per language, a slice of texts at a time."""
+
+    def __init__(self, model: dict) -> None:
+        self.names, self.orders = model["names"], model["orders"]
+        self.starts = [np.concatenate([[0], ends[:-1]]) if len(ends) else ends for _, ends, _, _ in self.orders]
+        self.known: dict[str, int] = {}
+
+    def _rows(self, n: int, grams: list[str]) -> np.ndarray:
+        """Place of each gram in its order, -1 where the model lacks it."""
+        keys = self.orders[n][0]
+        if not len(keys):
+            return np.full(len(grams), -1, np.int64)
+        want = np.fromiter(map(gram_key, grams), np.uint64, len(grams))
+        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        return np.where(keys[at] == want, at, -1)
+
+    def _entries(self, n: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the rows each entry belongs to, its language and its gain."""
+        _, ends, langs, gain = self.orders[n]
+        size = ends[rows] - self.starts[n][rows]
+        owner = np.repeat(np.arange(len(rows)), size)
+        at = np.arange(size.sum()) + np.repeat(self.starts[n][rows] - np.cumsum(size) + size, size)
+        return owner, langs[at], gain[at].astype(np.float64)
+
+    def _backoff(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Entries (word, language, gain) of words that the model lacks: the mean over the word's n-grams, each
+        from the longest order that has it."""
+        todo: list[tuple[list[int], list[str]]] = [([], []) for _ in range(MAX_GRAM + 1)]
+        for k, w in enumerate(words):
+            n = min(MAX_GRAM, len(w) + 2)
+            grams = _grams(w, n)
+            todo[n][0].extend([k] * len(grams))
+            todo[n][1].extend(grams)
+        found, parts = np.zeros(len(words), np.int64), []
+        for n in range(MAX_GRAM, 0, -1):
+            owners, grams = todo[n]
+            new = [g for g in dict.fromkeys(grams) if g not in self.known]
+            self.known.update(zip(new, self._rows(n, new).tolist()))
+            rows = np.fromiter(map(self.known.__getitem__, grams), np.int64, len(grams))
+            owner, has = np.array(owners, np.int64), rows >= 0
+            found += np.bincount(owner[has], minlength=len(words))
+            if has.any():
+                which, lang, gain = self._entries(n, rows[has])
+                parts.append((owner[has][which], lang, gain))
+            if n > 1:
+                for k in np.flatnonzero(~has).tolist():
+                    todo[n - 1][0].extend((owners[k], owners[k]))
+                    todo[n - 1][1].extend((grams[k][:-1], grams[k][1:]))
+        if len(self.known) > CACHE_GRAMS:
+            self.known.clear()
+        share = 1 / np.maximum(found, 1)
+        return [(owner, lang, gain * share[owner]) for owner, lang, gain in parts]
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sums (texts x languages) and number of words of each text."""
+        number: dict[str, int] = {}
+        place, word, times = [], [], []
+        for k, text in enumerate(texts):
+            counted = Counter(WORD.findall(text.lower()))
+            place += [k] * len(counted)
+            word += [number.setdefault(w, len(number)) for w in counted]
+            times += counted.values()
+        place, word, times = np.array(place, np.int64), np.array(word, np.int64), np.array(times, np.float64)
+        n_words = np.bincount(place, weights=times, minlength=len(texts))
+        vocabulary = list(number)
+        rows = self._rows(0, vocabulary)
+        unseen = np.flatnonzero(rows < 0)
+        seen = np.flatnonzero(rows >= 0)
+        which, lang, gain = self._entries(0, rows[seen])
+        parts = [(seen[which], lang, gain)]
+        parts += [(unseen[owner], lang, gain) for owner, lang, gain in self._backoff([vocabulary[k] for k in unseen.tolist()])]
+        of, lang, gain = (np.concatenate(x) for x in zip(*parts))
+        by = np.argsort(of, kind="stable")
+        lang, gain = lang[by], gain[by]
+        ends = np.cumsum(np.bincount(of, minlength=len(vocabulary)))
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        size = (ends - starts)[word]
+        at = np.arange(size.sum()) + np.repeat(starts[word] - np.cumsum(size) + size, size)
+        sums = np.bincount(np.repeat(place, size) * len(self.names) + lang[at], weights=gain[at] * np.repeat(times, size),
+                           minlength=len(texts) * len(self.names))
+        return sums.reshape(len(texts), -1), n_words
 
 
 def _score(model: dict):
-    names, logs = model["names"], model["logs"]
+    names = model["names"]
 
     def run(batches):
-        words, matrix = logs[0]
-        cache: dict = {}
+        scorer = Scorer(model) if names else None
         for b in batches:
-            langs, scores = [], []
-            for raw in b.column("raw").to_pylist():
-                text = raw.decode("utf-8", "replace") if raw is not None else ""
-                if not names or not any(map(str.isalpha, text)):
-                    langs.append("und")
-                    scores.append(0.0)
+            raws = b.column("raw").to_pylist()
+            langs, scores = ["und"] * len(raws), np.zeros(len(raws))
+            size = np.array([len(r or b"") for r in raws], np.int64)
+            # sums of a slice are bounded, too
+            for a, z in slices(size + SLICE_BYTES * len(names) // SUMS, SLICE_BYTES) if names else ():
+                texts = [(r or b"").decode("utf-8", "replace") for r in raws[a:z]]
+                rows = [k for k, t in enumerate(texts) if any(map(str.isalpha, t))]
+                if not rows:
                     continue
-                known, times, total, n = [], [], np.zeros(len(names)), 0
-                for w, c in Counter(WORD.findall(text.lower())).items():
-                    n += c
-                    i = words.get(w)
-                    if i is not None:
-                        known.append(i)
-                        times.append(c)
-                        continue
-                    v = cache.get(w)
-                    if v is None:
-                        if len(cache) >= CACHE_WORDS:
-                            cache.clear()
-                        v = cache[w] = _unseen(w, logs)
-                    total += v * c
-                if known:
-                    total += np.array(times, np.float64) @ matrix[known]
-                mean = total / n * SHARPNESS
-                p = np.exp(mean - mean.max())
-                best = int(np.argmax(total))
-                langs.append(names[best])
-                scores.append(float(p[best] / p.sum()))
+                sums, n = scorer([texts[k] for k in rows])
+                best = sums.argmax(axis=1)
+                mean = sums / np.maximum(n, 1)[:, None] * SHARPNESS
+                p = np.exp(mean - mean.max(axis=1)[:, None])
+                scores[a + np.array(rows)] = p[np.arange(len(rows)), best] / p.sum(axis=1)
+                for k, i in zip(rows, best.tolist()):
+                    langs[a + k] = names[i]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in b.schema.names if c != "raw"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*(c for c in b.schema.names if c != "raw"), "lang_pred", "score"])

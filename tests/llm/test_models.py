@@ -1,7 +1,11 @@
+import math
+from collections import Counter, defaultdict
+
 import duckdb
 import numpy as np
 
 from blotter.llm import language_id, quality_svm
+from blotter.llm.common import even_shares
 from tests.conftest import SF_ORACLE
 from tests.llm.data import TEXTS, edge_docs, empty_docs
 
@@ -43,14 +47,84 @@ def test_rare_language_keeps_its_rows_at_every_size(spark, monkeypatch):
     rows = [(i, f"the river and the house w{i}" if i % 2 else f"der fluss und das haus w{i}", "en" if i % 2 else "de") for i in range(6000)]
     rows += [(10000 + i, f"mto na nyumba {'abcde'[i] * 4}", "sw") for i in range(5)]
     model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert model["names"] == ["de", "en", "sw"] and all(x * 4 in model["logs"][0][0] for x in "abcde")
+    assert model["names"] == ["de", "en", "sw"]
+    assert all(language_id.gram_key(x * 4) in model["orders"][0][0] for x in "abcde")
     asked = spark.createDataFrame([(1, "nyumba na mto"), (2, "the house"), (3, "das haus")], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in language_id.identify(asked, model).collect()} == {1: "sw", 2: "en", 3: "de"}
-    shares = language_id._shares({"a": 10 ** 9, "b": 10 ** 6, "c": 5})
+    learned = language_id.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")).groupBy("lang").count().collect()
+    count = {r["lang"]: r["count"] for r in learned}
+    assert count["sw"] == 5 and 10 < count["en"] < 60 and 10 < count["de"] < 60
+    shares = even_shares({"a": 10 ** 9, "b": 10 ** 6, "c": 5}, 60)
     assert shares["c"] == 1 and abs(10 ** 9 * shares["a"] + 10 ** 6 * shares["b"] + 5 - 60) < 1e-6
     assert abs(10 ** 9 * shares["a"] - 10 ** 6 * shares["b"]) < 1e-6
 
 
+def brute_language(texts, learned):
+    """Sums of logarithms word by word and gram by gram, floor and discounts included."""
+    names = sorted({lang for lang, _ in learned})
+    counts = [defaultdict(Counter) for _ in range(6)]
+    for lang, text in learned:
+        for w in language_id.WORD.findall(text.lower()):
+            counts[0][w][lang] += 1
+            for n in range(1, 6):
+                for k in range(len(w) + 2 - n + 1):
+                    counts[n][f" {w} "[k:k + n]][lang] += 1
+    total = [{x: sum(c[x] for c in order.values()) for x in names} for order in counts]
+    base = [{x: math.log(total[n][x] + 0.5 * max(1, len(counts[n]))) for x in names} for n in range(6)]
+
+    def log(n, gram, lang):
+        c = counts[n][gram][lang]
+        return math.log(c + 0.5) - base[n][lang] if c else math.log(0.5) - max(base[n].values())
+
+    def backoff(gram, n):
+        if gram in counts[n]:
+            return [[log(n, gram, x) for x in names]]
+        return [] if n == 1 else [[v + math.log(0.4) for v in row] for g in (gram[:-1], gram[1:]) for row in backoff(g, n - 1)]
+
+    for text in texts:
+        words = language_id.WORD.findall(text.lower())
+        sums = [0.0] * len(names)
+        for w in words:
+            n = min(5, len(w) + 2)
+            rows = [[log(0, w, x) for x in names]] if w in counts[0] else [r for k in range(len(w) + 2 - n + 1) for r in backoff(f" {w} "[k:k + n], n)]
+            for k in range(len(names)):
+                sums[k] += sum(r[k] for r in rows) / max(1, len(rows))
+        best = max(range(len(names)), key=lambda k: (round(sums[k], 6), -k))
+        p = [math.exp(2 * (v - max(sums)) / len(words)) for v in sums]
+        yield names[best], p[best] / sum(p)
+
+
+def test_language_against_brute_force(spark):
+    learned = [("en", "The river and the house, the old house"), ("de", "Der Fluss und das Haus, schöne alte Häuser"),
+               ("fr", "la rivière et la maison été"), ("xx", "qqq zzz the der la"), ("en", "houses rivers")]
+    docs = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(learned)], "doc_id long, text string, lang string")
+    texts = ["riverside housing", "Flusshaus Hausfluss", "maisonnette", "the der la zzz", "ÉTÉ häuslich", "w", "ŋŋŋ ŧŧ the", "a b c d house " * 30, "qqqqqqqqqq" * 50]
+    got = language_id.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), language_id.train(docs)).orderBy("doc_id").collect()
+    for r, (lang, score), text in zip(got, brute_language(texts, learned), texts):
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-4, (text, r, lang, score)
+
+
+def test_many_languages_need_little_memory(spark):
+    """150 languages of their own words: the model grows with the words, not with words times languages."""
+    rows = [(i, " ".join(f"{chr(97 + i % 150 // 26)}{chr(97 + i % 150 % 26)}{'abcdefgh'[k % 8]}{'xyzuvw'[k // 8]}{'mnop'[i // 150 % 4]}" for k in range(40)), f"l{i % 150:03d}")
+            for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert len(model["names"]) == 150
+    grams, entries = sum(len(o[0]) for o in model["orders"]), sum(len(o[2]) for o in model["orders"])
+    held = sum(x.nbytes for o in model["orders"] for x in o)
+    assert held == 16 * grams + 8 * entries and held < 150 * 4 * grams / 4
+    found = language_id.identify(docs.select("doc_id", "lang", "text"), model)
+    assert found.filter("lang = lang_pred").count() > 2900
+
+
+def test_more_labels_than_sampled_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 40)
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word', id % 800) AS text", "concat('l', id % 800) AS lang")
+    learned = language_id.sample(docs)
+    assert 10 < learned.select("lang").distinct().count() <= learned.count() < 120
+
+
 def test_quality_held_out(spark):
     got = quality_svm.op2_quality_svm(spark, SF_ORACLE).toPandas()
     labels = duckdb.sql(f"SELECT doc_id, quality FROM '{SF_ORACLE}/labels.parquet'").df()
