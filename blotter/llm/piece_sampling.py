@@ -36,6 +36,7 @@ ALPHA = 1.0
 SEED = 17
 CHUNK_BYTES = 1 << 20
 UNIT = re.compile(r" *[^ \n]+| +|\n")
+KEY_BITS = 21
 LATTICE_NODES = 2_000_000  # a task forgets its units beyond this many positions
 
 
@@ -75,6 +76,7 @@ class Vocabulary:
             self.bytes.append(text.encode())
             if re.search(r"[^ ] |\n.|.\n", text) is None:  # stays within a unit
                 pieces[text] = i
+        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.longest = max(map(len, pieces))
         for text in list(pieces):  # beginnings, so that a search knows when to stop
             for k in range(1, len(text)):
@@ -84,11 +86,27 @@ class Vocabulary:
             keys = np.array([(_codes(_points(t)) * powers[:len(t)]).sum() for t in pieces], np.uint64)
         by = np.argsort(keys)
         self.keys, self.ids = keys[by], np.array(list(pieces.values()), np.int32)[by]
+        # where the keys with each beginning start: most beginnings have one key or none
+        self.begin = np.searchsorted(self.keys, np.arange(1 << KEY_BITS, dtype=np.uint64) << np.uint64(64 - KEY_BITS)).astype(np.int32)
+        self.deepest = int(np.bincount((self.keys >> np.uint64(64 - KEY_BITS)).astype(np.int64)).max())
         self.weights = -alpha * np.log(np.maximum(self.ids, 0) + 2.0)
         self.byte_weight = -alpha * math.log(self.size + 2)
 
+    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash among the keys, and whether it is there."""
+        at = self.begin[(h >> np.uint64(64 - KEY_BITS)).astype(np.int64)]
+        at[at == len(self.keys)] = 0
+        known = self.keys[at] == h
+        for _ in range(1, self.deepest):
+            other = np.flatnonzero(~known)
+            further = np.minimum(at[other] + 1, len(self.keys) - 1)
+            hit = self.keys[further] == h[other]
+            at[other] = further
+            known[other] = hit
+        return at, known
+
     def decode(self, ids) -> bytes:
-        return b"".join([self.bytes[i] for i in ids])
+        return b"".join(map(self.bytes.__getitem__, ids))
 
 
 class Lattices:
@@ -136,9 +154,7 @@ class Lattices:
             alive = alive[alive + size <= stop[alive]]
             with np.errstate(over="ignore"):
                 h = (sums[alive + size] - sums[alive]) * self.down[alive]
-            at = np.searchsorted(v.keys, h)
-            at[at == len(v.keys)] = 0
-            known = v.keys[at] == h
+            at, known = v.look_up(h)
             ids = np.where(known, v.ids[at], -1)
             if size == 1:
                 bare = alive[ids < 0]
@@ -162,7 +178,7 @@ class Lattices:
         pos = np.arange(n) - np.repeat(stops - lengths, lengths)
         start, size, piece, weight = self._edges(points, stop)
         node = start + size - 1
-        by = np.lexsort((start, node, pos[node]))
+        by = np.argsort((pos[node] * n + node) * (self.vocab.longest + 1) + self.vocab.longest - size)  # level, node, start
         start, size, piece, weight, node = start[by], size[by], piece[by], weight[by], node[by]
         opens = pos[start] == 0
         head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))  # first edge of each node
@@ -194,7 +210,7 @@ class Lattices:
         """Backward sampling: (pieces of all texts in order, number of pieces of each text)."""
         units = [UNIT.findall(t) for t in texts]
         flat = list(chain.from_iterable(units))
-        new = [u for u in set(flat) if u not in self.ends]
+        new = list(set(flat).difference(self.ends))
         if new:
             self.learn(new)
         node = np.fromiter(map(self.ends.__getitem__, flat), np.int64, len(flat))
@@ -249,7 +265,14 @@ def _encode(vocab: Vocabulary):
                 ids, counts = lattices.sample(texts, keys[a:z])
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 plain = ids.tolist()
-                same = [vocab.decode(plain[s:e]) == (r or b"") for s, e, r in zip(ends.tolist(), ends[1:].tolist(), raws[a:z])]
+                # one comparison for all; text by text only to find those that differ
+                pieces, said = list(map(vocab.bytes.__getitem__, plain)), [r or b"" for r in raws[a:z]]
+                sizes = np.cumsum([0, *map(len, said)])[1:]
+                spelt = np.concatenate([[0], np.cumsum(vocab.lengths[ids])])[ends[1:]]
+                if b"".join(pieces) == b"".join(said) and (spelt == sizes).all():
+                    same = [True] * len(said)
+                else:
+                    same = [b"".join(pieces[s:e]) == r for s, e, r in zip(ends.tolist(), ends[1:].tolist(), said)]
                 null = np.array([r is None for r in raws[a:z]])
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids), mask=pa.array(null))
                 yield pa.RecordBatch.from_arrays(
