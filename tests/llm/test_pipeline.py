@@ -1,3 +1,4 @@
+import os
 import subprocess
 import sys
 
@@ -38,7 +39,20 @@ def test_empty(spark, scratch):
 
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
-    assert out.columns == ["doc_id", "n_pieces", "piece_ids", "lossless"] and out.count() > 100
+    assert out.columns == ["doc_id", "copy", "n_pieces", "piece_ids", "lossless"] and out.count() > 100
+    # only the folder that the result is read from is left
+    folder = os.path.dirname(os.path.dirname(out.inputFiles()[0].removeprefix("file:")))
+    assert os.listdir(folder) == ["3-mix_sources"]
+
+
+def test_copies_draw_their_own_pieces(spark):
+    text = "a document that the mix takes more than once, with words enough to be cut in many ways " * 5
+    docs = spark.createDataFrame([(1, text)] * 3 + [(2, text), (None, text), (None, text), (3, None)], "doc_id long, text string")
+    rows = [corpus_pipeline.pieces(spark, docs.repartition(n), SF_SMALL).collect() for n in (1, 4)]
+    assert sorted(map(str, rows[0])) == sorted(map(str, rows[1]))
+    assert sorted((r["doc_id"] or 0, r["copy"]) for r in rows[0]) == [(0, 1), (0, 2), (1, 1), (1, 2), (1, 3), (2, 1), (3, 1)]
+    drawn = {tuple(r["piece_ids"]) for r in rows[0] if r["doc_id"] != 3}
+    assert len(drawn) == 6 and all(r["lossless"] for r in rows[0])
 
 
 def test_entry_without_the_subpackage():
@@ -52,5 +66,5 @@ def test_registered():
     import __spark_entry__ as e
 
     names = list(e.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert len(TEXTS) == 16
