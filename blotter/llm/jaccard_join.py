@@ -23,7 +23,11 @@ or more; the result gives every document the smallest id that links reach.
    (a set needs ``ceil(0.8 n)`` tokens there) and, if that qualifies, against
    the host's sets, in tiles of at most about ``BLOCK`` sets or ``BLOCK_TOKENS`` tokens
    of either group, so a group of any size is opened by many tasks. Long columns give all pairs of different components here, so
-   no link between different texts is lost.
+   no link between different texts is lost; a column is compared in tiles of ``TILE`` by ``TILE`` groups,
+   each by a task of its own, and not at all if its groups are one component.
+
+Owners are as many as the sum of all set sizes asks for, so long texts give more of them. Texts are hashed anew in each
+pass: their tokens take more room than the texts (8 bytes for each word), so keeping them would cost more disk than hashing costs time.
 
 Sets stand for all their copies; links and components stay in the cluster.
 NULL and empty texts, and texts without words, have size 0 and link with
@@ -38,17 +42,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from blotter.llm.common import among, distinct, parts_for, pick, settle, table
+from blotter.llm.common import among, distinct, parts_for, pick, salted_join, settle, table
 from blotter.llm.components import components
 from blotter.llm.exact_dedup import bloom_of, in_bloom
 from blotter.llm.exchange import decode, encode, owner_cuts
 from blotter.llm.shingles import WordHasher, set_id, shingle_sets
 
 HELD_TOKENS = 1_000_000   # tokens a sender holds before it sends
-OWNER_DOCS = 100_000      # documents per owner at scale
+OWNER_TOKENS = 16_000_000 # tokens of all sets per owner at scale
 FREQUENT = 1_000_000      # size of the broadcast list of frequent tokens, at most
 MIN_FREQUENT = 16
 LONG = 64
+TILE = 2048   # groups of a long column on either side of a tile
 BLOCK = 1024  # sets of a host group, and queries, compared in one task
 BLOCK_TOKENS = 4_000_000  # and their tokens
 
@@ -306,34 +311,47 @@ def _rest(n):
     return (4 * n + 4) // 5 - 1
 
 
-def _open_pairs(columns: pa.Table, info: pa.Table) -> pa.Table:
-    """Pairs of groups of different components in the long columns that their
-    sizes and numbers of long columns let link."""
-    names = info.column("grp").to_numpy().view(np.uint64)
-    by = np.argsort(names)
-    names = names[by]
-    labels, least, most, n_long = (info.column(x).to_numpy()[by] for x in ("label", "least", "most", "n_long"))
-    lows, highs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    for blob in columns.column("blob").to_pylist():
-        groups, _, starts, lengths = _columns(blob)
-        for s, size in zip(starts.tolist(), lengths.tolist()):
-            if size <= LONG:
-                continue
-            at = np.searchsorted(names, groups[s:s + size])
-            at = at[np.argsort(labels[at], kind="stable")]
-            label = labels[at]
-            ends = np.searchsorted(label, label, side="right")  # each group with those of all later components
-            for i in range(size):
-                if ends[i] < size:
-                    x, y = at[i], at[ends[i]:]
-                    y = y[(5 * most[x] >= 4 * least[y]) & (5 * most[y] >= 4 * least[x])
-                          & (9 * (np.minimum(n_long[x], n_long[y]) + _rest(np.maximum(most[x], most[y]))) >= 4 * (least[x] + least[y]))]
-                    lows.append(np.full(len(y), names[x]))
-                    highs.append(names[y])
-    a, b, _ = _distinct_pairs(np.concatenate(lows), np.concatenate(highs))
+def _long_rows(batches):
+    """(owner, col, grp) of every group in a long column."""
+    for b in batches:
+        for owner, blob in zip(b.column("owner").to_pylist(), b.column("blob").to_pylist()):
+            groups, _, starts, lengths = _columns(blob)
+            long = lengths > LONG
+            col = np.repeat(np.arange(int(long.sum()), dtype=np.int32), lengths[long])
+            at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts[long].tolist(), lengths[long].tolist())]) if long.any() else np.zeros(0, int)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), owner, np.int32)), pa.array(col), pa.array(groups[at].view(np.int64))],
+                                             names=["owner", "col", "grp"])
+
+
+def _tile_pairs(t: pa.Table) -> pa.Table:
+    """Pairs of groups of different components in a tile of a long column that their sizes and numbers of long columns let link."""
+    names, labels, least, most, n_long, side = (t.column(x).to_numpy() for x in ("grp", "label", "least", "most", "n_long", "side"))
+    x, y = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # a tile on the diagonal has its groups on both sides
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for k in range(0, len(x), 256):
+        a = x[k:k + 256, None]
+        fits = ((labels[a] != labels[y]) & (5 * most[a] >= 4 * least[y]) & (5 * most[y] >= 4 * least[a])
+                & (9 * (np.minimum(n_long[a], n_long[y]) + _rest(np.maximum(most[a], most[y]))) >= 4 * (least[a] + least[y])))
+        i, j = np.nonzero(fits)
+        found.append((names[x[k + i]], names[y[j]]))
+    a, b, _ = _distinct_pairs(*(np.concatenate(v).view(np.uint64) for v in zip(*found)))
     return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
 
+def _open_pairs(columns: DataFrame, info: DataFrame) -> DataFrame:
+    """Pairs of groups (a, b) of different components in the long columns that may link, from info (grp, label, least, most, n_long)."""
+    rows = settle(columns.mapInArrow(_long_rows, "owner int, col int, grp long").join(info, "grp"))
+    mixed = (rows.groupBy("owner", "col").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count(F.lit(1)).alias("n"))
+             .filter("first <> last").select("owner", "col", F.ceil(F.col("n") / TILE).cast("int").alias("blocks")))
+    side = F.when(F.col("x") == F.col("block"), 2).when(F.col("x") > F.col("block"), 0).otherwise(1)
+    return (salted_join(rows, mixed, ["owner", "col"], F.xxhash64("grp"))
+            .withColumn("block", F.pmod(F.xxhash64("grp", F.lit(3)), F.col("blocks")).cast("int"))
+            .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("owner", "col", F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"), side.cast("int").alias("side"),
+                    "grp", "label", "least", "most", "n_long")
+            .groupBy("owner", "col", "i", "j").applyInArrow(_tile_pairs, "a long, b long").distinct())
+
+
 def _set_rows(words: np.ndarray):
     def run(batches):
         for held in _held(batches, WordHasher()):
@@ -394,10 +412,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     raw = texts.select("raw")
     schema = T.StructType([texts.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("sid", T.LongType())])
     sized = settle(texts.mapInArrow(_sets, schema).withColumn("part", F.spark_partition_id()))
-    n_docs = sized.count()
+    size = sized.agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("tokens")).first()
+    n_docs, n_tokens = size["docs"], size["tokens"] or 0
 
     # 1. token order
-    owners = 4 * parts_for(spark, n_docs, 4 * OWNER_DOCS)  # several to a partition, so that their hashing evens out
+    owners = 4 * parts_for(spark, n_tokens, 4 * OWNER_TOKENS)  # several to a partition, so that their hashing evens out
     bits = min(64, 8 * -(-(max(1, n_docs).bit_length() + 22) // 8))
     frequent = (raw.mapInArrow(_send_counts(owners, bits), "owner int, blob binary, many binary, counts binary")
                 .groupBy("owner").applyInArrow(_frequent, "token long, c long")
@@ -436,11 +455,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # 4. open the pairs of groups that are still apart
     la = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
     lb = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
-    info = (in_long.select("owner", "grp").join(groups.select("grp", "least", "most", "n_long"), "grp")
-            .join(labels, F.col("grp") == F.col("node"), "left")
-            .select("owner", "grp", F.coalesce("label", "grp").alias("label"), "least", "most", "n_long"))
-    late = columns.groupBy("owner").cogroup(info.groupBy("owner")).applyInArrow(_open_pairs, "a long, b long").distinct()
-    late = (late.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    info = (groups.filter("n_long > 0").join(labels, F.col("grp") == F.col("node"), "left")
+            .select("grp", F.coalesce("label", "grp").alias("label"), "least", "most", "n_long"))
+    late = (_open_pairs(columns, info).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
             .join(groups.select(F.col("grp").alias("a"), F.col("size").alias("size_a"), F.col("most").alias("most_a")), "a")
             .join(groups.select(F.col("grp").alias("b"), F.col("size").alias("size_b"), F.col("most").alias("most_b")), "b")
             .select(*pairs.columns))
@@ -455,9 +472,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("host_parts", _parts("host_size", "host_most")).withColumn("query_parts", _parts("query_size", "query_most")))
     apart = settle(apart)
     if not apart.isEmpty():
-        wanted = apart.select(F.explode(F.array("host", "query")).alias("grp")).distinct().join(members, "grp")
-        cut = groups.select("grp", _parts("size", "most").alias("parts"))
-        sets = (wanted.select("grp", "sid").join(cut, "grp").join(_sets_of(raw, wanted.select("sid").distinct()), "sid")
+        opened = apart.select(F.explode(F.array("host", "query")).alias("grp")).distinct()
+        cut = groups.select("grp", _parts("size", "most").alias("parts")).join(opened, "grp")
+        wanted = settle(salted_join(members.select("grp", "sid"), cut, ["grp"], F.xxhash64("sid")))
+        sets = (wanted.join(_sets_of(raw, wanted.select("sid").distinct()), "sid")
                 .select("grp", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int").alias("part"), "sid", "tokens"))
         known = settle(known.unionByName(_verify(apart, sets)))
         labels = components(known, "a", "b")
@@ -467,7 +485,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = per_set.join(labels, per_set["sid"] == labels["node"], "left").select("sid", "least", F.coalesce("label", "sid").alias("label"))
     labelled = settle(labelled)
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    answer = labelled.join(smallest, "label").select("sid", "component_id")
+    answer = salted_join(labelled, smallest, ["label"], F.xxhash64("sid")).select("sid", "component_id")
     per_part = sized.filter("n_shingles > 0").select("part", "sid").distinct().join(answer, "sid")
     return (sized.join(per_part, ["part", "sid"], "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
@@ -485,3 +503,36 @@ def _sets_of(raw: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) >= 5 THEN list_sort(list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]))
+                         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM d
+), kinds AS (
+  SELECT s, min(r) AS k, min(doc_id) AS least FROM sets WHERE len(s) > 0 GROUP BY s
+), tokens AS (
+  SELECT k, len(s) AS n, unnest(s) AS t FROM kinds
+), common AS (
+  SELECT a.k AS a, b.k AS b, a.n AS na, b.n AS nb, count(*) AS c
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.k < b.k AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.k, b.k, a.n, b.n
+), edges AS (
+  SELECT a, b FROM common WHERE 100 * c >= 80 * (na + nb - c)
+), both_ways AS (
+  SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges
+), reach AS (
+  SELECT k, k AS other FROM kinds
+  UNION
+  SELECT reach.k, e.b FROM reach JOIN both_ways e ON reach.other = e.a
+), least AS (
+  SELECT reach.k, min(o.least) AS component_id FROM reach JOIN kinds o ON o.k = reach.other GROUP BY reach.k
+)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(least.component_id, sets.doc_id) AS component_id
+FROM sets LEFT JOIN kinds ON kinds.s = sets.s AND len(sets.s) > 0 LEFT JOIN least ON least.k = kinds.k
+"""

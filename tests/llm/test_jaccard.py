@@ -1,6 +1,8 @@
 import random
 
 from blotter.llm import jaccard_join
+from tests.conftest import SF_SMALL, duck_for
+from tests.helpers import same_result
 from tests.llm.data import TEXTS, components, edge_docs, empty_docs, multiset
 
 
@@ -50,7 +52,7 @@ def test_families(spark):
 
 
 def test_long_columns_and_many_senders(spark, monkeypatch):
-    for name, value in (("LONG", 2), ("HELD_TOKENS", 1500), ("MIN_FREQUENT", 5), ("BLOCK", 3)):
+    for name, value in (("LONG", 2), ("HELD_TOKENS", 1500), ("MIN_FREQUENT", 5), ("BLOCK", 3), ("TILE", 4)):
         monkeypatch.setattr(jaccard_join, name, value)
     check(spark, corpus(2))
 
@@ -79,3 +81,44 @@ def test_large_groups_are_opened_in_tiles(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 1)
     monkeypatch.setattr(jaccard_join, "_open", bounded)
     check(spark, list(enumerate(texts)))
+
+
+def test_sql(spark):
+    con = duck_for(SF_SMALL)
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    same_result(jaccard_join.op9_jaccard_join(spark, SF_SMALL), con, jaccard_join.SQL)
+
+
+def test_owners_follow_the_tokens(spark, monkeypatch):
+    """Twenty documents of 20,000 words: no owner holds more than its share of tokens."""
+    monkeypatch.setattr(jaccard_join, "OWNER_TOKENS", 2_000)
+    monkeypatch.setattr(jaccard_join, "HELD_TOKENS", 50_000)
+    rows = [(k, " ".join(f"w{(i * 7919 + k // 2) % 40_009}" if (i + k) % 400 or not k % 2 else "changed" for i in range(20_000))) for k in range(20)]
+    whole = jaccard_join._frequent
+
+    def bounded(t):
+        assert sum(len(jaccard_join.decode(b)) for b in t.column("blob").to_pylist()) < 8_000
+        return whole(t)
+
+    monkeypatch.setattr(jaccard_join, "_frequent", bounded)
+    check(spark, rows)
+
+
+def test_tiles_give_all_pairs_of_a_long_column(spark, monkeypatch):
+    """Long columns alone, in tiles of every size, give the pairs that comparing all groups gives."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    groups = np.arange(1, 91, dtype=np.uint64)
+    blob = np.full(90, 7, np.uint64).tobytes() + groups.tobytes() + np.zeros(90, np.uint16).tobytes()
+    columns = spark.createDataFrame([(3, bytearray(blob))], "owner int, blob binary")
+    info = [(int(g), int(g) % 30, int(n), int(n) + int(g) % 3, int(x)) for g, n, x in zip(groups, rng.integers(5, 40, 90), rng.integers(1, 9, 90))]
+    want = {(a[0], b[0]) for a in info for b in info if a[0] < b[0] and a[1] != b[1] and 5 * a[3] >= 4 * b[2] and 5 * b[3] >= 4 * a[2]
+            and 9 * (min(a[4], b[4]) + jaccard_join._rest(max(a[3], b[3]))) >= 4 * (a[2] + b[2])}
+    df = spark.createDataFrame(info, "grp long, label long, least long, most long, n_long long")
+    for tile in (1000, 20, 7):
+        monkeypatch.setattr(jaccard_join, "TILE", tile)
+        got = [(r["a"], r["b"]) for r in jaccard_join._open_pairs(columns, df).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    one = df.withColumn("label", df["label"] * 0)
+    assert jaccard_join._open_pairs(columns, one).count() == 0
