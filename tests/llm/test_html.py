@@ -1,4 +1,11 @@
-from blotter.llm.html_extract import extract_text, main_blocks, op10_html_extract, parse
+import math
+import time
+import tracemalloc
+from collections import defaultdict
+
+import pytest
+
+from blotter.llm.html_extract import LOW, _hash, extract_text, main_blocks, op10_html_extract, parse, parse_pages, site_noise
 from tests.conftest import SF_ORACLE
 
 SCHEMA = "page_id long, url string, html string"
@@ -34,6 +41,32 @@ def test_class_words_spare_content():
     assert text("<div class=x><div class=sidebar>no</div><nav class=menu><h1>no</h1></nav>yes</div>") == "yes"
 
 
+def test_forms_that_wrap_a_page():
+    assert text("<body><form id=aspnetForm><nav>n</nav><article><h1>T</h1><p>body</p></article><input value=x><button>Go</button></form></body>") == "T\nbody"
+    assert text("<form><label>Search</label><input><main><p>m</p></main></form>") == "m"
+    assert text("<form><h1>Sign up</h1><p>Your name</p></form><p>text</p>") == "text"
+    assert text("<article>a<form><p>your name</p><label>x</label></form><p>b</p></article>") == "a\nb"
+    assert text("<p>an <label>inline</label> label") == "an inline label"
+    assert text("<form><article><p>a <label>word</label> more</p></article><label>no</label></form>") == "a word more"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000 + "deep", "<div class=sidebar>" * 50_000 + "<h1>deep", "<b>" * 50_000 + "</i>" * 50_000 + "deep",
+                                  "<b><div></div>" * 20_000 + "deep", "".join(f"<div>t{k} " for k in range(20_000))])
+def test_deep_pages_need_linear_memory_and_time(page):
+    tracemalloc.start()
+    began = time.time()
+    blocks, _ = parse(page, {})
+    assert tracemalloc.get_traced_memory()[1] < 150e6 and time.time() - began < 30
+    tracemalloc.stop()
+    assert "".join(b[3] for b in blocks).endswith("deep") or blocks[-1][3] == "t19999"
+
+
+def test_deep_page_as_a_table(spark):
+    rows = [(1, "http://a/", "<div>" * 50_000 + "deep"), (2, "http://a/", "".join(f"<div>t{k} " for k in range(5_000)))]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: "deep", 2: "\n".join(f"t{k}" for k in range(5_000))}
+
+
 def pages(n, site="http://site.example/{}"):
     """No element says what it is: only the tree can tell the repeated branch."""
     return [(i, site.format(i), f"<body><div class=zq><p>Buy our things now.</p></div><div class=k><p>Own text number {i} with words {i * 7}.</p>"
@@ -86,3 +119,47 @@ def test_pages_table(spark):
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         want = "\n".join(x for x in parts if x)
         assert got[page_id]["text"] == want and got[page_id]["n_chars"] == len(want)
+
+
+def brute_noise(rows):
+    """Topmost low branches of one host, by plain sets of pages."""
+    on, texts, looks, every = defaultdict(set), defaultdict(lambda: defaultdict(set)), defaultdict(lambda: defaultdict(set)), set()
+    for _, url, html in rows:
+        blocks, styles = parse(html, {}, "site.example")
+        kept = main_blocks(blocks)
+        page = tuple(t for *_, t in kept)
+        every.add(page)
+        used = {h for c, *_ in kept for h in c}
+        for c, _, _, t in kept:
+            texts[c][t].add(page)
+            on[c].add(page)
+        for c, kids in styles:
+            if c[-1] in used:
+                looks[c][tuple(k for i, k in enumerate(kids) if i == 0 or kids[i - 1] != k)].add(page)
+                on[c].add(page)
+    importance = {}
+    for c, m in ((c, len(p)) for c, p in on.items()):
+        if m < 2:
+            importance[c] = 1.0
+        elif c in texts:
+            importance[c] = 1 - sum(math.log(len(p)) for p in texts[c].values()) / len(texts[c]) / math.log(m)
+        else:
+            total = sum(len(p) for p in looks[c].values())
+            importance[c] = -sum(len(p) / total * math.log(len(p) / total) for p in looks[c].values()) / math.log(m)
+    branch = {c: max(v for d, v in importance.items() if d[:len(c)] == c) for c in importance}
+    low = {c for c, v in branch.items() if len(c) > 1 and ((len(on[c]) >= 8 and v < LOW) or (4 <= len(every) < 8 and on[c] == every and v < 1e-9))}
+    return {c[-1] for c in low if c[:-1] not in low}
+
+
+@pytest.mark.parametrize("n", [3, 5, 7, 8, 9, 30])
+def test_importance_against_brute_force(spark, n):
+    rows = [(i, "http://site.example/", f"<body><div class=top><p>Welcome</p><ul><li>One<li>Two</ul></div><div class=mid><p>{'Rare' if i % 3 else 'Common'} line</p>"
+             f"<div class=k{i % 2}><p>Own {i}</p></div></div><section><p>{'x' if i == 1 else 'Same end'}</p></section>"
+             f"{'<div class=offer>Offer</div>' if i else ''}</body>") for i in range(n)]
+    found = {r["path"] for r in site_noise(parse_pages(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert found == brute_noise(rows)
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(f"Own {i}" in got[i] for i in range(n))
+    # a notice that all but one page have: 8 pages that have it are evidence, fewer are not; one that all have needs 4 pages
+    assert all(("Offer" in got[i]) == (0 < n - 1 < 8) for i in range(1, n)) and all(("Welcome" in got[i]) == (n < 4) for i in range(n))
+    assert _hash("site.example") == parse("x", {}, "site.example")[0][0][0][0]
