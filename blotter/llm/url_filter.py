@@ -2,18 +2,17 @@
 
 A list is a feed of dated entries: from ``day`` on, ``pattern`` is on the list
 (``action`` add) or off it (remove). The next entry of the same pattern ends the
-interval in which the former holds. A capture is evaluated as of its fetch day:
+validity interval in which the former holds. A capture is evaluated as of its fetch day:
 it is blocked when an interval of its host or of a parent domain holds that day;
 the most specific pattern decides, so an ``allow`` entry of a host wins over a
 ``block`` entry of its domain.
 
-Intervals and captures meet by an equality join on (pattern, period, salt): an
-interval is listed under each period of ``PERIOD_DAYS`` days that it touches,
-between its own start and the last fetch day, and under each salt; a capture
-under one period and salt, once for each parent domain (of no more labels than the
-list's deepest pattern has). At most ``PERIOD_DAYS`` intervals of one pattern meet a capture,
-since a pattern changes at most once a day. A host with a third of all captures
-is spread over its periods and ``SALTS`` salts.
+The join is an as-of lookup: a pattern's dated entries and the captures that ask for it are sorted
+together by day, and a capture takes the last entry before it. A capture asks once for each parent
+domain (of no more labels than the list's deepest pattern has), under a salt, so a host with a third of all
+captures is spread over ``SALTS_PER_PARTITION`` times the shuffle partitions. An entry is one row under each salt under which
+its pattern is asked for, however long it holds; patterns that nobody asks for go at once, and so do the captures'
+domains that are not listed.
 
 Several entries of a pattern on one day: remove loses to add, block to allow. Entries
 with NULLs are ignored. A capture without a host or fetch day is kept, with NULL pattern.
@@ -25,10 +24,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from blotter.llm.common import pick, settle, table
+from blotter.llm.common import pick, settle, shuffle_partitions, table
 
-PERIOD_DAYS = 30
-SALTS = 16
+SALTS_PER_PARTITION = 2
 FIRST_DAY = "2024-01-01"
 
 
@@ -37,45 +35,43 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def intervals(entries: DataFrame) -> DataFrame:
-    """pattern, verdict, start, stop (exclusive, NULL while open) of entries
+def timeline(entries: DataFrame) -> DataFrame:
+    """pattern, day, verdict (NULL: off the list) from that day on, of entries
     (pattern, verdict block or allow, action add or remove, day)."""
     whole = entries.dropna(subset=["pattern", "verdict", "action", "day"])
-    per_day = whole.groupBy("pattern", "day").agg(
+    return whole.groupBy("pattern", "day").agg(
         F.min(F.when(F.col("action") == "add", F.col("verdict"))).alias("verdict"))  # allow < block
-    following = Window.partitionBy("pattern").orderBy("day")
-    return (per_day.withColumn("stop", F.lead("day").over(following)).filter(F.col("verdict").isNotNull())
-            .select("pattern", "verdict", F.col("day").alias("start"), "stop"))
+
+
+def list_side(asked: DataFrame, dated: DataFrame) -> DataFrame:
+    """pattern, salt, day, verdict: the dated entries under each salt under which ``asked`` has their pattern."""
+    # a hot pattern is one row per task and salt here
+    return asked.select("pattern", "salt").distinct().join(dated, "pattern")
 
 
 def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 day_col: str = "fetched") -> DataFrame:
     """page_id, url, fetched, blocked, pattern (that decided) and since (its interval's start)."""
-    rows = pick(captures, page_id=id_col, url=url_col, fetched=day_col).select(
-        "*", host_of(F.col("url")).alias("host"), F.monotonically_increasing_id().alias("row"))
-    rows = settle(rows)
-    period = lambda day: F.floor(F.datediff(day, F.lit(FIRST_DAY)) / PERIOD_DAYS)
-    days = rows.agg(F.min("fetched").alias("a"), F.max("fetched").alias("z")).first()
-    held = settle(intervals(entries))
+    rows = settle(pick(captures, page_id=id_col, url=url_col, fetched=day_col).select(
+        "*", host_of(F.col("url")).alias("host"), F.monotonically_increasing_id().alias("row")))
+    dated = settle(timeline(entries))
     # more labels than any pattern has meet none
-    deepest = held.agg(F.max(F.size(F.split("pattern", r"\.")))).first()[0] or 1
-    if days["a"] is not None:
-        # only the part of an interval that any capture can fall into
-        held = (held.filter((F.col("start") <= F.lit(days["z"])) & (F.coalesce("stop", F.lit(days["z"]) + F.expr("INTERVAL 1 DAY")) > F.lit(days["a"])))
-                .withColumn("period", F.explode(F.sequence(
-                    period(F.greatest("start", F.lit(days["a"]))),
-                    period(F.least(F.coalesce(F.date_sub("stop", 1), F.lit(days["z"])), F.lit(days["z"])))))))
-    else:
-        held = held.withColumn("period", F.lit(0).cast("long"))
-    held = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    deepest = dated.agg(F.max(F.size(F.split("pattern", r"\.")))).first()[0] or 1
     labels = F.slice(F.reverse(F.split("host", r"\.")), 1, deepest)
     parents = F.transform(F.sequence(F.lit(1), F.size("labels")), lambda n: F.array_join(F.reverse(F.slice("labels", F.lit(1), n)), "."))
+    salts = SALTS_PER_PARTITION * shuffle_partitions(rows.sparkSession)
     asked = (rows.filter(F.col("host").isNotNull() & F.col("fetched").isNotNull()).withColumn("labels", labels)
-             .select("row", "fetched", period(F.col("fetched")).alias("period"),
-                     F.pmod("row", F.lit(SALTS)).cast("int").alias("salt"), F.explode(parents).alias("pattern")))
-    found = (asked.join(held, ["pattern", "period", "salt"])
-             .filter((F.col("start") <= F.col("fetched")) & (F.col("stop").isNull() | (F.col("fetched") < F.col("stop"))))
-             .groupBy("row").agg(F.max_by(F.struct("pattern", "verdict", "start"), F.length("pattern")).alias("hit")))
+             .select("row", "fetched", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt"), F.explode(parents).alias("pattern")))
+    side = settle(list_side(asked, dated))
+    probes = asked.join(side.select("pattern", "salt").distinct(), ["pattern", "salt"], "left_semi")
+    entry = F.struct("verdict", F.col("day").alias("start"))
+    events = (side.select("pattern", "salt", "day", F.lit(None).cast("long").alias("row"), entry.alias("entry"))
+              .unionByName(probes.select("pattern", "salt", F.col("fetched").alias("day"), "row", F.lit(None).cast(side.select(entry.alias("e")).schema["e"].dataType).alias("entry"))))
+    # of one day, the entry comes before the captures
+    so_far = Window.partitionBy("pattern", "salt").orderBy("day", F.asc_nulls_first("row")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (events.withColumn("entry", F.last("entry", ignorenulls=True).over(so_far))
+             .filter(F.col("row").isNotNull() & F.col("entry.verdict").isNotNull())
+             .groupBy("row").agg(F.max_by(F.struct("pattern", "entry.verdict", "entry.start"), F.length("pattern")).alias("hit")))
     return (rows.join(found, "row", "left")
             .select("page_id", "url", "fetched", (F.col("hit.verdict") == "block").eqNullSafe(True).alias("blocked"),
                     F.col("hit.pattern").alias("pattern"), F.col("hit.start").alias("since")))

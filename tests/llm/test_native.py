@@ -144,3 +144,19 @@ def test_url_filter_deep_hosts(spark):
         spark.createDataFrame(entries, "pattern string, verdict string, action string, day date")).collect()}
     assert got == {1: (True, entries[0][0]), 2: (True, entries[0][0]), 3: (False, None), 4: (False, entries[2][0]),
                    5: (True, "parent.org"), 6: (True, "parent.org")}
+
+
+def test_url_filter_list_side(spark):
+    """An entry is one row, however long it holds; only what is asked for is copied, once per salt that asks."""
+    day = datetime.date(2024, 1, 1)
+    entries = spark.createDataFrame([(f"h{i}.org", "block", "add", day) for i in range(500)], "pattern string, verdict string, action string, day date")
+    dated = url_filter.timeline(entries)
+    asked = spark.createDataFrame([("h1.org", 3), ("h1.org", 3), ("h1.org", 4), ("h2.org", 3), ("not.listed", 3)], "pattern string, salt int")
+    side = url_filter.list_side(asked, dated).collect()
+    assert sorted((r["pattern"], r["salt"]) for r in side) == [("h1.org", 3), ("h1.org", 4), ("h2.org", 3)]
+    # a year of captures of one hot host: each gets the entry of its day
+    captures = [(i, "http://a.h7.org/", day + datetime.timedelta(i % 365)) for i in range(2000)]
+    feed = [("h7.org", "block", "add", day + datetime.timedelta(10)), ("h7.org", "block", "remove", day + datetime.timedelta(300))]
+    got = url_filter.filter_urls(spark.createDataFrame(captures, "page_id long, url string, fetched date"),
+                                 spark.createDataFrame(feed, "pattern string, verdict string, action string, day date")).collect()
+    assert all(r["blocked"] == (10 <= r["page_id"] % 365 < 300) for r in got) and len(got) == 2000
