@@ -3,17 +3,16 @@
 1. One pass over the texts leaves a narrow row per document: id, length, SHA-256
    and a 64-bit fingerprint. It is checkpointed, so a lost executor costs files
    that are still there, and row numbers and source ids never change.
-2. Each source partition sends its sorted distinct fingerprints, Golomb coded,
+2. Each source (a partition, or a run of ``SOURCE_ROWS`` rows of a larger one) sends its sorted distinct fingerprints, Golomb coded,
    to the owners of equal hash ranges. Owners reply with one bit per value:
-   seen in another partition too.
+   seen in another source too.
 3. Rows whose fingerprint is duplicate are suspects. A second pass over the
    texts lets through what a Bloom filter of fixed size (``BLOOM_BITS``) holds
    for the suspects, and groups those texts by their bytes; tasks combine equal
    texts before the shuffle, so a group with a third of all rows sends each
    task's copy once. Beyond some ten million suspects the filter lets more
    texts through; the result does not change.
-4. Verdicts go back keyed by (source partition, SHA-256): a hot group is spread
-   over all source partitions.
+4. Verdicts go back keyed by (source, SHA-256): a hot group is spread over all sources.
 
 Texts are equal when identical after deleting every ``[\\x20\\x09-\\x0D]``; NULL
 counts as empty, and empty texts form one group. The document with the most code
@@ -32,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from blotter.llm.common import SPACES, among, distinct, mix64, parts_for, pick, settle, table
 from blotter.llm.exchange import decode, encode, owner_cuts, pack_mask, unpack_mask
 
-SOURCE_ROWS = 1_000_000   # rows of one sender at scale
+SOURCE_BITS = 20          # a sender has 2 ** SOURCE_BITS rows of a partition at most
+SOURCE_ROWS = 1 << SOURCE_BITS
 OWNER_VALUES = 4_000_000  # fingerprints of one owner at scale
 BLOOM_BITS = 1 << 25      # fixed size of the broadcast filter: 4 MB
 BLOOM_HASHES = 4
@@ -52,19 +52,29 @@ def _fingerprints(batches):
 
 
 def _send(owners: int):
+    def blobs(src, held):
+        values, _ = distinct(np.concatenate(held))
+        cuts = owner_cuts(values, owners)
+        sent = [(o, encode(values[a:z])) for o, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
+        return pa.RecordBatch.from_pydict({
+            "src": pa.array([src] * len(sent), pa.int64()), "owner": pa.array([o for o, _ in sent], pa.int32()),
+            "blob": pa.array([x for _, x in sent], pa.binary())})
+
     def run(batches):
         src, held = None, []
         for b in batches:
-            if b.num_rows:
-                src = b.column("src")[0].as_py()
-                held.append(b.column("fp").to_numpy().view(np.uint64))
+            fp, of = b.column("fp").to_numpy().view(np.uint64), b.column("src").to_numpy()
+            # a source's rows stand together
+            cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for a, z in zip(cuts, cuts[1:]):
+                if z > a:
+                    if held and of[a] != src:
+                        yield blobs(src, held)
+                        held = []
+                    src = int(of[a])
+                    held.append(fp[a:z])
         if held:
-            values, _ = distinct(np.concatenate(held))
-            cuts = owner_cuts(values, owners)
-            sent = [(o, encode(values[a:z])) for o, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
-            yield pa.RecordBatch.from_pydict({
-                "src": pa.array([src] * len(sent), pa.int32()), "owner": pa.array([o for o, _ in sent], pa.int32()),
-                "blob": pa.array([x for _, x in sent], pa.binary())})
+            yield blobs(src, held)
     return run
 
 
@@ -141,17 +151,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id_type = texts.schema["doc_id"].dataType
     prints = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_points", T.LongType()),
                            T.StructField("sha", T.BinaryType()), T.StructField("fp", T.LongType())])
+    source = F.shiftright(F.monotonically_increasing_id(), SOURCE_BITS)  # partition, and run of its rows
     first = settle(texts.mapInArrow(_fingerprints, prints)
-                   .select("*", F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("src")))
-    size = first.agg(F.count(F.lit(1)).alias("rows"), F.max("src").alias("last")).first()
+                   .select("*", F.monotonically_increasing_id().alias("row"), source.alias("src")))
+    size = first.agg(F.count(F.lit(1)).alias("rows"), F.max(F.shiftright("row", 33)).alias("last")).first()
     n = size["rows"]
     if (size["last"] or 0) + 1 > 2 * parts_for(spark, n, SOURCE_ROWS):
         # many small input splits: fewer, larger senders make longer, better coded lists
-        first = settle(first.coalesce(parts_for(spark, n, SOURCE_ROWS)).withColumn("src", F.spark_partition_id()))
+        first = settle(first.coalesce(parts_for(spark, n, SOURCE_ROWS)).withColumn("src", source))
 
     owners = parts_for(spark, n, OWNER_VALUES)
-    masks = (first.mapInArrow(_send(owners), "src int, owner int, blob binary")
-             .groupBy("owner").applyInArrow(_reply, "src int, owner int, mask binary, n int"))
+    masks = (first.mapInArrow(_send(owners), "src long, owner int, blob binary")
+             .groupBy("owner").applyInArrow(_reply, "src long, owner int, mask binary, n int"))
     suspects = settle(first.groupBy("src").cogroup(masks.groupBy("src")).applyInArrow(_suspects, first.schema))
 
     words = bloom_of(suspects.select("fp"))

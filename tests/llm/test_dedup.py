@@ -57,3 +57,18 @@ def test_sql(spark):
     con = duck_for(SF_SMALL)
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
     same_result(exact_dedup.op1_exact_dedup(spark, SF_SMALL), con, exact_dedup.SQL)
+
+
+def test_a_large_partition_is_several_sources(spark, monkeypatch):
+    """One input split of many short texts: no source has more than its rows."""
+    monkeypatch.setattr(exact_dedup, "SOURCE_BITS", 5)
+    rows = [(i, "same" if i % 3 == 0 else None if i % 7 == 0 else f"t{i % 400}") for i in range(900)]
+    whole = exact_dedup._suspects
+
+    def bounded(rows, masks):
+        assert rows.num_rows <= 32
+        return whole(rows, masks)
+
+    monkeypatch.setattr(exact_dedup, "_suspects", bounded)
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert multiset(got) == multiset(brute(rows))
