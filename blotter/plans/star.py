@@ -96,10 +96,12 @@ class Star:
             normalize=self.normalize_lookups))
 
     @cached_property
-    def looked_up_calls(self) -> DataFrame:
-        """The enriched calls without a surrogate key."""
-        return facts.lookup_calls(self.clean_calls, self.dim_location, self.dim_call_type,
-                                  self.dim_call_disposition, normalize=self.normalize_lookups)
+    def matched_calls(self) -> DataFrame:
+        """The enriched calls with 1 for every key that a lookup finds: nothing is numbered to count what is missing."""
+        return facts.lookup_calls(
+            self.clean_calls, dims.dim_location(self.clean_incidents, self.clean_calls, with_key=False),
+            dims.dim_call_type(self.clean_calls, self.raw.ref_tencode, self.raw.ref_suffix, with_key=False),
+            dims.dim_call_disposition(self.clean_calls, with_key=False), normalize=self.normalize_lookups)
 
     def stored(self, name: str, df: DataFrame) -> None:
         """Use ``df`` as layer ``name``: every layer not stored itself is built anew from it."""
