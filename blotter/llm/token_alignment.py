@@ -32,9 +32,9 @@ task holds one chunk and at most ``CACHE_CHARS`` characters of known units; a un
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
-import re
 from itertools import chain
 
 import numpy as np
@@ -50,7 +50,6 @@ CHUNK_PAIRS = 2_000_000
 CACHE_CHARS = 6_000_000
 JOIN_CHARS = 16_000
 WIDE = 16  # tokens on both sides from which a group's links are counted by distinct ids
-UNSAFE = re.compile(r"(?:\A|[^\w!-~]) ")
 
 
 def byte_level() -> dict[str, int]:
@@ -139,7 +138,7 @@ def _safe_end(unit: str) -> bool:
 def units_of(text: str) -> list[str]:
     """The units of " " + text, without their leading space."""
     parts = text.split(" ")
-    if parts[-1] and not UNSAFE.search(text):
+    if all(map(_safe_end, {p[-1:] for p in parts[:-1]})) and parts[-1]:
         return parts
     units, held = [], []
     last = len(parts) - (1 if parts[-1] else 2)  # a space at the end stays with what is before it
@@ -191,11 +190,12 @@ class Aligner:
     def look_up(self, units: list[str]) -> list[int]:
         """Numbers of the units; new ones are aligned first."""
         found = list(map(self.number.get, units))
-        new = dict.fromkeys(u for u, k in zip(units, found) if k is None)
-        if not new:
-            return found
-        self._learn(new)
-        return list(map(self.number.__getitem__, units))
+        missing = [k for k, n in enumerate(found) if n is None]
+        if missing:
+            self._learn(dict.fromkeys([units[k] for k in missing]))
+            for k in missing:
+                found[k] = self.number[units[k]]
+        return found
 
     def _learn(self, units) -> None:
         """Units that may stand before others in a text are encoded together, ``JOIN_CHARS`` at a time."""
@@ -369,16 +369,20 @@ def _align(a_json: str, b_model: bytes, schema_of):
         from pyspark import TaskContext
 
         chunk = None
-        for b in batches:
-            if chunk is None:
-                chunk = _Chunk(Aligner(Tokenizers(a_json, b_model)), schema_of(b.schema.field("doc_id").type), TaskContext.get().partitionId())
-            for start, end in slices(b.column("size").to_numpy(), SLICE_BYTES):
-                part = b.slice(start, end - start)
-                chunk.add(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
-                if chunk.full():
-                    yield from chunk.flush()
-        if chunk is not None:
-            yield from chunk.flush()
+        gc.disable()  # millions of small tuples and no cycles among them
+        try:
+            for b in batches:
+                if chunk is None:
+                    chunk = _Chunk(Aligner(Tokenizers(a_json, b_model)), schema_of(b.schema.field("doc_id").type), TaskContext.get().partitionId())
+                for start, end in slices(b.column("size").to_numpy(), SLICE_BYTES):
+                    part = b.slice(start, end - start)
+                    chunk.add(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
+                    if chunk.full():
+                        yield from chunk.flush()
+            if chunk is not None:
+                yield from chunk.flush()
+        finally:
+            gc.enable()
     return run
 
 
