@@ -28,8 +28,9 @@ blocks are joined in page order by one newline. NULL and empty html give an
 empty text. A NULL url belongs to one host of its own; copies of a page count
 once in the tree; repeated rows each get their result.
 
-A page is parsed once, into a compressed checkpointed row; memory grows with the page's length, however deep
-it nests. The tree is an aggregate of (path, text hash) rows, combined in the map tasks, where a path's hash begins with its host's.
+A page is parsed once for the tree, whose checkpointed rows hold paths and hashes only, and once for its blocks, which travel
+compressed to its noise (keeping the blocks from the first time would cost more disk than parsing costs time). Memory grows
+with the page's length, however deep it nests. A page is known by a 64-bit hash of its row. The tree is an aggregate of (path, text hash) rows, combined in the map tasks, where a path's hash begins with its host's.
 The noise branches meet the pages' own paths one by one, on (path, salt): neither the branches of a large host nor its
 pages come together in one row or task.
 """
@@ -250,8 +251,8 @@ def main_blocks(blocks: list) -> list:
 HEAD = "<III"  # paths, tree entries, blocks
 
 
-def _pack(blocks: list, styles: list) -> tuple[int, bytes]:
-    """A page's hash, and its paths (with their parents), entries of the site tree, blocks and texts."""
+def _pack(blocks: list, styles: list, tree: bool) -> tuple[int, bytes]:
+    """A page's hash, and its paths (with their parents) and entries of the site tree, or its paths, blocks and texts."""
     kept = main_blocks(blocks)
     number: dict[int, int] = {}
     parents: list[int] = []
@@ -267,16 +268,19 @@ def _pack(blocks: list, styles: list) -> tuple[int, bytes]:
         return up
 
     at = [place(c) for c, *_ in kept]
-    seen = {(k, True, _hash(t)) for k, (*_, t) in zip(at, kept)}
-    # paths that lead to a kept block, and how their children look
-    seen |= {(number[c[-1]], False, _hash(" ".join(k for i, k in enumerate(kids) if i == 0 or kids[i - 1] != k)))
-             for c, kids in styles if c[-1] in number}
     texts = "\n".join(t for *_, t in kept)  # no text has a line break
+    page, seen = _hash(texts), set()
+    if tree:
+        seen = {(k, True, _hash(t)) for k, (*_, t) in zip(at, kept)}
+        # paths that lead to a kept block, and how their children look
+        seen |= {(number[c[-1]], False, _hash(" ".join(k for i, k in enumerate(kids) if i == 0 or kids[i - 1] != k)))
+                 for c, kids in styles if c[-1] in number}
+        at, texts = [], ""
     entries = list(zip(*seen)) if seen else [(), (), ()]
     raw = b"".join([struct.pack(HEAD, len(parents), len(seen), len(at)), np.array(list(number), np.int64).tobytes(),
                     np.array(parents, np.int32).tobytes(), np.array(entries[0], np.int32).tobytes(), np.array(entries[1], np.uint8).tobytes(),
                     np.array(entries[2], np.int64).tobytes(), np.array(at, np.int32).tobytes(), texts.encode("utf-8", "surrogatepass")])
-    return _hash(texts), zlib.compress(raw, 3)
+    return page, zlib.compress(raw, 3)
 
 
 def _unpack(blob: bytes):
@@ -289,18 +293,20 @@ def _unpack(blob: bytes):
     return (*out, raw[at:].decode("utf-8", "surrogatepass").split("\n") if blocks else [])
 
 
-def _parse_pages(batches):
-    hashes: dict = {}
-    for b in batches:
-        tops, pages, packed = [], [], []
-        for host, raw in zip(b.column("host").to_pylist(), b.column("raw").to_pylist()):
-            page, blob = _pack(*parse(raw.decode("utf-8", "replace"), hashes, host))
-            tops.append(_hash(host))
-            pages.append(page)
-            packed.append(blob)
-        rest = [c for c in b.schema.names if c not in ("host", "raw")]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(tops, pa.int64()), pa.array(pages, pa.int64()),
-                                          pa.array(packed, pa.binary())], names=[*rest, "top", "page", "packed"])
+def _parse_pages(tree: bool):
+    def run(batches):
+        hashes: dict = {}
+        for b in batches:
+            tops, pages, packed = [], [], []
+            for host, raw in zip(b.column("host").to_pylist(), b.column("raw").to_pylist()):
+                page, blob = _pack(*parse(raw.decode("utf-8", "replace"), hashes, host), tree)
+                tops.append(_hash(host))
+                pages.append(page)
+                packed.append(blob)
+            rest = [c for c in b.schema.names if c not in ("host", "raw")]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(tops, pa.int64()), pa.array(pages, pa.int64()),
+                                              pa.array(packed, pa.binary())], names=[*rest, "top", "page", "packed"])
+    return run
 
 
 def _tree_rows(batches):
@@ -381,22 +387,30 @@ def _extract(batches):
                                           pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
 
-def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """row, page_id, url, top (the host's hash), page (the texts' hash) and packed blocks of every page; checkpointed."""
+def _rows(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pick(pages, page_id=id_col, url=url_col, html=html_col).select(
-        "page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).cast("binary").alias("raw"))
-    packed = T.StructType([rows.schema["page_id"], rows.schema["url"], T.StructField("top", T.LongType()),
-                           T.StructField("page", T.LongType()), T.StructField("packed", T.BinaryType())])
-    return settle(rows.mapInArrow(_parse_pages, packed).select(F.monotonically_increasing_id().alias("row"), "*"))
+    return pick(pages, page_id=id_col, url=url_col, html=html_col).select(
+        F.xxhash64("page_id", "url", "html").alias("row"), "page_id", "url", host.alias("host"),
+        F.coalesce("html", F.lit("")).cast("binary").alias("raw"))
+
+
+PARSED = [T.StructField("top", T.LongType()), T.StructField("page", T.LongType()), T.StructField("packed", T.BinaryType())]
+
+
+def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """row (its hash), top (the host's), page (the texts') and packed tree entries of every page; checkpointed."""
+    rows = _rows(pages, id_col, url_col, html_col).select("row", "host", "raw")
+    return settle(rows.mapInArrow(_parse_pages(True), T.StructType([rows.schema["row"], *PARSED])))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     parsed = parse_pages(pages, id_col, url_col, html_col)
     noise = (salted_join(parsed.select("row", "packed").mapInArrow(_page_paths, "row long, path long"), site_noise(parsed), ["path"], F.col("row"))
-             .groupBy("row").agg(F.collect_list("path").alias("noise")))
-    joined = parsed.join(noise, "row", "left").select("page_id", "url", "packed", "noise")
+             .groupBy("row").agg(F.collect_set("path").alias("noise")))  # rows equal in all are one page
+    rows = _rows(pages, id_col, url_col, html_col)
+    blocks = rows.mapInArrow(_parse_pages(False), T.StructType([rows.schema["row"], rows.schema["page_id"], rows.schema["url"], *PARSED]))
+    joined = blocks.join(noise, "row", "left").select("page_id", "url", "packed", "noise")
     schema = T.StructType([joined.schema["page_id"], joined.schema["url"],
                            T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     return joined.mapInArrow(_extract, schema)
