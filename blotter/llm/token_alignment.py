@@ -12,7 +12,8 @@ no span of their own, are placed by the bytes they decode to.
 No token of either kind reaches from a letter, digit or ASCII sign into the space behind
 it, so texts are cut there into units, and each task aligns a distinct unit
 once. A unit that does not decode to its own bytes in both tokenizers (a
-literal U+2581, say) leaves its whole text without tokens.
+literal U+2581, say) leaves its whole text without tokens. Units met more than once
+stay known when a task makes room for new ones.
 
 How often an id pair is linked is a count of documents over the whole corpus:
 
@@ -35,10 +36,12 @@ from __future__ import annotations
 import gc
 import hashlib
 import os
-from itertools import chain
+from itertools import pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from blotter.llm.common import pick, settle, slices, table
@@ -87,7 +90,7 @@ class Tokenizers:
     def encode(self, texts: list[str]):
         """(A ids, A ends, B ids, B ends) in bytes of each " " + text; None where its bytes are not kept."""
         firsts = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        seconds = self.b.encode(texts, return_type="offset_mapping", num_threads=1)
+        seconds = self.b.encode(texts, return_type="offset_mapping", return_bytes=True, num_threads=1)
         for text, x, y in zip(texts, firsts, seconds):
             raw = (" " + text).encode()
             a, b = x.ids, y["ids"]
@@ -96,11 +99,12 @@ class Tokenizers:
                 continue
             place = _byte_places(" " + text, len(raw))
             a, b = np.array(a, np.int64), np.array(b, np.int64)
-            spans = np.fromiter(chain.from_iterable(x.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
-            ends = np.fromiter(chain.from_iterable(y["offsets"]), np.int64, 2 * len(b))[1::2]
-            following = np.append(spans[1:, 0], len(text) + 1)
-            yield (a, _refine(place[spans[:, 1]], following >= spans[:, 1], self.a_sizes[a]),
-                   b, _refine(place[ends + 1], ~self.b_is_byte[b], self.b_sizes[b]))  # behind the added space
+            spans = x.offsets
+            starts, stops = (np.fromiter(map(itemgetter(k), spans), np.int64, len(a)) for k in (0, 1))
+            ends = np.fromiter(map(itemgetter(1), y["offsets"]), np.int64, len(b))
+            following = np.append(starts[1:], len(text) + 1)
+            yield (a, _refine(place[stops], following >= stops, self.a_sizes[a]),
+                   b, _refine(ends + 1, ~self.b_is_byte[b], self.b_sizes[b]))  # behind the added space
 
 
 def _byte_places(text: str, size: int) -> np.ndarray:
@@ -135,34 +139,56 @@ def _safe_end(unit: str) -> bool:
     return "!" <= last <= "~" or last.isalnum()
 
 
+def units_in(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct units of the texts (of " " + text, without the leading space), the place of each unit among
+    them, text by text, and how many units each text has (NULL or empty: none)."""
+    some = pc.greater(pc.binary_length(texts), 0).fill_null(False)
+    parts = pc.split_pattern(texts.filter(some), " ")
+    counts = np.zeros(len(texts), np.int64)
+    counts[some.to_numpy(zero_copy_only=False)] = pc.list_value_length(parts).to_numpy()
+    coded = parts.flatten().dictionary_encode()
+    words, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+    if not words:
+        return words, at, counts
+    lasts = [w[-1:] for w in words]
+    safe = {c: _safe_end(c) for c in set(lasts)}
+    end = np.array(list(map(safe.get, lasts)))[at]  # is the part the end of a unit?
+    final = np.cumsum(counts)[counts > 0] - 1
+    blank = np.array([not words[k] for k in at[final].tolist()])
+    end[final[blank] - 1] = False  # a space at the end stays with what is before it
+    end[final] = True
+    if end.all():
+        return words, at, counts
+    stop = np.flatnonzero(end) + 1
+    begin = np.append(0, stop[:-1])
+    up_to = np.append(0, np.cumsum(end))
+    bounds = np.append(0, np.cumsum(counts))
+    place, joined = at[begin], {}
+    for k in np.flatnonzero(stop - begin > 1).tolist():
+        unit = " ".join(map(words.__getitem__, at[begin[k]:stop[k]].tolist()))
+        place[k] = joined.setdefault(unit, len(words) + len(joined))
+    words += joined
+    used = np.bincount(place, minlength=len(words)) > 0
+    return [w for w, one in zip(words, used.tolist()) if one], (np.cumsum(used) - 1)[place], np.diff(up_to[bounds])
+
+
 def units_of(text: str) -> list[str]:
     """The units of " " + text, without their leading space."""
-    parts = text.split(" ")
-    if all(map(_safe_end, {p[-1:] for p in parts[:-1]})) and parts[-1]:
-        return parts
-    units, held = [], []
-    last = len(parts) - (1 if parts[-1] else 2)  # a space at the end stays with what is before it
-    for k, p in enumerate(parts):
-        held.append(p)
-        if k < last and _safe_end(p) or k == len(parts) - 1:
-            units.append(" ".join(held))
-            held = []
-    return units
+    units, place, _ = units_in(pa.array([text], pa.string()))
+    return list(map(units.__getitem__, place.tolist()))
 
 
 class _Grown:
-    """Numbers, one row behind the other, and where each unit's rows end."""
+    """Numbers, one row behind the other."""
 
     def __init__(self, *width: int) -> None:
-        self.flat, self.n, self.ends = np.zeros((1 << 12, *width), np.int64), 0, [0]
+        self.flat, self.n = np.zeros((1 << 12, *width), np.int64), 0
 
-    def add(self, values: np.ndarray, counts: np.ndarray | None = None) -> None:
+    def add(self, values: np.ndarray) -> None:
         if self.n + len(values) > len(self.flat):
             more = np.zeros((max(len(self.flat), len(values)), *self.flat.shape[1:]), np.int64)
             self.flat = np.concatenate([self.flat, more])
         self.flat[self.n:self.n + len(values)] = values
-        if counts is not None:
-            self.ends += (self.n + np.cumsum(counts)).tolist()
         self.n += len(values)
 
 
@@ -184,33 +210,56 @@ class Aligner:
         self.texts: list[str] = []           # a1,a2|b1;... of each unit
         self.sums = _Grown(5)                # tokens of A, of B, groups, links, 1 if its bytes are kept
         self.pair_number: dict[int, int] = {}
+        self.seen = _Grown()                 # how often each unit was met lately
+        self.ends = _Grown()                 # up to which row the pairs of each unit go
         self.pairs = _Grown()                # numbers of the linked id pairs of each unit
         self.times = _Grown()                # and how often
 
+    def trim(self) -> None:
+        """Forget units met once; if the others have over half of ``CACHE_CHARS``, the rarer of them as well."""
+        units = list(self.number)
+        seen = self.seen.flat[:len(units)]
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) + 1
+        least = 2
+        while sizes[seen >= least].sum() > CACHE_CHARS // 2:
+            least *= 2
+        keep = np.flatnonzero(seen >= least)
+        texts, sums, times, seen = self.texts, self.sums.flat[keep], self.times.flat, seen[keep] // 2
+        begin, n = self.rows_of(keep)
+        at = _ranges(begin, n)
+        pairs = np.fromiter(self.pair_number, np.int64, len(self.pair_number))
+        used, where = np.unique(self.pairs.flat[at], return_inverse=True)
+        self.clear()
+        keep = keep.tolist()
+        self._number([units[k] for k in keep])
+        self.texts = [texts[k] for k in keep]
+        self.pair_number = dict(zip(pairs[used].tolist(), range(len(used))))
+        for grown, values in ((self.sums, sums), (self.ends, np.cumsum(n)), (self.pairs, where), (self.times, times[at])):
+            grown.add(values)
+        self.seen.flat[:len(keep)] = seen
+
+    def rows_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First row of the pairs of each unit, and how many there are."""
+        begin = np.where(at > 0, self.ends.flat[at - 1], 0)
+        return begin, self.ends.flat[at] - begin
+
     def look_up(self, units: list[str]) -> list[int]:
-        """Numbers of the units; new ones are aligned first."""
+        """Numbers of distinct units; new ones are aligned first."""
         found = list(map(self.number.get, units))
         missing = [k for k, n in enumerate(found) if n is None]
         if missing:
-            self._learn(dict.fromkeys([units[k] for k in missing]))
+            self._learn([units[k] for k in missing])
             for k in missing:
                 found[k] = self.number[units[k]]
         return found
 
-    def _learn(self, units) -> None:
+    def _learn(self, units: list[str]) -> None:
         """Units that may stand before others in a text are encoded together, ``JOIN_CHARS`` at a time."""
-        lists, joint, size = [], [], 0
-        for u in units:
-            if not _safe_end(u):
-                lists.append([u])
-                continue
-            joint.append(u)
-            size += len(u) + 1
-            if size >= JOIN_CHARS:
-                lists.append(joint)
-                joint, size = [], 0
-        if joint:
-            lists.append(joint)
+        lists = [[u] for u in units if not _safe_end(u)]
+        joint = [u for u in units if _safe_end(u)] if lists else list(units)
+        sizes = np.cumsum(np.fromiter(map(len, joint), np.int64, len(joint)) + 1)
+        cuts = np.flatnonzero(np.diff(sizes // JOIN_CHARS, prepend=0)) + 1
+        lists += [joint[i:j] for i, j in pairwise([0, *cuts.tolist(), len(joint)]) if i < j]
         for some, known in zip(lists, self.tokenizers.encode([" ".join(x) for x in lists])):
             if known is not None:
                 self._keep(some, *known)
@@ -223,20 +272,19 @@ class Aligner:
     def _lose(self, unit: str) -> None:
         self._number([unit])
         self.texts.append("")
-        none = np.zeros(0, np.int64)
         self.sums.add(np.zeros((1, 5), np.int64))
-        self.pairs.add(none, np.zeros(1, np.int64))
-        self.times.add(none)
+        self.ends.add(np.array([self.pairs.n]))
 
     def _number(self, units: list[str]) -> None:
         self.number.update(zip(units, range(len(self.number), len(self.number) + len(units))))
         self.held += sum(map(len, units)) + len(units)
+        self.seen.add(np.zeros(len(units), np.int64))
 
     def _keep(self, units: list[str], a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> None:
         cuts, to_a, to_b = groups_of(a_ends, b_ends)
         n_a, n_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
-        lengths = map(len, units) if a_ends[-1] == sum(map(len, units)) + len(units) else (len(u.encode()) for u in units)
-        last = np.searchsorted(cuts, np.cumsum(np.fromiter(lengths, np.int64, len(units)) + 1))  # each unit's last group
+        lengths = pc.binary_length(pa.array(units, pa.string())).to_numpy().astype(np.int64)
+        last = np.searchsorted(cuts, np.cumsum(lengths + 1))  # each unit's last group
         self._number(units)
         links = n_a * n_b
         of_unit = [np.diff(x[last], prepend=0) for x in (to_a, to_b, np.arange(1, len(cuts) + 1), np.cumsum(links))]
@@ -248,7 +296,8 @@ class Aligner:
         distinct, where = np.unique(pairs, return_inverse=True)
         numbers = [self.pair_number.setdefault(p, len(self.pair_number)) for p in distinct.tolist()]
         counts = np.bincount(unit, minlength=len(units))
-        self.pairs.add(np.array(numbers, np.int64)[where], counts)
+        self.ends.add(self.pairs.n + np.cumsum(counts))
+        self.pairs.add(np.array(numbers, np.int64)[where])
         self.times.add(times)
 
     def _linked(self, a, b, from_a, from_b, n_a, n_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -259,7 +308,10 @@ class Aligner:
         at = _ranges(np.zeros(len(size), np.int64), size)
         pairs = a[from_a[group] + at // n_b[group]] << 32 | b[from_b[group] + at % n_b[group]]
         times = np.ones(len(pairs), np.int64)
-        for g in np.flatnonzero((n_a > WIDE) & (n_b > WIDE)).tolist():  # distinct ids only
+        wide = np.flatnonzero((n_a > WIDE) & (n_b > WIDE)).tolist()
+        if not wide:
+            return pairs, times, group
+        for g in wide:  # distinct ids only
             x, n = np.unique(a[from_a[g]:from_a[g] + n_a[g]], return_counts=True)
             y, m = np.unique(b[from_b[g]:from_b[g] + n_b[g]], return_counts=True)
             pairs = np.concatenate([pairs, (x[:, None] << 32 | y).ravel()])
@@ -313,33 +365,36 @@ class _Chunk:
         self.times: list[np.ndarray] = []
         self.n = 0
 
-    def add(self, ids: list, texts: list) -> None:
+    def add(self, ids: list, texts: pa.Array) -> None:
         known = self.aligner
-        docs = [units_of(t) if t else [] for t in texts]
-        counts = np.array(list(map(len, docs)), np.int64)
-        found = known.look_up(list(chain.from_iterable(docs)))
+        units, place, counts = units_in(texts)
+        found = known.look_up(units)
         at = np.array(found, np.int64)
+        known.seen.flat[at] += np.bincount(place, minlength=len(units))
+        at = at[place]
+        texts_of = np.array(list(map(known.texts.__getitem__, found)), object)
         ends = np.cumsum(counts)
         sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(known.sums.flat[at], axis=0)])
         sums = sums[ends] - sums[ends - counts]
         kept = (sums[:, 4] == counts) & (counts > 0)  # all units keep their bytes
         sums[~kept] = 0
         for doc_id, end, n, row, whole in zip(ids, ends.tolist(), counts.tolist(), sums.tolist(), kept.tolist()):
-            said = ";".join(map(known.texts.__getitem__, found[end - n:end])) if whole else None
+            said = ";".join(texts_of[place[end - n:end]].tolist()) if whole else None
             self.rows.append({"doc_id": doc_id, "n_a": row[0], "n_b": row[1], "n_groups": row[2], "n_links": row[3],
                               "groups_sha256": hashlib.sha256(said.encode()).hexdigest() if whole else ""})
         at = at[np.repeat(kept, counts)]
         counts = np.where(kept, counts, 0)
         # (document, pair) and how often, from the pairs of its units
-        ends = np.array(known.pairs.ends)
-        n = ends[at + 1] - ends[at]
-        at = _ranges(ends[at], n)
+        begin, n = known.rows_of(at)
+        at = _ranges(begin, n)
         step = max(1, len(known.pair_number))
-        key = np.repeat(np.repeat(np.arange(len(docs)), counts), n) * step + known.pairs.flat[at]
+        key = np.repeat(np.repeat(np.arange(len(ids)), counts), n) * step + known.pairs.flat[at]
         order = np.argsort(key, kind="stable")
-        key, first = np.unique(key[order], return_index=True)
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
         times = np.add.reduceat(known.times.flat[at][order], first) if len(key) else key
-        cuts = np.searchsorted(key // step, np.arange(1, len(docs)))
+        key = key[first]
+        cuts = np.searchsorted(key, np.arange(1, len(ids)) * step)
         self.pairs += np.split(key % step, cuts)
         self.times += np.split(times, cuts)
         self.n += len(key)
@@ -361,7 +416,7 @@ class _Chunk:
             yield pa.RecordBatch.from_pylist([{"src": self.src, "table": keys[used], "docs": docs}], schema=self.schema)
         self.src, self.rows, self.pairs, self.times, self.n = self.src + 1, [], [], [], 0
         if self.aligner.held >= CACHE_CHARS:
-            self.aligner.clear()
+            self.aligner.trim()
 
 
 def _align(a_json: str, b_model: bytes, schema_of):
@@ -376,7 +431,7 @@ def _align(a_json: str, b_model: bytes, schema_of):
                     chunk = _Chunk(Aligner(Tokenizers(a_json, b_model)), schema_of(b.schema.field("doc_id").type), TaskContext.get().partitionId())
                 for start, end in slices(b.column("size").to_numpy(), SLICE_BYTES):
                     part = b.slice(start, end - start)
-                    chunk.add(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
+                    chunk.add(part.column("doc_id").to_pylist(), part.column("text"))
                     if chunk.full():
                         yield from chunk.flush()
             if chunk is not None:

@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -119,3 +121,30 @@ def test_hot_pair_and_long_text(spark):
     got = {r["doc_id"]: r for r in ta.align_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
     assert got[0]["count_sum"] == got[299]["count_sum"] == 900
     assert got[300]["n_groups"] >= 60_000 and got[301]["n_a"] > 0 and len(got) == 302
+
+
+def test_batches_are_cut_into_distinct_units():
+    texts = pa.array(["skipped", None, "", "a b a", "x” b  c ", " ", "é, x” b", "tail "]).slice(1)
+    units, place, counts = ta.units_in(texts)
+    assert len(set(units)) == len(units) and counts.tolist() == [0, 0, 3, 2, 1, 2, 1]
+    assert [units[k] for k in place.tolist()] == ["a", "b", "a", "x” b", " c ", " ", "é,", "x” b", "tail "]
+    assert ta.units_in(pa.array([None, ""], pa.string()))[2].tolist() == [0, 0]
+
+
+def test_often_met_units_stay_known_when_room_is_made(both, monkeypatch):
+    monkeypatch.setattr(ta, "CACHE_CHARS", 60)
+    known, fresh = ta.Aligner(both), ta.Aligner(both)
+    words = ["often,", "once", "a▁b", "日本語", "twice\nword"]
+    known.seen.flat[known.look_up(words)] += [4, 1, 2, 2, 3]
+    known.trim()
+    assert list(known.number) == ["often,", "a▁b", "日本語", "twice\nword"] and known.held == 7 + 4 + 4 + 11
+    learned = []
+    monkeypatch.setattr(ta.Aligner, "_learn", lambda self, units, plain=ta.Aligner._learn: (learned.append(list(units)), plain(self, units)))
+    for one in (known, fresh):
+        one.found = one.look_up(words)
+    assert learned == [["once"], words]
+    for x, y in zip(known.found, fresh.found):
+        rows = [one.rows_of(np.array([k])) for one, k in ((known, x), (fresh, y))]
+        pairs = [{list(one.pair_number)[p]: n for p, n in zip(one.pairs.flat[i[0]:i[0] + n[0]].tolist(), one.times.flat[i[0]:i[0] + n[0]].tolist())}
+                 for one, (i, n) in zip((known, fresh), rows)]
+        assert known.texts[x] == fresh.texts[y] and known.sums.flat[x].tolist() == fresh.sums.flat[y].tolist() and pairs[0] == pairs[1]
